@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amity.functions.columns import age_years, pair_hi, pair_lo
-from amity.operators.skew import DEFAULT_HOT_KEYS, lookup_join, top_keys
+from amity.operators.skew import DEFAULT_HOT_KEYS, hot_pieces, lookup_join, top_keys
 
 
 # ---------------------------------------------------------------- edges, pairs
@@ -60,12 +60,15 @@ def _oriented_pairs(edges: DataFrame, hot_keys: int) -> DataFrame:
     the other one."""
     deg = out_degrees(edges)
     pairs = friend_pairs(edges)
-    hot = top_keys(deg, "user_id", "degree", hot_keys) if hot_keys > 0 else None
+    # a user is in at most about ``degree`` pairs: the top degrees say which
+    # keys of the pair table are hot and into how many pieces to split them
+    pieces = (hot_pieces(top_keys(deg, "user_id", "degree", hot_keys), "user_id", "degree")
+              if hot_keys > 0 else None)
 
     def with_degree(df: DataFrame, end: str, out: str) -> DataFrame:
         lk = deg.select(F.col("user_id").alias(end), F.col("degree").alias(out))
-        hk = hot.select(F.col("user_id").alias(end), F.col("degree").alias(out)) if hot is not None else None
-        return lookup_join(df, lk, end, hk, "left")
+        pk = pieces.withColumnRenamed("user_id", end) if pieces is not None else None
+        return lookup_join(df, lk, end, pk, "left")
 
     pd = with_degree(with_degree(pairs, "u", "du"), "v", "dv")
     du = F.coalesce(F.col("du"), F.lit(0))
@@ -187,15 +190,14 @@ def max_friend_age(edges: DataFrame, profiles: DataFrame,
     friend has a readable birth date (or a profile at all).
 
     The join runs on the friend's id, where a popular user is a hot key:
-    the ``hot_keys`` most-named users are joined map-side (bounded
-    broadcast), the rest through a shuffle join."""
+    the rows of the ``hot_keys`` most-named users are spread over several
+    tasks (see ``lookup_join``); the max is aggregated map-side first."""
     ages = profiles.select(F.col("user_id").alias("dst"), age_years("dob", as_of).alias("age"))
-    hot = None
+    pieces = None
     if hot_keys > 0:
-        hot_ids = top_keys(in_degrees(edges), "user_id", "degree", hot_keys) \
-            .select(F.col("user_id").alias("dst"))
-        hot = ages.join(F.broadcast(hot_ids), "dst", "left_semi")
-    joined = lookup_join(edges, ages, "dst", hot, "left")
+        pieces = hot_pieces(top_keys(in_degrees(edges), "user_id", "degree", hot_keys),
+                            "user_id", "degree").withColumnRenamed("user_id", "dst")
+    joined = lookup_join(edges, ages, "dst", pieces, "left")
     return (joined.groupBy(F.col("src").alias("user_id"))
             .agg(F.max("age").alias("max_friend_age")))
 

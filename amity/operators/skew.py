@@ -1,11 +1,20 @@
 """Joins of a large, possibly skewed table to a table with one row per key.
 
-In a friendship graph one user may hold a third of all edges. A plain shuffle
-join would send all of that user's rows to one task. ``lookup_join`` splits
-the rows of the hottest keys off and joins them map-side against a broadcast
-of at most ``len(hot)`` lookup rows (bounded by the caller's ``limit``); only
-the remaining, colder rows take the shuffle path, where adaptive execution
-can still split a skewed partition.
+In a friendship graph one user may hold a third of all edges; a plain
+shuffle join would send all of that user's rows to one task.
+``lookup_join`` spreads the rows of hot keys over several tasks:
+
+* ``hot`` names at most a fixed number of keys (the caller's top-n, so the
+  table has a proven size bound) with a row count for each;
+* it is broadcast; every row of the big side learns how many pieces its
+  key is split into and takes a salt from a hash of its own columns
+  (deterministic, so a re-run task after a lost executor routes every row
+  the same way);
+* the lookup row of a hot key is repeated once per piece; cold keys have
+  one piece, so they join exactly as in a plain shuffle join.
+
+One pass over the big side, one shuffle, no union of split branches.
+Adaptive execution can still split whatever skew is left.
 """
 
 from __future__ import annotations
@@ -13,7 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_KEYS = 1000  # rows broadcast per hot table: ~1000 x (key + a few values)
+DEFAULT_HOT_KEYS = 1000          # size bound of every broadcast hot-key table
+DEFAULT_ROWS_PER_PIECE = 2_000_000  # rows of one hot key handled by one task
+MAX_PIECES = 4096
+
+_PIECES = "__pieces"
+_SALT = "__salt"
 
 
 def top_keys(counts: DataFrame, key: str, count_col: str, n: int) -> DataFrame:
@@ -22,28 +36,34 @@ def top_keys(counts: DataFrame, key: str, count_col: str, n: int) -> DataFrame:
     return counts.orderBy(F.col(count_col).desc(), F.col(key).asc()).limit(n)
 
 
+def hot_pieces(hot: DataFrame, key: str, count_col: str,
+               rows_per_piece: int | None = None) -> DataFrame:
+    """``(key, __pieces)`` for the keys of ``hot`` that need more than one
+    piece. ``hot`` must already be bounded (e.g. ``top_keys``)."""
+    rows_per_piece = rows_per_piece or DEFAULT_ROWS_PER_PIECE
+    pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col(count_col) / F.lit(rows_per_piece))).cast("int")
+    return hot.select(key, pieces.alias(_PIECES)).where(F.col(_PIECES) > 1)
+
+
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
-                hot: DataFrame | None = None, how: str = "left") -> DataFrame:
+                pieces: DataFrame | None = None, how: str = "left") -> DataFrame:
     """``big`` join ``lookup`` on ``key``; ``lookup`` has one row per key.
 
-    ``hot`` holds the lookup rows of the hot keys (same columns as
-    ``lookup``, at most a fixed number of rows). Rows of ``big`` with a hot
-    key are joined through a broadcast of ``hot``; the others through a
-    shuffle join with ``lookup``. ``how`` is ``left`` or ``inner``.
-    The result has the columns of ``big`` followed by the value columns of
-    ``lookup``.
+    ``pieces`` is a bounded ``(key, __pieces)`` table from ``hot_pieces``;
+    ``None`` gives a plain join. ``how`` is ``left`` or ``inner``. Output:
+    the columns of ``big`` then the value columns of ``lookup``.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     values = [c for c in lookup.columns if c != key]
-    if hot is None:
-        return big.join(lookup, key, how)
-    flag = "__hot_key"
-    hot_b = F.broadcast(hot.select(key, *values).withColumn(flag, F.lit(True)))
-    tagged = big.join(hot_b, key, "left")
-    hot_rows = tagged.where(F.col(flag).isNotNull()).drop(flag)
-    cold_rows = (tagged.where(F.col(flag).isNull())
-                 .drop(flag, *values)
-                 .join(lookup, key, how))
-    cols = big.columns + values
-    return hot_rows.select(*cols).unionByName(cold_rows.select(*cols))
+    if pieces is None:
+        return big.join(lookup, key, how).select(*big.columns, *values)
+    p = F.broadcast(pieces.select(key, _PIECES))
+    n = F.coalesce(F.col(_PIECES), F.lit(1))
+    salted_big = (big.join(p, key, "left")
+                  .withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int"))
+                  .drop(_PIECES))
+    spread_lookup = (lookup.join(p, key, "left")
+                     .withColumn(_SALT, F.explode(F.sequence(F.lit(0), n - 1)))
+                     .drop(_PIECES))
+    return salted_big.join(spread_lookup, [key, _SALT], how).select(*big.columns, *values)
