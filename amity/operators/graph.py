@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from amity.functions.columns import age_years, pair_hi, pair_lo
 from amity.operators.skew import DEFAULT_HOT_KEYS, hot_pieces, lookup_join, top_keys
+from amity.session import reuse
 
 
 # ---------------------------------------------------------------- edges, pairs
@@ -55,9 +56,8 @@ def in_degrees(edges: DataFrame) -> DataFrame:
 
 
 def _oriented_pairs(edges: DataFrame, hot_keys: int) -> DataFrame:
-    """Pairs with the endpoint to expand from: ``(u, v, x, y)`` where ``x`` is
-    the endpoint with the shorter friend list (ties: smaller id) and ``y``
-    the other one."""
+    """Befriended pairs as ``(x, y)``: ``x`` is the endpoint with the shorter
+    friend list (ties: smaller id), ``y`` the other one."""
     deg = out_degrees(edges)
     pairs = friend_pairs(edges)
     # a user is in at most about ``degree`` pairs: the top degrees say which
@@ -74,20 +74,24 @@ def _oriented_pairs(edges: DataFrame, hot_keys: int) -> DataFrame:
     du = F.coalesce(F.col("du"), F.lit(0))
     dv = F.coalesce(F.col("dv"), F.lit(0))
     u_first = du <= dv  # u < v, so equal degrees also pick u
-    return pd.select("u", "v",
-                     F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("x"),
+    return pd.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("x"),
                      F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("y"))
 
 
 def mutual_friend_rows(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
     """``(u, v, friend_id)``: one row per befriended pair and mutual friend.
-    Pairs without a mutual friend have no row here (see ``mutual_friends``)."""
+    Pairs without a mutual friend have no row here (see ``mutual_friends``).
+
+    Candidates ``(x, y, w)`` -- w on the shorter list x -- are kept to three
+    ids (the pair is rebuilt after the check) since they are the largest
+    intermediate: sum over pairs of min(deg u, deg v) rows."""
     oriented = _oriented_pairs(edges, hot_keys)
     from_x = edges.select(F.col("src").alias("x"), F.col("dst").alias("w"))
     cand = oriented.join(from_x, "x").where(F.col("w") != F.col("y"))
     of_y = edges.select(F.col("src").alias("y"), F.col("dst").alias("w"))
     return (cand.join(of_y, ["y", "w"], "left_semi")
-            .select("u", "v", F.col("w").alias("friend_id")))
+            .select(pair_lo("x", "y").alias("u"), pair_hi("x", "y").alias("v"),
+                    F.col("w").alias("friend_id")))
 
 
 def mutual_friends(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
@@ -97,7 +101,9 @@ def mutual_friends(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFr
     The long form keeps every row bounded; ``mutual_friend_lists`` turns it
     into the reference's one-line-per-pair layout.
     """
-    rows = mutual_friend_rows(edges, hot_keys)
+    # read twice below (rows, and which pairs have any): written once to the
+    # shared checkpoint folder when the session names one
+    rows = reuse(mutual_friend_rows(edges, hot_keys), "mutual-rows")
     pairs = friend_pairs(edges)
     counted = rows.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_n"))
     empty = (pairs.join(counted, ["u", "v"], "left_anti")

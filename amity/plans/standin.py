@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amity.functions.columns import DOB_PATTERN
+from amity.session import apply_adaptive_conf, reuse
 from amity.sources.text import parse_friend_lines
 
 # Fixed values of the stand-in (must equal the oracle SQL's).
@@ -40,6 +41,9 @@ class StandIn:
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self) -> None:
+        apply_adaptive_conf(self.spark)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -54,7 +58,12 @@ class StandIn:
         return shifted.join(n, "nk").select("k", "c1", "d", "c2")
 
     def edges(self) -> DataFrame:
-        """Directed friend edges ``(src, dst)``, distinct, no self edges."""
+        """Directed friend edges ``(src, dst)``, distinct, no self edges --
+        the edge table every graph query starts from, written once to the
+        shared checkpoint folder when the session names one."""
+        return reuse(self.derive_edges(), "edges")
+
+    def derive_edges(self) -> DataFrame:
         near = self._neighbour_orders(list(range(1, FRIEND_REACH + 1)))
         one_way = near.where(F.col("c1") != F.col("c2")).select("c1", "c2")
         both = F.explode(F.array(F.struct(F.col("c1").alias("src"), F.col("c2").alias("dst")),

@@ -8,6 +8,8 @@ the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written against. AQE re-plans joins at runtime
@@ -21,6 +23,9 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # sort-merge -> shuffled hash join only when every build partition is
+    # below this size (checked at runtime from the shuffle statistics)
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -74,6 +79,32 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return sc.getCheckpointDir() or target
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder if the session names one, else None."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir:
+        spark.sparkContext.setCheckpointDir(conf_dir)
+        return spark.sparkContext.getCheckpointDir() or conf_dir
+    return None
+
+
+def reuse(df: DataFrame, name: str = "table") -> DataFrame:
+    """A table read by several branches of one plan: written once as parquet
+    under the shared checkpoint folder when the session names one, and read
+    back (each branch then scans only the columns it needs, the lineage is
+    cut, and a lost executor never forces a re-derivation). Without a
+    folder the branches re-derive it, which is slower but still correct."""
+    root = configured_checkpoint_dir(df.sparkSession)
+    if root is None:
+        return df
+    path = f"{root.rstrip('/')}/amity-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Reliable checkpoint: writes ``df`` to the shared checkpoint folder and
     returns a DataFrame that reads it back, so lost executors never force a
