@@ -26,7 +26,7 @@ def to_id(c: Column | str) -> Column:
 
 def parse_dob(c: Column | str, pattern: str = DOB_PATTERN) -> Column:
     """Birth-date text -> date, NULL when it does not parse."""
-    return F.try_to_date(col_of(c), F.lit(pattern))
+    return F.try_to_date(col_of(c), pattern)
 
 
 def as_date(value: Column | str | _dt.date | None) -> Column:
