@@ -72,6 +72,16 @@ def per_token_type() -> str:
     return "array<struct<reason:string,src:bigint,dst:bigint>>"
 
 
+def friend_edge_rows(lines: DataFrame, col: str = "value") -> FriendParse:
+    """Like ``parse_friend_lines`` but without the final ``distinct``: a
+    stateless per-row parse, usable on a streaming DataFrame."""
+    tagged = _tagged_friend_rows(lines, col)
+    edges = (tagged.where(F.col("reason").isNull() & (F.col("src") != F.col("dst")))
+                   .select("src", "dst"))
+    rejects = tagged.where(F.col("reason").isNotNull()).select("line", "reason")
+    return FriendParse(edges, rejects)
+
+
 def parse_friend_lines(lines: DataFrame, col: str = "value") -> FriendParse:
     """Adjacency lines -> (edges, rejects).
 
@@ -82,12 +92,8 @@ def parse_friend_lines(lines: DataFrame, col: str = "value") -> FriendParse:
     (the other ids of that line stay); a line with only a user id (no friends)
     and blank lines are skipped silently.
     """
-    tagged = _tagged_friend_rows(lines, col)
-    edges = (tagged.where(F.col("reason").isNull() & (F.col("src") != F.col("dst")))
-                   .select("src", "dst")
-                   .distinct())
-    rejects = tagged.where(F.col("reason").isNotNull()).select("line", "reason")
-    return FriendParse(edges, rejects)
+    rows = friend_edge_rows(lines, col)
+    return FriendParse(rows.edges.distinct(), rows.rejects)
 
 
 def read_friends(spark: SparkSession, path: str | list[str]) -> FriendParse:
