@@ -17,3 +17,21 @@ def test_mutual_list_layout(spark, friends_path):
     edges = read_friends(spark, friends_path).edges
     lines = {r.value for r in to_text_lines(mutual_friend_lists(mutual_friends(edges)), "tsv").collect()}
     assert "0\t1\t2,3" in lines and "0\t8\t" in lines and "12\t13\t14" in lines
+
+
+def test_reference_layouts(spark, friends_path, profiles_path, business_path, reviews_path):
+    from amity import (mutual_friend_counts, mutual_friend_profiles, oldest_friend_top, read_business,
+                       read_profiles, read_reviews, top_mutual_pairs_named, top_rated_businesses)
+    from amity.sources import layouts as L
+    edges = read_friends(spark, friends_path).edges
+    prof = read_profiles(spark, profiles_path)
+    assert "0,1\t2" in {r.value for r in L.pair_count_lines(mutual_friend_counts(edges)).collect()}
+    assert [r.value for r in L.named_pair_lines(top_mutual_pairs_named(edges, prof, 1)).collect()] == \
+        ["2\tAnn\tAsh\t1 A St\tBob\tBirch\t2 B St"]
+    assert [r.value for r in L.profile_list_lines(mutual_friend_profiles(edges, prof, 1, 0)).collect()] == \
+        ["0,1\t[Cy:12/31/1990, Cy:12/31/1990]"]
+    e5 = {r.value for r in L.oldest_friend_lines(oldest_friend_top(edges, prof, "2020-06-15")).collect()}
+    assert "6\t6 F St,Flint,Michigan,69" in e5 and "11\tnull,null,null,60" in e5
+    assert "0\t1\t2,3" in {r.value for r in L.mutual_friend_lines(mutual_friends(edges)).collect()}
+    e7 = L.row_lines(top_rated_businesses(read_business(spark, business_path), read_reviews(spark, reviews_path)))
+    assert e7.collect()[0].value.startswith("[b1,[List(Food, Bars)],12 Main St Stanford, CA,4.666")
