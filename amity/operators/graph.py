@@ -8,13 +8,15 @@ Meaning of "mutual friends" of a befriended pair {u, v} (u < v; befriended =
 an edge in at least one direction): ``A(u) ∩ A(v)`` where ``A(x)`` is x's
 own friend list (empty when x has no line). It never contains u or v.
 
-How the intersection is computed (no adjacency arrays, no pairs-per-group):
-every pair is expanded from its endpoint with the *smaller* friend list
-(ties: smaller id) and each candidate is checked against the edge set with
-a semi-join. Over the whole graph this touches sum(min(deg u, deg v))
-candidates -- O(m^1.5) even for power-law graphs -- and a hub user is never
-expanded against the pairs it belongs to, except for the few pairs with a
-user of even higher degree.
+How it is computed (no adjacency arrays, no friend list in one row): a
+mutual friend w of {u, v} closes a triangle {u, v, w} of befriended users,
+so the operators list triangles with the degree ordering of Chiba and
+Nishizeki / Suri and Vassilvitskii: each friendship points from its
+lower- to its higher-degree user, each triangle is found once from its two
+lowest corners, and the direction flags carried on every friendship decide
+which corners are mutual friends of the other two. Work is O(m^1.5) for
+any degree distribution; no key of any join holds more than sqrt(2m) rows
+from a hub, because a hub points at almost nobody.
 """
 
 from __future__ import annotations
@@ -38,6 +40,15 @@ def clean_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFra
             .distinct())
 
 
+def friendships(edges: DataFrame) -> DataFrame:
+    """Befriended pairs with the directions listed: ``(u, v, uv, vu)``,
+    u < v, ``uv`` = v is on u's list, ``vu`` = u is on v's list. One
+    aggregation with a map-side partial step."""
+    return (edges.groupBy(pair_lo("src", "dst").alias("u"), pair_hi("src", "dst").alias("v"))
+            .agg(F.max(F.col("src") < F.col("dst")).alias("uv"),
+                 F.max(F.col("src") > F.col("dst")).alias("vu")))
+
+
 def friend_pairs(edges: DataFrame) -> DataFrame:
     """Befriended pairs ``(u, v)``, u < v, one row each (O13)."""
     return (edges.select(pair_lo("src", "dst").alias("u"), pair_hi("src", "dst").alias("v"))
@@ -55,43 +66,80 @@ def in_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("dst").alias("user_id")).agg(F.count(F.lit(1)).alias("degree"))
 
 
-def _oriented_pairs(edges: DataFrame, hot_keys: int) -> DataFrame:
-    """Befriended pairs as ``(x, y)``: ``x`` is the endpoint with the shorter
-    friend list (ties: smaller id), ``y`` the other one."""
-    deg = out_degrees(edges)
-    pairs = friend_pairs(edges)
-    # a user is in at most about ``degree`` pairs: the top degrees say which
-    # keys of the pair table are hot and into how many pieces to split them
+def pair_degrees(pairs: DataFrame) -> DataFrame:
+    """``(user_id, degree)``: number of befriended pairs a user is in."""
+    return (pairs.select(F.explode(F.array("u", "v")).alias("user_id"))
+            .groupBy("user_id").agg(F.count(F.lit(1)).alias("degree")))
+
+
+def _oriented(fs: DataFrame, hot_keys: int) -> DataFrame:
+    """Friendships pointed from the lower- to the higher-ranked user, rank =
+    (number of friendships, id): ``(x, y, dy, xy, yx)`` with ``dy`` the
+    degree of y and the two direction flags in that frame.
+
+    A user x keeps at most sqrt(2m) pairs pointing away from it (m pairs in
+    all): a user with more has more than sqrt(2m) friends of even higher
+    degree, and there are fewer than sqrt(2m) users that big. A hub with a
+    third of all friendships points at almost nobody."""
+    deg = pair_degrees(fs)
     pieces = (hot_pieces(top_keys(deg, "user_id", "degree", hot_keys), "user_id", "degree")
               if hot_keys > 0 else None)
 
     def with_degree(df: DataFrame, end: str, out: str) -> DataFrame:
         lk = deg.select(F.col("user_id").alias(end), F.col("degree").alias(out))
         pk = pieces.withColumnRenamed("user_id", end) if pieces is not None else None
-        return lookup_join(df, lk, end, pk, "left")
+        return lookup_join(df, lk, end, pk, "inner")
+
+    d = with_degree(with_degree(fs, "u", "du"), "v", "dv")
+    u_low = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
 
-    pd = with_degree(with_degree(pairs, "u", "du"), "v", "dv")
-    du = F.coalesce(F.col("du"), F.lit(0))
-    dv = F.coalesce(F.col("dv"), F.lit(0))
-    u_first = du <= dv  # u < v, so equal degrees also pick u
-    return pd.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("x"),
-                     F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("y"))
+    def pick(a: str, b: str) -> Column:
+        return F.when(u_low, F.col(a)).otherwise(F.col(b))
+
+    return d.select(pick("u", "v").alias("x"), pick("v", "u").alias("y"), pick("dv", "du").alias("dy"),
+                    pick("uv", "vu").alias("xy"), pick("vu", "uv").alias("yx"))
+
+
+def triangles(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
+    """Every triangle of befriended users once: ``(x, y, w)`` ranked
+    x < y < w, with the six direction flags ``xy yx xw wx yw wy``.
+
+    Built from its two lowest corners: the pair x->y meets x's other pairs
+    x->w (an equi-join on x, both sides at most sqrt(2m) rows per key) and
+    keeps w ranked above y; the closing pair {y, w} is then looked up."""
+    fs = friendships(edges)
+    o = _oriented(fs, hot_keys)
+    other = o.select("x", F.col("y").alias("w"), F.col("dy").alias("dw"),
+                     F.col("xy").alias("xw"), F.col("yx").alias("wx"))
+    above = (F.col("dw") > F.col("dy")) | ((F.col("dw") == F.col("dy")) & (F.col("w") > F.col("y")))
+    wedges = (o.join(other, "x").where(above)
+              .select("x", "y", "w", "xy", "yx", "xw", "wx",
+                      pair_lo("y", "w").alias("u"), pair_hi("y", "w").alias("v")))
+    tri = wedges.join(fs, ["u", "v"])  # the closing pair must exist
+    y_first = F.col("y") < F.col("w")
+    return tri.select("x", "y", "w", "xy", "yx", "xw", "wx",
+                      F.when(y_first, F.col("uv")).otherwise(F.col("vu")).alias("yw"),
+                      F.when(y_first, F.col("vu")).otherwise(F.col("uv")).alias("wy"))
 
 
 def mutual_friend_rows(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
     """``(u, v, friend_id)``: one row per befriended pair and mutual friend.
     Pairs without a mutual friend have no row here (see ``mutual_friends``).
 
-    Candidates ``(x, y, w)`` -- w on the shorter list x -- are kept to three
-    ids (the pair is rebuilt after the check) since they are the largest
-    intermediate: sum over pairs of min(deg u, deg v) rows."""
-    oriented = _oriented_pairs(edges, hot_keys)
-    from_x = edges.select(F.col("src").alias("x"), F.col("dst").alias("w"))
-    cand = oriented.join(from_x, "x").where(F.col("w") != F.col("y"))
-    of_y = edges.select(F.col("src").alias("y"), F.col("dst").alias("w"))
-    return (cand.join(of_y, ["y", "w"], "left_semi")
-            .select(pair_lo("x", "y").alias("u"), pair_hi("x", "y").alias("v"),
-                    F.col("w").alias("friend_id")))
+    A mutual friend w of {u, v} always closes a triangle {u, v, w}; of each
+    triangle's three corners, a corner is a mutual friend of the other two
+    when both of them list it."""
+    t = triangles(edges, hot_keys)
+
+    def row(a: str, b: str, w: str, keep: Column) -> Column:
+        return F.when(keep, F.struct(pair_lo(a, b).alias("u"), pair_hi(a, b).alias("v"),
+                                     F.col(w).alias("friend_id")))
+
+    rows = F.array(row("x", "y", "w", F.col("xw") & F.col("yw")),
+                   row("x", "w", "y", F.col("xy") & F.col("wy")),
+                   row("y", "w", "x", F.col("yx") & F.col("wx")))
+    return (t.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+            .select("r.u", "r.v", "r.friend_id"))
 
 
 def mutual_friends(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
@@ -104,7 +152,7 @@ def mutual_friends(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFr
     # read twice below (rows, and which pairs have any): written once to the
     # shared checkpoint folder when the session names one
     rows = reuse(mutual_friend_rows(edges, hot_keys), "mutual-rows")
-    pairs = friend_pairs(edges)
+    pairs = friendships(edges).select("u", "v")
     counted = rows.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_n"))
     empty = (pairs.join(counted, ["u", "v"], "left_anti")
              .select("u", "v", F.lit(None).cast("bigint").alias("friend_id")))
@@ -127,7 +175,7 @@ def mutual_friend_counts(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) ->
     """E2a: ``(u, v, n_mutual bigint)`` for every befriended pair, 0 included."""
     counts = (mutual_friend_rows(edges, hot_keys)
               .groupBy("u", "v").agg(F.count(F.lit(1)).alias("n_mutual")))
-    return (friend_pairs(edges).join(counts, ["u", "v"], "left")
+    return (friendships(edges).select("u", "v").join(counts, ["u", "v"], "left")
             .select("u", "v", F.coalesce("n_mutual", F.lit(0)).cast("bigint").alias("n_mutual")))
 
 

@@ -61,3 +61,27 @@ def test_reuse_without_checkpoint_dir(edges):
         assert lists_of(mutual_friends(edges)) == E1
     finally:
         session.configured_checkpoint_dir = orig
+
+
+def brute_force(edge_set):
+    lists = {}
+    for s, d in edge_set:
+        lists.setdefault(s, set()).add(d)
+    pairs = {(min(s, d), max(s, d)) for s, d in edge_set}
+    return {(u, v): sorted(lists.get(u, set()) & lists.get(v, set())) for u, v in pairs}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_directed_graphs_against_brute_force(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    n = 40
+    # a hub listed by many, lists few; plus random one-sided and two-sided edges
+    edge_set = {(rnd.randrange(n), rnd.randrange(n)) for _ in range(300)}
+    edge_set |= {(i, 0) for i in range(1, n, 2)} | {(0, 1), (0, 2)}
+    edge_set = {(s, d) for s, d in edge_set if s != d}
+    edges = spark.createDataFrame(sorted(edge_set), "src long, dst long")
+    expected = brute_force(edge_set)
+    assert lists_of(mutual_friends(edges)) == expected
+    got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, hot_keys=3).collect()}
+    assert got == {k: len(v) for k, v in expected.items()}
