@@ -56,8 +56,12 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     values = [c for c in lookup.columns if c != key]
+    # the one-row-per-key side is always the hash-build side: the big side
+    # stays the parallel probe side even when adaptive execution finds both
+    # small (otherwise it may build the big side and probe with a tiny,
+    # coalesced one-partition table, running the whole join in one task)
     if pieces is None:
-        return big.join(lookup, key, how).select(*big.columns, *values)
+        return big.join(lookup.hint("shuffle_hash"), key, how).select(*big.columns, *values)
     p = F.broadcast(pieces.select(key, _PIECES))
     n = F.coalesce(F.col(_PIECES), F.lit(1))
     salted_big = (big.join(p, key, "left")
@@ -66,4 +70,5 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
     spread_lookup = (lookup.join(p, key, "left")
                      .withColumn(_SALT, F.explode(F.sequence(F.lit(0), n - 1)))
                      .drop(_PIECES))
-    return salted_big.join(spread_lookup, [key, _SALT], how).select(*big.columns, *values)
+    return (salted_big.join(spread_lookup.hint("shuffle_hash"), [key, _SALT], how)
+            .select(*big.columns, *values))

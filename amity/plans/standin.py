@@ -65,10 +65,13 @@ class StandIn:
 
     def derive_edges(self) -> DataFrame:
         near = self._neighbour_orders(list(range(1, FRIEND_REACH + 1)))
-        one_way = near.where(F.col("c1") != F.col("c2")).select("c1", "c2")
-        both = F.explode(F.array(F.struct(F.col("c1").alias("src"), F.col("c2").alias("dst")),
-                                 F.struct(F.col("c2").alias("src"), F.col("c1").alias("dst"))))
-        return one_way.select(both.alias("e")).select("e.src", "e.dst").distinct()
+        # distinct unordered pairs first (half the rows), then both directions
+        pairs = (near.where(F.col("c1") != F.col("c2"))
+                 .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"))
+                 .distinct())
+        both = F.explode(F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
+                                 F.struct(F.col("b").alias("src"), F.col("a").alias("dst"))))
+        return pairs.select(both.alias("e")).select("e.src", "e.dst")
 
     def friend_lines(self) -> DataFrame:
         """Adjacency text ``value``: per order, its customer then the
