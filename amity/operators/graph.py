@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amity.functions.columns import age_years, pair_hi, pair_lo
-from amity.operators.skew import DEFAULT_HOT_KEYS, hot_pieces, lookup_join, top_keys
+from amity.operators.skew import DEFAULT_HOT_KEYS, hot_pieces, lookup_join
 from amity.session import reuse
 
 
@@ -82,8 +82,7 @@ def _oriented(fs: DataFrame, hot_keys: int) -> DataFrame:
     degree, and there are fewer than sqrt(2m) users that big. A hub with a
     third of all friendships points at almost nobody."""
     deg = pair_degrees(fs)
-    pieces = (hot_pieces(top_keys(deg, "user_id", "degree", hot_keys), "user_id", "degree")
-              if hot_keys > 0 else None)
+    pieces = hot_pieces(deg, "user_id", "degree", hot_keys) if hot_keys > 0 else None
 
     def with_degree(df: DataFrame, end: str, out: str) -> DataFrame:
         lk = deg.select(F.col("user_id").alias(end), F.col("degree").alias(out))
@@ -249,8 +248,8 @@ def max_friend_age(edges: DataFrame, profiles: DataFrame,
     ages = profiles.select(F.col("user_id").alias("dst"), age_years("dob", as_of).alias("age"))
     pieces = None
     if hot_keys > 0:
-        pieces = hot_pieces(top_keys(in_degrees(edges), "user_id", "degree", hot_keys),
-                            "user_id", "degree").withColumnRenamed("user_id", "dst")
+        pieces = hot_pieces(in_degrees(edges), "user_id", "degree", hot_keys) \
+            .withColumnRenamed("user_id", "dst")
     joined = lookup_join(edges, ages, "dst", pieces, "left")
     return (joined.groupBy(F.col("src").alias("user_id"))
             .agg(F.max("age").alias("max_friend_age")))

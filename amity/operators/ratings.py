@@ -61,15 +61,23 @@ def top_rated_businesses(business: DataFrame, reviews: DataFrame, k: int = 10) -
 def top_rated_businesses_sql(spark: SparkSession, business: DataFrame, reviews: DataFrame,
                              k: int = 10, business_view: str = "business_table",
                              review_view: str = "review_table") -> DataFrame:
-    """E7 as SQL over temp views, the reference's own form (O6, O25, O36)."""
+    """E7 as SQL over temp views, the reference's own form (O6, O25, O36).
+
+    The reviews are reduced to (sum, count) per business in a subquery
+    before the join, so a business with a third of all reviews is one row
+    when it meets the business table; the result equals AVG over the join
+    (the average is the same for every address group of a business)."""
     business.createOrReplaceTempView(business_view)
     reviews.createOrReplaceTempView(review_view)
     return spark.sql(f"""
-        SELECT rt.business_id,
+        WITH per_business AS (
+            SELECT business_id, SUM(stars) AS star_sum, COUNT(stars) AS star_count
+            FROM {review_view} GROUP BY business_id)
+        SELECT bt.business_id,
                array_sort(collect_set(bt.categories)) AS categories,
                bt.full_address,
-               AVG(rt.stars) AS avg_stars
-        FROM {business_view} bt JOIN {review_view} rt ON bt.business_id = rt.business_id
-        GROUP BY rt.business_id, bt.full_address
-        ORDER BY avg_stars DESC NULLS LAST, rt.business_id, bt.full_address
+               pb.star_sum / NULLIF(pb.star_count, 0) AS avg_stars
+        FROM {business_view} bt JOIN per_business pb ON bt.business_id = pb.business_id
+        GROUP BY bt.business_id, bt.full_address, pb.star_sum, pb.star_count
+        ORDER BY avg_stars DESC NULLS LAST, bt.business_id, bt.full_address
         LIMIT {int(k)}""")

@@ -36,13 +36,16 @@ def top_keys(counts: DataFrame, key: str, count_col: str, n: int) -> DataFrame:
     return counts.orderBy(F.col(count_col).desc(), F.col(key).asc()).limit(n)
 
 
-def hot_pieces(hot: DataFrame, key: str, count_col: str,
+def hot_pieces(counts: DataFrame, key: str, count_col: str, n: int = DEFAULT_HOT_KEYS,
                rows_per_piece: int | None = None) -> DataFrame:
-    """``(key, __pieces)`` for the keys of ``hot`` that need more than one
-    piece. ``hot`` must already be bounded (e.g. ``top_keys``)."""
+    """``(key, __pieces)`` for at most ``n`` keys that need more than one
+    piece (more than ``rows_per_piece`` rows). Keys below the threshold are
+    dropped before the top-n, so each partition's local top-n list holds
+    only genuinely hot keys and the final merge stays small."""
     rows_per_piece = rows_per_piece or DEFAULT_ROWS_PER_PIECE
+    hot = top_keys(counts.where(F.col(count_col) > rows_per_piece), key, count_col, n)
     pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col(count_col) / F.lit(rows_per_piece))).cast("int")
-    return hot.select(key, pieces.alias(_PIECES)).where(F.col(_PIECES) > 1)
+    return hot.select(key, pieces.alias(_PIECES))
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
