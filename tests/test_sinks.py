@@ -35,3 +35,14 @@ def test_reference_layouts(spark, friends_path, profiles_path, business_path, re
     assert "0\t1\t2,3" in {r.value for r in L.mutual_friend_lines(mutual_friends(edges)).collect()}
     e7 = L.row_lines(top_rated_businesses(read_business(spark, business_path), read_reviews(spark, reviews_path)))
     assert e7.collect()[0].value.startswith("[b1,[List(Food, Bars)],12 Main St Stanford, CA,4.666")
+
+
+def test_edge_table_layout(spark, friends_path, profiles_path, tmp_path):
+    from amity import mutual_friend_profiles, read_profiles, write_edge_table
+    edges = read_friends(spark, friends_path).edges
+    write_edge_table(edges, str(tmp_path / "e"), 4)
+    table = spark.read.parquet(str(tmp_path / "e"))
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, edges.collect()))
+    df = mutual_friend_profiles(table, read_profiles(spark, profiles_path), 1, 0)
+    assert "EqualTo(src,0)" in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.friend_id for r in df.collect()) == [2, 3]
