@@ -188,26 +188,32 @@ def top_mutual_pairs(edges: DataFrame, k: int = 10, hot_keys: int = DEFAULT_HOT_
 
 # ------------------------------------------------------------ profile joins
 
-def _attach(profiles: DataFrame, small: DataFrame, key: str) -> DataFrame:
-    """``small`` left-joined to ``profiles`` on ``key``. ``small`` is a
-    bounded result (a top-k), so it is the broadcast side: ``profiles`` is
-    scanned once and never shuffled, and ``small`` is computed once."""
-    return profiles.join(F.broadcast(small), key, "right")
+def _profiles_for(profiles: DataFrame, keys: DataFrame, key: str = "user_id") -> DataFrame:
+    """The profile rows of the users in ``keys`` (a bounded result: the ids
+    of a top-k). The keys are broadcast and ``profiles`` is scanned once,
+    never shuffled; with one profile per user the result has at most
+    ``len(keys)`` rows, so it can be broadcast in turn."""
+    return profiles.join(F.broadcast(keys.select(key).distinct()), key, "left_semi")
 
 
 def top_mutual_pairs_named(edges: DataFrame, profiles: DataFrame, k: int = 10,
                            hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
     """E3: E2 plus first name, last name and address of both users (NULL
     when a user has no profile). Columns: n_mutual, u, v, first_u, last_u,
-    address_u, first_v, last_v, address_v. The ``k`` rows are found first;
-    only then are their users looked up."""
-    top = top_mutual_pairs(edges, k, hot_keys)
+    address_u, first_v, last_v, address_v. The ``k`` rows are found first
+    (and written once when a checkpoint folder is set, since they are read
+    three times); only their users are looked up. ``profiles`` must hold
+    one row per user (``read_profiles`` dedupes)."""
+    top = reuse(top_mutual_pairs(edges, k, hot_keys), "top-pairs")
+    ids = top.select(F.col("u").alias("user_id")).unionByName(top.select(F.col("v").alias("user_id")))
+    prof = _profiles_for(profiles.select("user_id", "first_name", "last_name", "address"), ids)
 
     def side(s: str) -> DataFrame:
-        return profiles.select(F.col("user_id").alias(s), F.col("first_name").alias(f"first_{s}"),
-                               F.col("last_name").alias(f"last_{s}"), F.col("address").alias(f"address_{s}"))
+        return F.broadcast(prof.select(F.col("user_id").alias(s), F.col("first_name").alias(f"first_{s}"),
+                                       F.col("last_name").alias(f"last_{s}"),
+                                       F.col("address").alias(f"address_{s}")))
 
-    named = _attach(side("v"), _attach(side("u"), top, "u"), "v")
+    named = top.join(side("u"), "u", "left").join(side("v"), "v", "left")
     return named.select("n_mutual", "u", "v", "first_u", "last_u", "address_u",
                         "first_v", "last_v", "address_v")
 
@@ -261,10 +267,13 @@ def oldest_friend_top(edges: DataFrame, profiles: DataFrame,
     """E5: the ``k`` users whose oldest friend is oldest (ties: smaller id;
     users without any known friend age are left out), with the user's own
     address, city and state: ``(user_id, address, city, state,
-    max_friend_age)``."""
+    max_friend_age)``. The address lookup runs after the top-k, on k users
+    (profiles scanned once against a broadcast of their ids)."""
     top = (max_friend_age(edges, profiles, as_of, hot_keys)
            .where(F.col("max_friend_age").isNotNull())
            .orderBy(F.col("max_friend_age").desc(), F.col("user_id").asc())
            .limit(k))
-    return (_attach(profiles.select("user_id", "address", "city", "state"), top, "user_id")
+    top = reuse(top, "top-users")
+    addr = _profiles_for(profiles.select("user_id", "address", "city", "state"), top)
+    return (top.join(F.broadcast(addr), "user_id", "left")
             .select("user_id", "address", "city", "state", "max_friend_age"))

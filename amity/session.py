@@ -102,9 +102,26 @@ def reuse(df: DataFrame, name: str = "table") -> DataFrame:
         return df
     path = f"{root.rstrip('/')}/amity-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_reused(spark: SparkSession) -> int:
+    """Delete the tables ``reuse`` wrote from this process (call it when the
+    DataFrames built on them are done). Goes through the Hadoop file system
+    of each path, so it works on any shared store. Returns how many."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(p.getFileSystem(hconf).delete(p, True))
+    return n
+
+
 def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Reliable checkpoint: writes ``df`` to the shared checkpoint folder and
     returns a DataFrame that reads it back, so lost executors never force a

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from amity.session import build_session  # noqa: E402
+from amity.session import build_session, drop_reused  # noqa: E402
 
 FRIEND_LINES = [
     "0\t1,2,3",
@@ -79,6 +79,7 @@ def spark():
     if not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="amity-test-ckpt-", dir="/tmp"))
     yield s
+    drop_reused(s)
     s.stop()
 
 
