@@ -234,8 +234,11 @@ def mutual_friend_profiles(edges: DataFrame, profiles: DataFrame, a: int, b: int
     shared = (la.join(lb, "friend_id")
               .select(F.lit(lo).cast("bigint").alias("u"), F.lit(hi).cast("bigint").alias("v"), "friend_id")
               .join(pair, ["u", "v"], "left_semi"))
-    prof = profiles.select(F.col("user_id").alias("friend_id"), "first_name",
-                           F.col("dob_text").alias("dob"))
+    # profiles of the shared friends only: a semi-join whose small side
+    # adaptive execution broadcasts after checking its size at runtime, so
+    # a point query never shuffles the whole profile table
+    prof = (profiles.select(F.col("user_id").alias("friend_id"), "first_name", F.col("dob_text").alias("dob"))
+            .join(shared.select("friend_id"), "friend_id", "left_semi"))
     return shared.join(prof, "friend_id", "left").select("u", "v", "friend_id", "first_name", "dob")
 
 
