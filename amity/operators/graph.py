@@ -180,10 +180,22 @@ def mutual_friend_counts(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) ->
 
 def top_mutual_pairs(edges: DataFrame, k: int = 10, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
     """E2: the ``k`` pairs with most mutual friends; ties by u, then v.
-    Planned as a per-partition top-k merge (TakeOrderedAndProject)."""
-    return (mutual_friend_counts(edges, hot_keys)
-            .orderBy(F.col("n_mutual").desc(), F.col("u").asc(), F.col("v").asc())
-            .limit(k))
+
+    Exact without joining every pair to its count: the answer is the top
+    ``k`` of the pairs with a count (a per-partition top-k merge), unless
+    fewer than ``k`` pairs share anybody; then the first pairs with count 0
+    in (u, v) order fill it, and those are always among the first ``2k``
+    pairs in that order. So only those ``2k`` pairs (a bounded broadcast)
+    are checked against the counts."""
+    order = [F.col("n_mutual").desc(), F.col("u").asc(), F.col("v").asc()]
+    counts = (mutual_friend_rows(edges, hot_keys)
+              .groupBy("u", "v").agg(F.count(F.lit(1)).alias("n_mutual")))
+    best = counts.orderBy(*order).limit(k)
+    first = friendships(edges).select("u", "v").orderBy("u", "v").limit(2 * k)
+    first_counted = counts.join(F.broadcast(first), ["u", "v"], "left_semi").select("u", "v")
+    zeros = (first.join(F.broadcast(first_counted), ["u", "v"], "left_anti")
+             .select("u", "v", F.lit(0).cast("bigint").alias("n_mutual")))
+    return best.unionByName(zeros).orderBy(*order).limit(k)
 
 
 # ------------------------------------------------------------ profile joins

@@ -85,3 +85,14 @@ def test_random_directed_graphs_against_brute_force(spark, seed):
     assert lists_of(mutual_friends(edges)) == expected
     got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, hot_keys=3).collect()}
     assert got == {k: len(v) for k, v in expected.items()}
+
+
+def test_top_pairs_fill_with_zero_pairs(spark):
+    # two pairs share a friend, all others share nobody: the top 6 needs zeros
+    edges = spark.createDataFrame([(1, 2), (2, 1), (1, 3), (3, 1), (2, 3), (3, 2),
+                                   (5, 6), (6, 5), (7, 8), (9, 4), (0, 9)], "src long, dst long")
+    full = sorted(((r.n_mutual, r.u, r.v) for r in mutual_friend_counts(edges).collect()),
+                  key=lambda t: (-t[0], t[1], t[2]))
+    for k in (1, 3, 4, 6, 20):
+        got = [(r.n_mutual, r.u, r.v) for r in top_mutual_pairs(edges, k).collect()]
+        assert got == full[:k]
