@@ -171,31 +171,31 @@ def mutual_friend_lists(mutual_long: DataFrame) -> DataFrame:
 
 
 def mutual_friend_counts(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
-    """E2a: ``(u, v, n_mutual bigint)`` for every befriended pair, 0 included."""
-    counts = (mutual_friend_rows(edges, hot_keys)
-              .groupBy("u", "v").agg(F.count(F.lit(1)).alias("n_mutual")))
-    return (friendships(edges).select("u", "v").join(counts, ["u", "v"], "left")
-            .select("u", "v", F.coalesce("n_mutual", F.lit(0)).cast("bigint").alias("n_mutual")))
+    """E2a: ``(u, v, n_mutual bigint)`` for every befriended pair, 0 included.
+    Every pair enters as a row of weight 0 next to its mutual-friend rows
+    (weight 1): one hash aggregation with a map-side partial step, no join."""
+    weighted = mutual_friend_rows(edges, hot_keys).select("u", "v", F.lit(1).alias("_w"))
+    pairs = friendships(edges).select("u", "v", F.lit(0).alias("_w"))
+    return (weighted.unionByName(pairs)
+            .groupBy("u", "v").agg(F.sum("_w").cast("bigint").alias("n_mutual")))
 
 
 def top_mutual_pairs(edges: DataFrame, k: int = 10, hot_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
     """E2: the ``k`` pairs with most mutual friends; ties by u, then v.
 
     Exact without joining every pair to its count: the answer is the top
-    ``k`` of the pairs with a count (a per-partition top-k merge), unless
-    fewer than ``k`` pairs share anybody; then the first pairs with count 0
-    in (u, v) order fill it, and those are always among the first ``2k``
-    pairs in that order. So only those ``2k`` pairs (a bounded broadcast)
-    are checked against the counts."""
+    ``k`` of the pairs with a count, unless fewer than ``k`` pairs share
+    anybody; then the first count-0 pairs in (u, v) order fill it, and those
+    are always among the first ``2k`` pairs in that order. So those ``2k``
+    pairs join the mutual-friend rows as rows of weight 0, one aggregation
+    counts everything, and a per-partition top-k merge picks the answer."""
     order = [F.col("n_mutual").desc(), F.col("u").asc(), F.col("v").asc()]
-    counts = (mutual_friend_rows(edges, hot_keys)
-              .groupBy("u", "v").agg(F.count(F.lit(1)).alias("n_mutual")))
-    best = counts.orderBy(*order).limit(k)
-    first = friendships(edges).select("u", "v").orderBy("u", "v").limit(2 * k)
-    first_counted = counts.join(F.broadcast(first), ["u", "v"], "left_semi").select("u", "v")
-    zeros = (first.join(F.broadcast(first_counted), ["u", "v"], "left_anti")
-             .select("u", "v", F.lit(0).cast("bigint").alias("n_mutual")))
-    return best.unionByName(zeros).orderBy(*order).limit(k)
+    weighted = mutual_friend_rows(edges, hot_keys).select("u", "v", F.lit(1).alias("_w"))
+    first = (friendships(edges).select("u", "v").orderBy("u", "v").limit(2 * k)
+             .select("u", "v", F.lit(0).alias("_w")))
+    counts = (weighted.unionByName(first)
+              .groupBy("u", "v").agg(F.sum("_w").cast("bigint").alias("n_mutual")))
+    return counts.orderBy(*order).limit(k)
 
 
 # ------------------------------------------------------------ profile joins
