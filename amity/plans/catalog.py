@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amity.operators import graph, ratings
+from amity.sources.text import read_business, read_friends, read_profiles, read_reviews
 from amity.plans.oracle import oracle_queries
 from amity.plans.standin import AS_OF, NEEDLE, TOP_K, StandIn
 
@@ -85,6 +86,34 @@ def q_top_rated_businesses_sql(spark: SparkSession, sf: str) -> DataFrame:
     return _e7_text(ratings.top_rated_businesses_sql(spark, s.business(), s.reviews(), TOP_K))
 
 
+def q_friend_edges_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """O1/O2 end to end: adjacency text files -> ``read_friends``."""
+    s = StandIn(spark, sf)
+    return read_friends(spark, s.text_files("friends")).edges
+
+
+def q_oldest_friend_top_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """E5 with profiles read from comma text files (``read_profiles``)."""
+    s = StandIn(spark, sf)
+    profiles = read_profiles(spark, s.text_files("userdata"))
+    return graph.oldest_friend_top(s.edges(), profiles, AS_OF, TOP_K)
+
+
+def q_ratings_by_address_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """E6 with business and reviews read from ``::`` text files."""
+    s = StandIn(spark, sf)
+    return ratings.ratings_by_address(read_business(spark, s.text_files("business")),
+                                      read_reviews(spark, s.text_files("reviews")), NEEDLE)
+
+
+def q_top_rated_businesses_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """E7 (SQL form) with business and reviews read from ``::`` text files."""
+    s = StandIn(spark, sf)
+    return _e7_text(ratings.top_rated_businesses_sql(
+        spark, read_business(spark, s.text_files("business")),
+        read_reviews(spark, s.text_files("reviews")), TOP_K))
+
+
 QUERIES: dict[str, Query] = {
     "friend_edges": q_friend_edges,
     "friend_pairs": q_friend_pairs,
@@ -98,6 +127,10 @@ QUERIES: dict[str, Query] = {
     "ratings_by_address": q_ratings_by_address,
     "top_rated_businesses": q_top_rated_businesses,
     "top_rated_businesses_sql": q_top_rated_businesses_sql,
+    "friend_edges_from_files": q_friend_edges_from_files,
+    "oldest_friend_top_from_files": q_oldest_friend_top_from_files,
+    "ratings_by_address_from_files": q_ratings_by_address_from_files,
+    "top_rated_businesses_from_files": q_top_rated_businesses_from_files,
 }
 
 

@@ -70,6 +70,26 @@ LIMIT {TOP_K}
 """)
 
 
+E7_TEXT_SQL = with_standin(f"""
+SELECT CAST(b.business_id AS VARCHAR) AS business_id,
+       string_agg(DISTINCT b.categories, '|' ORDER BY b.categories) AS categories,
+       b.full_address,
+       round(avg(r.stars), 6) AS avg_stars
+FROM business b JOIN reviews r ON b.business_id = r.business_id
+GROUP BY b.business_id, b.full_address
+ORDER BY avg(r.stars) DESC NULLS LAST, CAST(b.business_id AS VARCHAR), b.full_address
+LIMIT {TOP_K}
+""")
+
+
+def e5_sql() -> str:
+    return with_standin(f"""
+SELECT t.user_id, p.address, p.city, p.state, t.max_friend_age
+FROM (SELECT user_id, max_friend_age FROM friend_age WHERE max_friend_age IS NOT NULL
+      ORDER BY max_friend_age DESC, user_id LIMIT {TOP_K}) t
+     LEFT JOIN profiles p ON p.user_id = t.user_id""")
+
+
 def oracle_queries(profile_pair: tuple[int, int]) -> dict[str, str]:
     return {
         "friend_edges": with_standin("SELECT src, dst FROM edges"),
@@ -91,15 +111,19 @@ FROM (SELECT u, v, n_mutual FROM mcounts ORDER BY n_mutual DESC, u, v LIMIT {TOP
      LEFT JOIN profiles pv ON pv.user_id = t.v"""),
         "mutual_friend_profiles": profile_pair_sql(*profile_pair),
         "max_friend_age": with_standin("SELECT user_id, max_friend_age FROM friend_age"),
-        "oldest_friend_top": with_standin(f"""
-SELECT t.user_id, p.address, p.city, p.state, t.max_friend_age
-FROM (SELECT user_id, max_friend_age FROM friend_age WHERE max_friend_age IS NOT NULL
-      ORDER BY max_friend_age DESC, user_id LIMIT {TOP_K}) t
-     LEFT JOIN profiles p ON p.user_id = t.user_id"""),
+        "oldest_friend_top": e5_sql(),
         "ratings_by_address": with_standin(f"""
 SELECT DISTINCT r.user_id, r.stars
 FROM business b JOIN reviews r ON b.business_id = r.business_id
 WHERE contains(b.full_address, '{NEEDLE}')"""),
         "top_rated_businesses": E7_SQL,
         "top_rated_businesses_sql": E7_SQL,
+        # text readers: ids come back as text from the business / review files
+        "friend_edges_from_files": with_standin("SELECT src, dst FROM edges"),
+        "oldest_friend_top_from_files": e5_sql(),
+        "ratings_by_address_from_files": with_standin(f"""
+SELECT DISTINCT CAST(r.user_id AS VARCHAR) AS user_id, r.stars
+FROM business b JOIN reviews r ON b.business_id = r.business_id
+WHERE contains(b.full_address, '{NEEDLE}')"""),
+        "top_rated_businesses_from_files": E7_TEXT_SQL,
     }

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amity.functions.columns import DOB_PATTERN
-from amity.session import apply_adaptive_conf, reuse
+from amity.session import apply_adaptive_conf, reuse, write_scratch_text
 from amity.sources.text import parse_friend_lines
 
 # Fixed values of the stand-in (must equal the oracle SQL's).
@@ -120,3 +120,33 @@ class StandIn:
             F.col("o_custkey").alias("user_id"),
             F.col("l_partkey").alias("business_id"),
             F.col("l_quantity").cast("double").alias("stars"))
+
+    # ------------------------------------------------- text-file round trips
+    def business_lines(self) -> DataFrame:
+        """``business_id::full_address::categories`` text lines."""
+        b = self.business()
+        return b.select(F.concat_ws("::", F.col("business_id").cast("string"), "full_address",
+                                    "categories").alias("value"))
+
+    def review_lines(self) -> DataFrame:
+        """``review_id::user_id::business_id::stars`` text lines."""
+        r = self.reviews()
+        return r.select(F.concat_ws("::", "review_id", F.col("user_id").cast("string"),
+                                    F.col("business_id").cast("string"),
+                                    F.col("stars").cast("string")).alias("value"))
+
+    def profile_lines(self) -> DataFrame:
+        """Comma userdata lines: id, first, last, address, city, state, three
+        unused fields, birth date as M/d/yyyy."""
+        p = self.profiles()
+        return p.select(F.concat_ws(",", F.col("user_id").cast("string"), "first_name", "last_name",
+                                    "address", "city", "state", F.lit("-"), F.lit("-"), F.lit("-"),
+                                    F.coalesce("dob_text", F.lit(""))).alias("value"))
+
+    def text_files(self, kind: str) -> str:
+        """Write the stand-in lines of ``kind`` (friends, business, reviews,
+        userdata) as text files under the shared checkpoint folder; returns
+        the folder, to be read back with the library's text readers."""
+        lines = {"friends": self.friend_lines, "business": self.business_lines,
+                 "reviews": self.review_lines, "userdata": self.profile_lines}[kind]()
+        return write_scratch_text(lines, kind)

@@ -109,6 +109,18 @@ def reuse(df: DataFrame, name: str = "table") -> DataFrame:
 _WRITTEN: list[str] = []
 
 
+def write_scratch_text(lines: DataFrame, name: str) -> str:
+    """Write a ``value`` column as text files under the shared checkpoint
+    folder (dropped with ``drop_reused``); returns the folder."""
+    root = configured_checkpoint_dir(lines.sparkSession)
+    if root is None:
+        raise RuntimeError("spark.checkpoint.dir is not set; text round trips need a shared folder")
+    path = f"{root.rstrip('/')}/amity-{name}-{uuid.uuid4().hex}"
+    lines.select("value").write.mode("error").text(path)
+    _WRITTEN.append(path)
+    return path
+
+
 def drop_reused(spark: SparkSession) -> int:
     """Delete the tables ``reuse`` wrote from this process (call it when the
     DataFrames built on them are done). Goes through the Hadoop file system
