@@ -52,7 +52,10 @@ class StandIn:
         """(k, c1, d, c2): order k of customer c1 and the customer c2 of order
         k + d, for each offset d -- one equi-join on the shifted key."""
         o = self.table("orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c1"))
-        n = self.table("orders").select(F.col("o_orderkey").alias("nk"), F.col("o_custkey").alias("c2"))
+        # a shuffle join, as orders is large at scale; it also keeps the
+        # derivation parallel when the orders file is a single row group
+        n = (self.table("orders").select(F.col("o_orderkey").alias("nk"), F.col("o_custkey").alias("c2"))
+             .hint("shuffle_hash"))
         shifted = o.select("k", "c1", F.explode(F.array(*[F.lit(d) for d in offsets])).alias("d")) \
                    .withColumn("nk", F.col("k") + F.col("d"))
         return shifted.join(n, "nk").select("k", "c1", "d", "c2")
