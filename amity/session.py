@@ -80,8 +80,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder if the session names one, else None."""
-    current = spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder if the session names one, else None.
+    (A Spark Connect session has no context: then only the setting counts.)"""
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:
+        return spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
@@ -125,8 +129,12 @@ def drop_reused(spark: SparkSession) -> int:
     """Delete the tables ``reuse`` wrote from this process (call it when the
     DataFrames built on them are done). Goes through the Hadoop file system
     of each path, so it works on any shared store. Returns how many."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM handle (Spark Connect): leave them to the folder's cleanup
+        _WRITTEN.clear()
+        return 0
     n = 0
     while _WRITTEN:
         p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
