@@ -18,8 +18,8 @@ from amity.operators.graph import (clean_edges, friend_pairs, max_friend_age, mu
                                    mutual_friends, oldest_friend_top, top_mutual_pairs,
                                    top_mutual_pairs_named)
 from amity.operators.ratings import ratings_by_address, top_rated_businesses, top_rated_businesses_sql
-from amity.sources.sinks import to_text_lines, write_edge_table, write_text
-from amity.sources.text import (first_profile_per_user, parse_friend_lines, read_business, read_friends,
-                                read_profiles, read_reviews)
+from amity.sources.sinks import to_text_lines, write_edge_table, write_text, write_tsv
+from amity.sources.text import (first_profile_per_user, parse_friend_lines, parse_friends, read_business,
+                                read_friends, read_profiles, read_reviews)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -46,6 +46,9 @@ def write_text(df: DataFrame, path: str, style: str = "tsv", single_file: bool =
     lines.write.mode(mode).text(path)
 
 
+write_tsv = write_text  # the name used in the design notes
+
+
 def write_edge_table(edges: DataFrame, path: str, n_files: int, mode: str = "error") -> None:
     """Write an edge table laid out for lookups by user: range-partitioned
     and sorted on ``(src, dst)``, so each file covers a narrow ``src`` range

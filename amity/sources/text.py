@@ -96,6 +96,9 @@ def parse_friend_lines(lines: DataFrame, col: str = "value") -> FriendParse:
     return FriendParse(rows.edges.distinct(), rows.rejects)
 
 
+parse_friends = parse_friend_lines  # the name used in the design notes
+
+
 def read_friends(spark: SparkSession, path: str | list[str]) -> FriendParse:
     """Read adjacency-line text files (a file, a folder or a glob)."""
     return parse_friend_lines(spark.read.text(path))

@@ -26,3 +26,13 @@ def test_ingest_matches_batch(spark, tmp_path):
     q.awaitTermination(120)
     edges = {tuple(r) for r in read_edge_table(spark, out_e).collect()}
     assert (40, 41) in edges and (41, 40) in edges and len(edges) == 39
+
+
+def test_rerun_batch_replaces_its_output(spark, tmp_path):
+    from amity.streaming.ingest import _write_batch
+    lines = spark.createDataFrame([("1\t2,3",), ("2\t1",), ("x\t1",)], "value string")
+    write = _write_batch(str(tmp_path / "e"), str(tmp_path / "r"))
+    write(lines, 7)
+    write(lines, 7)  # the same batch again, as after a failure
+    assert sorted(map(tuple, read_edge_table(spark, str(tmp_path / "e")).collect())) == [(1, 2), (1, 3), (2, 1)]
+    assert read_reject_table(spark, str(tmp_path / "r")).count() == 1
