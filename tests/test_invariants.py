@@ -47,3 +47,16 @@ def test_topk_is_prefix_of_full_order(standin):
 def test_ratings_distinct(standin):
     df = ratings_by_address(standin.business(), standin.reviews(), "ring")
     assert df.count() == df.distinct().count() > 0
+
+
+def test_mixed_hot_and_cold_keys_on_real_graph(standin, monkeypatch):
+    from amity.operators import skew
+    from amity import max_friend_age
+    edges = standin.derive_edges()
+    profiles = standin.profiles()
+    plain = sorted(map(tuple, mutual_friend_counts(edges, hot_keys=0).collect()))
+    plain_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01", hot_keys=0).collect()))
+    monkeypatch.setattr(skew, "DEFAULT_ROWS_PER_PIECE", 5)   # most users are "hot" ...
+    split = sorted(map(tuple, mutual_friend_counts(edges, hot_keys=20).collect()))  # ... only 20 get split
+    split_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01", hot_keys=20).collect()))
+    assert split == plain and split_age == plain_age
