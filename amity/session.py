@@ -116,9 +116,12 @@ _WRITTEN: list[str] = []
 def write_scratch_text(lines: DataFrame, name: str) -> str:
     """Write a ``value`` column as text files under the shared checkpoint
     folder (dropped with ``drop_reused``); returns the folder."""
-    root = configured_checkpoint_dir(lines.sparkSession)
+    spark = lines.sparkSession
+    # the shared checkpoint folder, else the session's warehouse folder
+    # (both are configured storage, shared on a cluster)
+    root = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir", None)
     if root is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; text round trips need a shared folder")
+        raise RuntimeError("neither spark.checkpoint.dir nor spark.sql.warehouse.dir is set")
     path = f"{root.rstrip('/')}/amity-{name}-{uuid.uuid4().hex}"
     lines.select("value").write.mode("error").text(path)
     _WRITTEN.append(path)
