@@ -22,9 +22,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_KEYS = 1000          # size bound of every broadcast hot-key table
+DEFAULT_HOT_KEYS = 10_000           # size bound of every broadcast hot-key table (~200 KB)
 DEFAULT_ROWS_PER_PIECE = 2_000_000  # rows of one hot key handled by one task
-MAX_PIECES = 4096
+# pieces per key; all pieces together are at most rows / DEFAULT_ROWS_PER_PIECE
+# + DEFAULT_HOT_KEYS, which bounds the repeated lookup rows too
+MAX_PIECES = 65_536
 
 _PIECES = "__pieces"
 _SALT = "__salt"
