@@ -36,7 +36,8 @@ def q_friend_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_friend_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.friend_pairs(StandIn(spark, sf).edges())
+    # one read of the edges: derived inline, not written first
+    return graph.friend_pairs(StandIn(spark, sf).derive_edges())
 
 
 def q_mutual_friends(spark: SparkSession, sf: str) -> DataFrame:
