@@ -88,3 +88,12 @@ def test_first_profile_wins(spark, tmp_path):
     p = write_lines(tmp_path, "u2.txt", PROFILE_LINES + ["0,Zed,Zoo,9 Z St,Zion,Utah,x,x,x,1/1/1970"])
     rows = [r for r in read_profiles(spark, p).collect() if r.user_id == 0]
     assert len(rows) == 1 and rows[0].first_name == "Ann"
+
+
+def test_profiles_from_a_folder(spark, tmp_path):
+    from tests.conftest import PROFILE_LINES
+    d = tmp_path / "userdata"
+    d.mkdir()
+    (d / "part-a.txt").write_text("\n".join(PROFILE_LINES[:3]) + "\n")
+    (d / "part-b.txt").write_text("\n".join(PROFILE_LINES[3:]) + "\n")
+    assert sorted(r.user_id for r in read_profiles(spark, str(d)).collect()) == [0, 1, 2, 3, 6, 7, 10]
