@@ -4,8 +4,9 @@ In a friendship graph one user may hold a third of all edges; a plain
 shuffle join would send all of that user's rows to one task.
 ``lookup_join`` spreads the rows of hot keys over several tasks:
 
-* ``hot`` names at most a fixed number of keys (the caller's top-n, so the
-  table has a proven size bound) with a row count for each;
+* ``pieces`` (from ``hot_pieces``) names at most ``n`` keys -- the largest
+  ones above the piece size, so the table has a proven size bound -- with
+  the number of pieces for each;
 * it is broadcast; every row of the big side learns how many pieces its
   key is split into and takes a salt from a hash of its own columns
   (deterministic, so a re-run task after a lost executor routes every row
