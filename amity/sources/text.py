@@ -29,9 +29,7 @@ RATING_SEP = "::"
 REJECT_ID = "id"        # a user or friend id that is not a whole number
 REJECT_ARITY = "arity"  # more than two TAB fields
 
-EDGE_SCHEMA = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType())])
-REJECT_SCHEMA = T.StructType([T.StructField("line", T.StringType()),
-                              T.StructField("reason", T.StringType())])
+_ROWS_TYPE = "array<struct<reason:string,src:bigint,dst:bigint>>"
 
 
 class FriendParse(NamedTuple):
@@ -59,19 +57,15 @@ def _tagged_friend_rows(lines: DataFrame, col: str) -> DataFrame:
     none = F.lit(None)
     per_token = F.transform(tokens, lambda t: as_row(
         F.when(to_id(t).isNull(), F.lit(REJECT_ID)), user, to_id(t)))
-    rows = (F.when(F.trim(body) == "", F.array().cast(per_token_type()))
+    rows = (F.when(F.trim(body) == "", F.array().cast(_ROWS_TYPE))
              .when(n > 2, F.array(as_row(F.lit(REJECT_ARITY), none, none)))
-             .when(n == 1, F.array().cast(per_token_type()))  # user without friends
+             .when(n == 1, F.array().cast(_ROWS_TYPE))  # user without friends
              .when(user.isNull(), F.array(as_row(F.lit(REJECT_ID), none, none)))
              .otherwise(per_token))
     return (lines.select(line.alias("line"), F.explode(rows).alias("r"))
                  .select("line", "r.reason", "r.src", "r.dst"))
 
 
-def per_token_type() -> str:
-    return "array<struct<reason:string,src:bigint,dst:bigint>>"
-
-
 def friend_edge_rows(lines: DataFrame, col: str = "value") -> FriendParse:
     """Like ``parse_friend_lines`` but without the final ``distinct``: a
     stateless per-row parse, usable on a streaming DataFrame."""

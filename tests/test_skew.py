@@ -3,7 +3,6 @@ the same rows as a plain join."""
 
 from pyspark.sql import functions as F
 
-from amity.operators import skew
 from amity.operators.skew import hot_pieces, lookup_join
 
 
