@@ -96,3 +96,17 @@ def test_top_pairs_fill_with_zero_pairs(spark):
     for k in (1, 3, 4, 6, 20):
         got = [(r.n_mutual, r.u, r.v) for r in top_mutual_pairs(edges, k).collect()]
         assert got == full[:k]
+
+
+def test_shared_rows(spark, edges):
+    from amity import top_mutual_pairs_named
+    from amity.session import reuse
+    rows = reuse(mutual_friend_rows(edges), "shared-rows")
+    assert lists_of(mutual_friends(edges, rows=rows)) == E1
+    got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, rows=rows).collect()}
+    assert got == {k: len(v) for k, v in E1.items()}
+    assert [tuple(r) for r in top_mutual_pairs(edges, 3, rows=rows).collect()] == \
+        [tuple(r) for r in top_mutual_pairs(edges, 3).collect()]
+    profiles = spark.createDataFrame([(0, "Ann", "Ash", "1 A St")], "user_id long, first_name string, "
+                                                                    "last_name string, address string")
+    assert top_mutual_pairs_named(edges, profiles, 1, rows=rows).first().first_u == "Ann"
