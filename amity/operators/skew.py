@@ -70,11 +70,9 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
         return big.join(lookup.hint("shuffle_hash"), key, how).select(*big.columns, *values)
     p = F.broadcast(pieces.select(key, _PIECES))
     n = F.coalesce(F.col(_PIECES), F.lit(1))
-    salted_big = (big.join(p, key, "left")
-                  .withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int"))
-                  .drop(_PIECES))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int")
+    salted_big = big.join(p, key, "left").select(*big.columns, salt.alias(_SALT))
     spread_lookup = (lookup.join(p, key, "left")
-                     .withColumn(_SALT, F.explode(F.sequence(F.lit(0), n - 1)))
-                     .drop(_PIECES))
+                     .select(key, *values, F.explode(F.sequence(F.lit(0), n - 1)).alias(_SALT)))
     return (salted_big.join(spread_lookup.hint("shuffle_hash"), [key, _SALT], how)
             .select(*big.columns, *values))
