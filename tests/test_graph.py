@@ -110,3 +110,24 @@ def test_shared_rows(spark, edges):
     profiles = spark.createDataFrame([(0, "Ann", "Ash", "1 A St")], "user_id long, first_name string, "
                                                                     "last_name string, address string")
     assert top_mutual_pairs_named(edges, profiles, 1, rows=rows).first().first_u == "Ann"
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_triangle_methods_agree(spark, seed, monkeypatch):
+    import random
+    from amity.operators.graph import triangles
+    rnd = random.Random(seed)
+    edge_set = {(rnd.randrange(30), rnd.randrange(30)) for _ in range(250)} | {(i, 0) for i in range(1, 30)}
+    edge_set = {(s, d) for s, d in edge_set if s != d}
+    edges = spark.createDataFrame(sorted(edge_set), "src long, dst long")
+    expected = brute_force(edge_set)
+    for method in ("lists", "wedges"):
+        rows = mutual_friend_rows(edges, method=method)
+        got = {}
+        for r in rows.collect():
+            got.setdefault((r.u, r.v), []).append(r.friend_id)
+        assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in expected.items() if v}
+    monkeypatch.setattr(skew, "DEFAULT_ROWS_PER_PIECE", 1)  # spread every hot list lookup
+    a = sorted(map(tuple, triangles(edges, hot_keys=5, method="lists").collect()))
+    b = sorted(map(tuple, triangles(edges, hot_keys=0, method="wedges").collect()))
+    assert a == b
