@@ -188,7 +188,7 @@ def mutual_friend_rows(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS, metho
 
 
 def mutual_friends(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS,
-                   rows: DataFrame | None = None) -> DataFrame:
+                   rows: DataFrame | None = None, method: str = "wedges") -> DataFrame:
     """E1, long form: ``(u, v, friend_id)`` for every befriended pair; a pair
     with no mutual friend gives one row with ``friend_id`` NULL.
 
@@ -201,7 +201,7 @@ def mutual_friends(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS,
     # read twice below (rows, and which pairs have any): written once to the
     # shared checkpoint folder when the session names one
     if rows is None:
-        rows = reuse(mutual_friend_rows(edges, hot_keys), "mutual-rows")
+        rows = reuse(mutual_friend_rows(edges, hot_keys, method), "mutual-rows")
     pairs = friendships(edges).select("u", "v")
     counted = rows.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_n"))
     empty = (pairs.join(counted, ["u", "v"], "left_anti")
@@ -222,11 +222,11 @@ def mutual_friend_lists(mutual_long: DataFrame) -> DataFrame:
 
 
 def mutual_friend_counts(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS,
-                         rows: DataFrame | None = None) -> DataFrame:
+                         rows: DataFrame | None = None, method: str = "wedges") -> DataFrame:
     """E2a: ``(u, v, n_mutual bigint)`` for every befriended pair, 0 included.
     Every pair enters as a row of weight 0 next to its mutual-friend rows
     (weight 1): one hash aggregation with a map-side partial step, no join."""
-    rows = mutual_friend_rows(edges, hot_keys) if rows is None else rows
+    rows = mutual_friend_rows(edges, hot_keys, method) if rows is None else rows
     weighted = rows.select("u", "v", F.lit(1).alias("_w"))
     pairs = friendships(edges).select("u", "v", F.lit(0).alias("_w"))
     return (weighted.unionByName(pairs)
@@ -234,7 +234,7 @@ def mutual_friend_counts(edges: DataFrame, hot_keys: int = DEFAULT_HOT_KEYS,
 
 
 def top_mutual_pairs(edges: DataFrame, k: int = 10, hot_keys: int = DEFAULT_HOT_KEYS,
-                     rows: DataFrame | None = None) -> DataFrame:
+                     rows: DataFrame | None = None, method: str = "wedges") -> DataFrame:
     """E2: the ``k`` pairs with most mutual friends; ties by u, then v.
 
     Exact without joining every pair to its count: the answer is the top
@@ -244,7 +244,7 @@ def top_mutual_pairs(edges: DataFrame, k: int = 10, hot_keys: int = DEFAULT_HOT_
     pairs join the mutual-friend rows as rows of weight 0, one aggregation
     counts everything, and a per-partition top-k merge picks the answer."""
     order = [F.col("n_mutual").desc(), F.col("u").asc(), F.col("v").asc()]
-    rows = mutual_friend_rows(edges, hot_keys) if rows is None else rows
+    rows = mutual_friend_rows(edges, hot_keys, method) if rows is None else rows
     weighted = rows.select("u", "v", F.lit(1).alias("_w"))
     first = (friendships(edges).select("u", "v").orderBy("u", "v").limit(2 * k)
              .select("u", "v", F.lit(0).alias("_w")))
@@ -264,14 +264,15 @@ def _profiles_for(profiles: DataFrame, keys: DataFrame, key: str = "user_id") ->
 
 
 def top_mutual_pairs_named(edges: DataFrame, profiles: DataFrame, k: int = 10,
-                           hot_keys: int = DEFAULT_HOT_KEYS, rows: DataFrame | None = None) -> DataFrame:
+                           hot_keys: int = DEFAULT_HOT_KEYS, rows: DataFrame | None = None,
+                           method: str = "wedges") -> DataFrame:
     """E3: E2 plus first name, last name and address of both users (NULL
     when a user has no profile). Columns: n_mutual, u, v, first_u, last_u,
     address_u, first_v, last_v, address_v. The ``k`` rows are found first
     (and written once when a checkpoint folder is set, since they are read
     three times); only their users are looked up. ``profiles`` must hold
     one row per user (``read_profiles`` dedupes)."""
-    top = reuse(top_mutual_pairs(edges, k, hot_keys, rows), "top-pairs")
+    top = reuse(top_mutual_pairs(edges, k, hot_keys, rows, method), "top-pairs")
     ids = top.select(F.col("u").alias("user_id")).unionByName(top.select(F.col("v").alias("user_id")))
     prof = _profiles_for(profiles.select("user_id", "first_name", "last_name", "address"), ids)
 

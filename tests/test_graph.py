@@ -131,3 +131,11 @@ def test_triangle_methods_agree(spark, seed, monkeypatch):
     a = sorted(map(tuple, triangles(edges, hot_keys=5, method="lists").collect()))
     b = sorted(map(tuple, triangles(edges, hot_keys=0, method="wedges").collect()))
     assert a == b
+
+
+def test_public_functions_accept_method(edges):
+    for method in ("wedges", "lists"):
+        got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, method=method).collect()}
+        assert got == {k: len(v) for k, v in E1.items()}
+        assert lists_of(mutual_friends(edges, method=method)) == E1
+        assert top_mutual_pairs(edges, 1, method=method).first().n_mutual == 2
