@@ -135,7 +135,9 @@ def _triangles_by_lists(o: DataFrame, pieces: DataFrame | None) -> DataFrame:
     with_y = lookup_join(o.select("x", "y", "xy", "yx"), ylists, "y",
                          pieces.withColumnRenamed("user_id", "y") if pieces is not None else None, "inner")
     xlists = lists.select("x", F.col("ids").alias("ids_x"), F.col("flags").alias("fl_x"))
-    both = with_y.join(xlists.hint("shuffle_hash"), "x")
+    # no join hint: a sort-merge join (spillable) unless adaptive execution
+    # finds every out-list partition small enough to hash or broadcast
+    both = with_y.join(xlists, "x")
     common = F.array_intersect("ids_x", "ids_y")
     tri = both.select("x", "y", "xy", "yx", "fl_x", "fl_y", F.explode(common).alias("w"))
     fx = F.element_at("fl_x", F.col("w"))   # (x lists w, w lists x)
