@@ -8,15 +8,17 @@ Meaning of "mutual friends" of a befriended pair {u, v} (u < v; befriended =
 an edge in at least one direction): ``A(u) ∩ A(v)`` where ``A(x)`` is x's
 own friend list (empty when x has no line). It never contains u or v.
 
-How it is computed (no adjacency arrays, no friend list in one row): a
-mutual friend w of {u, v} closes a triangle {u, v, w} of befriended users,
+How it is computed (no whole friend list in one row): a mutual friend w
+of {u, v} closes a triangle {u, v, w} of befriended users,
 so the operators list triangles with the degree ordering of Chiba and
 Nishizeki / Suri and Vassilvitskii: each friendship points from its
 lower- to its higher-degree user, each triangle is found once from its two
 lowest corners, and the direction flags carried on every friendship decide
 which corners are mutual friends of the other two. Work is O(m^1.5) for
 any degree distribution; no key of any join holds more than sqrt(2m) rows
-from a hub, because a hub points at almost nobody.
+from a hub, because a hub points at almost nobody. ``triangles`` has two
+physical forms, wedge rows (default) and bounded out-lists
+(``method="lists"``); they give the same rows.
 """
 
 from __future__ import annotations
