@@ -1,6 +1,7 @@
-"""Mutual-friend counts on the stand-in graph plus a few hub users who are
-friends with every customer (a tool-only experiment, not a registered
-query): shows how the three forms react to hubs.
+"""Mutual-friend counts on the stand-in graph plus a few hub users (the
+customers with keys 0 .. n-1) who are friends with every customer (a
+tool-only experiment, not a registered query): shows how the three forms
+react to hubs.
 
     python tools/hub_check.py /root/testdata/sf0.1 5 [timeout_sec] [--as-if-big]
 """
@@ -59,9 +60,11 @@ if __name__ == "__main__":
     spark = build_session("local[8]", shuffle_partitions=16, extra=extra)
     s = StandIn(spark, sf)
     users = s.table("customer").select(F.col("c_custkey").alias("c"))
-    hubs = users.orderBy("c").limit(n_hubs).select(F.col("c").alias("h"))
-    # every hub befriends every other customer (both directions)
-    hub_edges = (hubs.join(users, F.col("h") != F.col("c"))   # n_hubs x customers rows
+    # hubs: customers 0 .. n_hubs-1; each befriends every other customer (both
+    # directions) -- one exploded row per (customer, hub), no join
+    hub_ids = F.sequence(F.lit(0).cast("bigint"), F.lit(n_hubs - 1).cast("bigint"))
+    hub_edges = (users.where(F.lit(n_hubs) > 0).select("c", F.explode(hub_ids).alias("h"))
+                 .where(F.col("h") != F.col("c"))
                  .select(F.explode(F.array(F.struct(F.col("h").alias("src"), F.col("c").alias("dst")),
                                            F.struct(F.col("c").alias("src"), F.col("h").alias("dst")))).alias("e"))
                  .select("e.src", "e.dst"))
