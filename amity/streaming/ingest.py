@@ -66,3 +66,12 @@ def read_edge_table(spark: SparkSession, edges_path: str) -> DataFrame:
 
 def read_reject_table(spark: SparkSession, rejects_path: str) -> DataFrame:
     return spark.read.parquet(rejects_path).select("line", "reason", F.col("batch_id"))
+
+
+def compact_edge_table(spark: SparkSession, edges_path: str, out_path: str, n_files: int) -> DataFrame:
+    """Fold the ingested batches into one edge table in the lookup-friendly
+    layout (``write_edge_table``: distinct, range-partitioned and sorted by
+    user) and return it, ready for the batch operators."""
+    from amity.sources.sinks import write_edge_table
+    write_edge_table(read_edge_table(spark, edges_path), out_path, n_files)
+    return spark.read.parquet(out_path)

@@ -36,3 +36,17 @@ def test_rerun_batch_replaces_its_output(spark, tmp_path):
     write(lines, 7)  # the same batch again, as after a failure
     assert sorted(map(tuple, read_edge_table(spark, str(tmp_path / "e")).collect())) == [(1, 2), (1, 3), (2, 1)]
     assert read_reject_table(spark, str(tmp_path / "r")).count() == 1
+
+
+def test_compact_after_ingest(spark, tmp_path):
+    from amity import mutual_friend_counts
+    from amity.streaming.ingest import compact_edge_table
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("\n".join(FRIEND_LINES) + "\n")
+    q = ingest_friend_files(spark, str(src), str(tmp_path / "e"), str(tmp_path / "r"), str(tmp_path / "ck"))
+    q.awaitTermination(120)
+    table = compact_edge_table(spark, str(tmp_path / "e"), str(tmp_path / "table"), 3)
+    batch = read_friends(spark, str(src)).edges
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, batch.collect()))
+    assert mutual_friend_counts(table).where("u = 0 AND v = 1").first().n_mutual == 2
