@@ -42,18 +42,25 @@ def clean_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFra
             .distinct())
 
 
+def _proper(edges: DataFrame) -> DataFrame:
+    """Drop NULL ends and self edges (``least``/``greatest`` skip NULLs, so
+    an edge with one NULL end would otherwise pair a user with itself)."""
+    return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+
+
 def friendships(edges: DataFrame) -> DataFrame:
     """Befriended pairs with the directions listed: ``(u, v, uv, vu)``,
     u < v, ``uv`` = v is on u's list, ``vu`` = u is on v's list. One
     aggregation with a map-side partial step."""
-    return (edges.groupBy(pair_lo("src", "dst").alias("u"), pair_hi("src", "dst").alias("v"))
+    return (_proper(edges)
+            .groupBy(pair_lo("src", "dst").alias("u"), pair_hi("src", "dst").alias("v"))
             .agg(F.max(F.col("src") < F.col("dst")).alias("uv"),
                  F.max(F.col("src") > F.col("dst")).alias("vu")))
 
 
 def friend_pairs(edges: DataFrame) -> DataFrame:
     """Befriended pairs ``(u, v)``, u < v, one row each (O13)."""
-    return (edges.select(pair_lo("src", "dst").alias("u"), pair_hi("src", "dst").alias("v"))
+    return (_proper(edges).select(pair_lo("src", "dst").alias("u"), pair_hi("src", "dst").alias("v"))
             .distinct())
 
 

@@ -139,3 +139,10 @@ def test_public_functions_accept_method(edges):
         assert got == {k: len(v) for k, v in E1.items()}
         assert lists_of(mutual_friends(edges, method=method)) == E1
         assert top_mutual_pairs(edges, 1, method=method).first().n_mutual == 2
+
+
+def test_raw_edges_with_nulls_and_self_edges(spark):
+    raw = spark.createDataFrame([(1, 2), (2, 1), (1, 3), (3, 1), (2, 3), (3, 2), (None, 5), (5, None), (4, 4)],
+                                "src long, dst long")
+    got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(raw).collect()}
+    assert got == {(1, 2): 1, (1, 3): 1, (2, 3): 1}
