@@ -305,6 +305,7 @@ def mutual_friend_profiles(edges: DataFrame, profiles: DataFrame, a: int, b: int
     are not friends or share nobody. The two friend lists are read through
     pushed-down ``src = a`` / ``src = b`` filters."""
     lo, hi = min(int(a), int(b)), max(int(a), int(b))
+    edges = _proper(edges)
     la = edges.where(F.col("src") == lo).select(F.col("dst").alias("friend_id"))
     lb = edges.where(F.col("src") == hi).select(F.col("dst").alias("friend_id"))
     pair = (edges.where(((F.col("src") == lo) & (F.col("dst") == hi)) |
@@ -334,6 +335,7 @@ def max_friend_age(edges: DataFrame, profiles: DataFrame,
     The join runs on the friend's id, where a popular user is a hot key:
     the rows of the ``hot_keys`` most-named users are spread over several
     tasks (see ``lookup_join``); the max is aggregated map-side first."""
+    edges = _proper(edges)
     ages = profiles.select(F.col("user_id").alias("dst"), age_years("dob", as_of).alias("age"))
     pieces = None
     if hot_keys > 0:
