@@ -60,3 +60,11 @@ def test_mixed_hot_and_cold_keys_on_real_graph(standin, monkeypatch):
     split = sorted(map(tuple, mutual_friend_counts(edges, hot_keys=20).collect()))  # ... only 20 get split
     split_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01", hot_keys=20).collect()))
     assert split == plain and split_age == plain_age
+
+
+def test_triangle_methods_agree_on_standin(standin):
+    from amity.operators.graph import triangles
+    edges = standin.derive_edges()
+    a = sorted(map(tuple, triangles(edges, method="wedges").collect()))
+    b = sorted(map(tuple, triangles(edges, method="lists").collect()))
+    assert a == b and len(a) > 0
