@@ -3,7 +3,9 @@
 Every entry is ``(spark, sf_dir) -> DataFrame`` over whole tables. Array
 columns are rendered as text and averages rounded to 6 places so that the
 result compares value-for-value with the DuckDB twin in
-``amity.plans.oracle``.
+``amity.plans.oracle``. The ``*_from_files`` entries first write the
+stand-in rows as text files in the reference's input formats and read them
+back through the library's text readers.
 """
 
 from __future__ import annotations
