@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from amity.llm import quality
+from amity.llm import quality, simhash
 
-MODULES = (quality,)
+MODULES = (quality, simhash)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 SQL = {name: text for m in MODULES for name, text in m.SQL.items()}
