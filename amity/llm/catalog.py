@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from amity.llm import bpe, quality, sharding, simhash, topk
+from amity.llm import bpe, quality, sharding, simhash, topk, warc
 
-MODULES = (quality, simhash, bpe, sharding, topk)
+MODULES = (quality, simhash, bpe, sharding, topk, warc)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 SQL = {name: text for m in MODULES for name, text in m.SQL.items()}
