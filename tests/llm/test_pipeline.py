@@ -1,0 +1,80 @@
+"""The pipeline on small tables: each stage against its own definition."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+tokenizers = pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+import corpus_pipeline as C  # noqa: E402
+from amity.llm.mixing import mix_sources  # noqa: E402
+from tests.llm.test_lines import brute  # noqa: E402
+from tests.llm.test_simhash import brute_components, brute_print  # noqa: E402
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def documents():
+    import random
+
+    rnd = random.Random(8)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    rows = []
+    for i in range(60):
+        lines = [" ".join(rnd.choices(words, k=rnd.randint(9, 14))) + "." for _ in range(rnd.randint(7, 12))]
+        rows.append([i, "\n".join(lines), "en", rnd.choice(["hot", "hot", "cold", None])])
+    shared = "this very same passage stands in many of the documents"
+    for r in rows[10:30]:
+        r[1] += "\n" + shared
+    rows[30][1] += "\n" + shared.replace("very", "ver")
+    rows += [[100, rows[3][1], "en", "hot"], [101, rows[4][1] + " extra words", "en", "cold"]]
+    rows += [[102, None, None, None], [103, "", "en", "hot"], [104, "too short", "en", "hot"], [105, "spam spam spam " * 60, "en", "hot"]]
+    rows += [[106, "### $$$ " * 40 + rows[5][1], "en", "cold"], [None, rows[6][1].replace("a", "o"), "en", "hot"]]
+    return [(*r, len(r[1]) if r[1] is not None else None) for r in rows]
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.createDataFrame(documents(), KIND)
+    names, stages = zip(*C.STAGES)
+    kept = stages[0](spark, docs, "")
+    assert kept.columns == COLUMNS
+    assert {r.doc_id for r in kept.collect()} == {None, *range(60), 100, 101}
+    before = kept.collect()
+    lines = stages[1](spark, kept, "")
+    gone = {(d, n) for d, n, a, b, _ in brute([(r.doc_id, r.text) for r in before], 20) if (d, n) != (a, b)}
+    assert {(11, len(r.text.split("\n")) - 1) for r in before if r.doc_id == 11} <= gone  # the shared passage
+    after = lines.collect()
+    assert lines.columns == COLUMNS and len(after) == len(before)
+    want = {r.doc_id: "\n".join(x for n, x in enumerate(r.text.split("\n")) if ((1 << 63) - 1 if r.doc_id is None else r.doc_id, n) not in gone)
+            for r in before}
+    assert {r.doc_id: r.text for r in after} == want and all(r.n_chars == len(r.text) for r in after)
+    single = stages[2](spark, spark.createDataFrame(after, KIND), "")
+    roots = brute_components([brute_print(r.text) for r in after])
+    best = {}
+    for r, root in zip(after, roots):
+        best[root] = min(best.get(root, (True, 0)), (r.doc_id is None, r.doc_id or 0)) if root in best else (r.doc_id is None, r.doc_id or 0)
+    ones = single.collect()
+    assert single.columns == COLUMNS
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in ones) == sorted(best.values())
+    frame = spark.createDataFrame(ones, KIND)
+    mixed = stages[3](spark, frame, "")
+    copies = {r.doc_id: r.copies for r in mix_sources(frame).collect()}
+    assert mixed.columns == COLUMNS and Counter(r.doc_id for r in mixed.collect()) == copies and min(copies.values()) >= 1
+    library = tokenizers.Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    texts = {r.doc_id: r.text for r in ones}
+    for r in stages[4](spark, mixed, "").collect():
+        ids = np.array(library.encode(texts[r.doc_id], add_special_tokens=False).ids, "<u4")
+        assert bytes(r.token_ids) == ids.tobytes() and r.n_tokens == len(ids)
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_run(spark, tmp_path):
+    spark.createDataFrame(documents(), KIND).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = C.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} >= set(range(60)) - {100, 101}
+    spark.createDataFrame([], KIND).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert C.run(spark, str(tmp_path / "none")).count() == 0
