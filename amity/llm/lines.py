@@ -172,8 +172,9 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     """``(d, t, n, rep_d, rep_t, rep_n, near)`` for every line that has a twin:
     its document key (doc_id and text hash) and line number, and those of the
     line that stands for its class. ``near``: not an exact copy of that line."""
-    lines = _lines(docs, doc_id, text, min_chars)
-    seen = written(lines.drop("line"), "line-hashes")
+    # read four times below: texts are split and hashed once
+    lines = written(_lines(docs, doc_id, text, min_chars), "lines")
+    seen = lines.drop("line")
     place = F.struct("d", "t", "n")
     exact = written(seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-exact")
     texts, links = _near_links(lines, group)
