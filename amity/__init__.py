@@ -19,7 +19,7 @@ from amity.operators.graph import (clean_edges, friend_pairs, friendships, max_f
                                    top_mutual_pairs_named, triangles)
 from amity.operators.ratings import ratings_by_address, top_rated_businesses, top_rated_businesses_sql
 from amity.sources.sinks import to_text_lines, write_edge_table, write_text, write_tsv
-from amity.sources.text import (first_profile_per_user, parse_friend_lines, parse_friends, read_business,
+from amity.sources.text import (first_profile_per_user, parse_friend_lines, read_business,
                                 read_friends, read_profiles, read_reviews)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MAX_TOP_K = 100_000  # ids of a top-k that may be broadcast
+
+
 def ratings_by_address(business: DataFrame, reviews: DataFrame, needle: str = "Stanford") -> DataFrame:
     """E6: distinct ``(user_id, stars)`` of reviews of businesses whose
     address contains ``needle`` (case-sensitive).
@@ -50,6 +53,8 @@ def top_rated_businesses(business: DataFrame, reviews: DataFrame, k: int = 10) -
     listed = business.select("business_id").where(F.col("business_id").isNotNull())
     scored = (per_business.join(listed, "business_id", "left_semi")
               .select("business_id", (F.col("_s") / F.nullif(F.col("_c"), F.lit(0))).alias("avg_stars")))
+    if not 0 <= k <= MAX_TOP_K:
+        raise ValueError(f"k must be 0 .. {MAX_TOP_K}: the ids are broadcast")
     best_ids = scored.orderBy(F.col("avg_stars").desc_nulls_last(), F.col("business_id").asc()).limit(k)
     groups = (business.join(F.broadcast(best_ids), "business_id")
               .groupBy("business_id", "full_address", "avg_stars")
@@ -58,26 +63,21 @@ def top_rated_businesses(business: DataFrame, reviews: DataFrame, k: int = 10) -
             .select("business_id", "categories", "full_address", "avg_stars"))
 
 
-def top_rated_businesses_sql(spark: SparkSession, business: DataFrame, reviews: DataFrame,
-                             k: int = 10, business_view: str = "business_table",
-                             review_view: str = "review_table") -> DataFrame:
-    """E7 as SQL over temp views, the reference's own form (O6, O25, O36).
-
-    The reviews are reduced to (sum, count) per business in a subquery
-    before the join, so a business with a third of all reviews is one row
-    when it meets the business table; the result equals AVG over the join
-    (the average is the same for every address group of a business)."""
-    business.createOrReplaceTempView(business_view)
-    reviews.createOrReplaceTempView(review_view)
-    return spark.sql(f"""
-        WITH per_business AS (
-            SELECT business_id, SUM(stars) AS star_sum, COUNT(stars) AS star_count
-            FROM {review_view} GROUP BY business_id)
-        SELECT bt.business_id,
-               array_sort(collect_set(bt.categories)) AS categories,
-               bt.full_address,
-               pb.star_sum / NULLIF(pb.star_count, 0) AS avg_stars
-        FROM {business_view} bt JOIN per_business pb ON bt.business_id = pb.business_id
-        GROUP BY bt.business_id, bt.full_address, pb.star_sum, pb.star_count
-        ORDER BY avg_stars DESC NULLS LAST, bt.business_id, bt.full_address
-        LIMIT {int(k)}""")
+def top_rated_businesses_sql(spark: SparkSession, business: DataFrame, reviews: DataFrame, k: int = 10) -> DataFrame:
+    """E7 in SQL (O6, O25, O36): the k best ids first, from reviews reduced
+    to (sum, count) per business, then the category sets of those k only. The
+    tables are passed as arguments of the statement: no view of the caller's
+    is replaced."""
+    return spark.sql("""
+        WITH score AS (
+            SELECT business_id, SUM(stars) / NULLIF(COUNT(stars), 0) AS avg_stars
+            FROM {reviews} GROUP BY business_id),
+        best AS (
+            SELECT business_id, avg_stars FROM score
+            WHERE business_id IN (SELECT business_id FROM {business})
+            ORDER BY avg_stars DESC NULLS LAST, business_id LIMIT {k})
+        SELECT b.business_id, array_sort(collect_set(b.categories)) AS categories, b.full_address, best.avg_stars
+        FROM {business} b JOIN best ON b.business_id = best.business_id
+        GROUP BY b.business_id, b.full_address, best.avg_stars
+        ORDER BY avg_stars DESC NULLS LAST, b.business_id, b.full_address
+        LIMIT {k}""", business=business, reviews=reviews, k=int(k))

@@ -1,21 +1,22 @@
-"""Joins of a large, possibly skewed table to a table with one row per key.
+"""Joins of a large, possibly skewed table to a lookup table.
 
 In a friendship graph one user may hold a third of all edges; a plain
 shuffle join would send all of that user's rows to one task.
 ``lookup_join`` spreads the rows of hot keys over several tasks:
 
-* ``pieces`` (from ``hot_pieces``) names at most ``n`` keys -- the largest
-  ones above the piece size, so the table has a proven size bound -- with
-  the number of pieces for each;
+* ``pieces`` (from ``hot_pieces``) names every key above a row threshold and
+  the number of pieces for it. The threshold is at least the total number of
+  rows / ``MAX_HOT``, so by arithmetic no more than ``MAX_HOT`` keys can
+  exceed it: the table has a proven size bound and leaves no hot key out;
 * it is broadcast; every row of the big side learns how many pieces its
   key is split into and takes a salt from a hash of its own columns
   (deterministic, so a re-run task after a lost executor routes every row
   the same way);
-* the lookup row of a hot key is repeated once per piece; cold keys have
+* the lookup rows of a hot key are repeated once per piece; cold keys have
   one piece, so they join exactly as in a plain shuffle join.
 
-One pass over the big side, one shuffle, no union of split branches.
-Adaptive execution can still split whatever skew is left.
+The join carries no hint: a sort-merge join, which can spill, unless adaptive
+execution finds the partitions small enough for something faster.
 """
 
 from __future__ import annotations
@@ -23,37 +24,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_KEYS = 10_000           # size bound of every broadcast hot-key table (~200 KB)
-DEFAULT_ROWS_PER_PIECE = 2_000_000  # rows of one hot key handled by one task
-# pieces per key; all pieces together are at most rows / DEFAULT_ROWS_PER_PIECE
-# + DEFAULT_HOT_KEYS, which bounds the repeated lookup rows too
-MAX_PIECES = 65_536
+FLOOR_ROWS = 2_000_000  # below this a key is never worth splitting
+MAX_HOT = 1_000_000     # keys a hot-key table can hold (about 20 MB)
 
 _PIECES = "__pieces"
 _SALT = "__salt"
 
 
-def top_keys(counts: DataFrame, key: str, count_col: str, n: int) -> DataFrame:
-    """The ``n`` keys with the largest counts (ties by key): at most ``n``
-    rows, computed as a per-partition top-n then merged (no full sort)."""
-    return counts.orderBy(F.col(count_col).desc(), F.col(key).asc()).limit(n)
-
-
-def hot_pieces(counts: DataFrame, key: str, count_col: str, n: int = DEFAULT_HOT_KEYS,
-               rows_per_piece: int | None = None) -> DataFrame:
-    """``(key, __pieces)`` for at most ``n`` keys that need more than one
-    piece (more than ``rows_per_piece`` rows). Keys below the threshold are
-    dropped before the top-n, so each partition's local top-n list holds
-    only genuinely hot keys and the final merge stays small."""
-    rows_per_piece = rows_per_piece or DEFAULT_ROWS_PER_PIECE
-    hot = top_keys(counts.where(F.col(count_col) > rows_per_piece), key, count_col, n)
-    pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col(count_col) / F.lit(rows_per_piece))).cast("int")
-    return hot.select(key, pieces.alias(_PIECES))
+def hot_pieces(counts: DataFrame, key: str, count_col: str, floor_rows: int | None = None,
+               max_hot: int = MAX_HOT) -> DataFrame:
+    """``(key, __pieces)`` for every key with more rows than one piece holds:
+    ``max(floor_rows, total rows / max_hot)``, the total being a scalar
+    subquery of the same plan."""
+    floor = FLOOR_ROWS if floor_rows is None else floor_rows
+    total = counts.agg(F.sum(count_col)).scalar()
+    rows = F.greatest(F.lit(floor).cast("bigint"), F.ceil(F.coalesce(total, F.lit(0)) / F.lit(max_hot)).cast("bigint"))
+    return (counts.where(F.col(count_col) > rows)
+            .select(key, F.ceil(F.col(count_col) / rows).cast("int").alias(_PIECES)))
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
                 pieces: DataFrame | None = None, how: str = "left") -> DataFrame:
-    """``big`` join ``lookup`` on ``key``; ``lookup`` has one row per key.
+    """``big`` join ``lookup`` on ``key``.
 
     ``pieces`` is a bounded ``(key, __pieces)`` table from ``hot_pieces``;
     ``None`` gives a plain join. ``how`` is ``left`` or ``inner``. Output:
@@ -62,17 +54,13 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     values = [c for c in lookup.columns if c != key]
-    # the one-row-per-key side is always the hash-build side: the big side
-    # stays the parallel probe side even when adaptive execution finds both
-    # small (otherwise it may build the big side and probe with a tiny,
-    # coalesced one-partition table, running the whole join in one task)
     if pieces is None:
-        return big.join(lookup.hint("shuffle_hash"), key, how).select(*big.columns, *values)
+        return big.join(lookup, key, how).select(*big.columns, *values)
     p = F.broadcast(pieces.select(key, _PIECES))
     n = F.coalesce(F.col(_PIECES), F.lit(1))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int")
     salted_big = big.join(p, key, "left").select(*big.columns, salt.alias(_SALT))
     spread_lookup = (lookup.join(p, key, "left")
                      .select(key, *values, F.explode(F.sequence(F.lit(0), n - 1)).alias(_SALT)))
-    return (salted_big.join(spread_lookup.hint("shuffle_hash"), [key, _SALT], how)
+    return (salted_big.join(spread_lookup, [key, _SALT], how)
             .select(*big.columns, *values))

@@ -3,9 +3,11 @@
 Every entry is ``(spark, sf_dir) -> DataFrame`` over whole tables. Array
 columns are rendered as text and averages rounded to 6 places so that the
 result compares value-for-value with the DuckDB twin in
-``amity.plans.oracle``. The ``*_from_files`` entries first write the
-stand-in rows as text files in the reference's input formats and read them
-back through the library's text readers.
+``amity.plans.oracle``. ``*_from_files`` and ``rejects_*`` first write the
+stand-in rows as text files in the reference's input formats, under the
+session's shared folder, and read them back through the library's text
+readers. ``*_directed`` run on the harder stand-in graph, ``lines_*`` render
+the reference's output lines.
 """
 
 from __future__ import annotations
@@ -16,13 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amity.operators import graph, ratings
+from amity.sources import layouts
 from amity.sources.text import read_business, read_friends, read_profiles, read_reviews
 from amity.plans.oracle import oracle_queries
 from amity.plans.standin import AS_OF, NEEDLE, TOP_K, StandIn
 
-# Fixed value: a befriended pair with 19 shared friends in the sf0.01 stand-in
-# (E4 takes one pair as its argument).
-PROFILE_PAIR = (5, 605)
+# Fixed values (E4 takes one pair as its argument): pairs befriended and with
+# shared friends in the stand-ins at sf0.01 and at sf0.1.
+PROFILE_PAIR = (124, 1488)
+DIRECTED_PAIR = (1, 6)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,8 +42,7 @@ def q_friend_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_friend_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    # one read of the edges: derived inline, not written first
-    return graph.friend_pairs(StandIn(spark, sf).derive_edges())
+    return graph.friend_pairs(StandIn(spark, sf).edges())
 
 
 def q_mutual_friends(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,23 +101,73 @@ def q_friend_edges_from_files(spark: SparkSession, sf: str) -> DataFrame:
 def q_oldest_friend_top_from_files(spark: SparkSession, sf: str) -> DataFrame:
     """E5 with profiles read from comma text files (``read_profiles``)."""
     s = StandIn(spark, sf)
-    profiles = read_profiles(spark, s.text_files("userdata"))
+    profiles = read_profiles(spark, s.text_files("userdata")).rows
     return graph.oldest_friend_top(s.edges(), profiles, AS_OF, TOP_K)
 
 
 def q_ratings_by_address_from_files(spark: SparkSession, sf: str) -> DataFrame:
     """E6 with business and reviews read from ``::`` text files."""
     s = StandIn(spark, sf)
-    return ratings.ratings_by_address(read_business(spark, s.text_files("business")),
-                                      read_reviews(spark, s.text_files("reviews")), NEEDLE)
+    return ratings.ratings_by_address(read_business(spark, s.text_files("business")).rows,
+                                      read_reviews(spark, s.text_files("reviews")).rows, NEEDLE)
 
 
 def q_top_rated_businesses_from_files(spark: SparkSession, sf: str) -> DataFrame:
     """E7 (SQL form) with business and reviews read from ``::`` text files."""
     s = StandIn(spark, sf)
     return _e7_text(ratings.top_rated_businesses_sql(
-        spark, read_business(spark, s.text_files("business")),
-        read_reviews(spark, s.text_files("reviews")), TOP_K))
+        spark, read_business(spark, s.text_files("business")).rows,
+        read_reviews(spark, s.text_files("reviews")).rows, TOP_K))
+
+
+# ------------------------------------------- the directed, uneven stand-in
+
+def q_mutual_friends_directed(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.mutual_friends(StandIn(spark, sf).directed_edges())
+
+
+def q_mutual_friend_counts_directed(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.mutual_friend_counts(StandIn(spark, sf).directed_edges())
+
+
+def q_mutual_friend_profiles_directed(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIn(spark, sf)
+    return graph.mutual_friend_profiles(s.directed_edges(), s.uneven_profiles(), *DIRECTED_PAIR)
+
+
+def q_max_friend_age_directed(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIn(spark, sf)
+    return graph.max_friend_age(s.directed_edges(), s.uneven_profiles(), AS_OF)
+
+
+def q_top_rated_brands(spark: SparkSession, sf: str) -> DataFrame:
+    """E7 where every business has several addresses and categories."""
+    s = StandIn(spark, sf)
+    return _e7_text(ratings.top_rated_businesses(s.brands(), s.brand_reviews(), TOP_K))
+
+
+def q_top_rated_brands_sql(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIn(spark, sf)
+    return _e7_text(ratings.top_rated_businesses_sql(spark, s.brands(), s.brand_reviews(), TOP_K))
+
+
+# ---------------------------------------------------- rejects, output lines
+
+def _rejects(kind: str, reader: Callable) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        found = reader(spark, StandIn(spark, sf).text_files(kind, faulty=True)).rejects
+        return found.select("line", "reason", F.array_join("bad", "|").alias("bad"))
+    return query
+
+
+def _lines(render: Callable[[DataFrame], DataFrame], question: Query) -> Query:
+    return lambda spark, sf: render(question(spark, sf))
+
+
+def _e7_rows(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIn(spark, sf)
+    top = ratings.top_rated_businesses(s.brands(), s.brand_reviews(), TOP_K)
+    return layouts.row_lines(top.withColumn("avg_stars", F.round("avg_stars", 6)))
 
 
 QUERIES: dict[str, Query] = {
@@ -134,8 +187,25 @@ QUERIES: dict[str, Query] = {
     "oldest_friend_top_from_files": q_oldest_friend_top_from_files,
     "ratings_by_address_from_files": q_ratings_by_address_from_files,
     "top_rated_businesses_from_files": q_top_rated_businesses_from_files,
+    "mutual_friends_directed": q_mutual_friends_directed,
+    "mutual_friend_counts_directed": q_mutual_friend_counts_directed,
+    "mutual_friend_profiles_directed": q_mutual_friend_profiles_directed,
+    "max_friend_age_directed": q_max_friend_age_directed,
+    "top_rated_brands": q_top_rated_brands,
+    "top_rated_brands_sql": q_top_rated_brands_sql,
+    "rejects_friends": _rejects("friends", read_friends),
+    "rejects_profiles": _rejects("userdata", read_profiles),
+    "rejects_business": _rejects("business", read_business),
+    "rejects_reviews": _rejects("reviews", read_reviews),
+    "lines_mutual_friends": _lines(layouts.mutual_friend_lines, q_mutual_friends),
+    "lines_pair_counts": _lines(layouts.pair_count_lines, q_top_mutual_pairs),
+    "lines_named_pairs": _lines(layouts.named_pair_lines, q_top_mutual_pairs_named),
+    "lines_pair_profiles": _lines(layouts.profile_list_lines, q_mutual_friend_profiles),
+    "lines_oldest_friend": _lines(layouts.oldest_friend_lines, q_oldest_friend_top),
+    "lines_ratings": _lines(layouts.row_lines, q_ratings_by_address),
+    "lines_top_rated": _e7_rows,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries(PROFILE_PAIR)
+    return oracle_queries(PROFILE_PAIR, DIRECTED_PAIR)

@@ -1,13 +1,15 @@
-"""Spark session settings and lineage cuts.
+"""Spark session settings and shared paths.
 
-Everything in the library is a lazy DataFrame; this module only holds the
-session knobs the operators rely on (adaptive execution, skew splitting) and
-the one way we cut lineage: ``DataFrame.checkpoint`` into the shared folder
-the cluster names in ``spark.checkpoint.dir``.
+Everything in ``amity.operators`` is a lazy DataFrame; this module only holds
+the session knobs the operators are written against (adaptive execution, skew
+splitting), which ``build_session`` sets on sessions of its own and nothing
+sets on a caller's, and paths under the folder that the cluster names in
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,103 +53,27 @@ def build_session(master: str | None = None, app: str = "amity",
     return spark
 
 
-def apply_adaptive_conf(spark: SparkSession) -> None:
-    """Set the adaptive knobs on an existing session (driver-made sessions)."""
-    for k, v in ADAPTIVE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked conf on some deployments
-            pass
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder of the session.
-
-    Read from ``spark.checkpoint.dir`` (or a directory already set on the
-    context). ``fallback`` is only used when nothing is set, as in tests;
-    on a cluster the setting must name a shared file system.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf_dir or fallback
-    if not target:
-        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-    sc.setCheckpointDir(target)
-    return sc.getCheckpointDir() or target
-
-
-def configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder if the session names one, else None.
-    (A Spark Connect session has no context: then only the setting counts.)"""
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:
-        return spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return spark.sparkContext.getCheckpointDir() or conf_dir
-    return None
-
-
-def reuse(df: DataFrame, name: str = "table") -> DataFrame:
-    """A table read by several branches of one plan: written once as parquet
-    under the shared checkpoint folder when the session names one, and read
-    back (each branch then scans only the columns it needs, the lineage is
-    cut, and a lost executor never forces a re-derivation). Without a
-    folder the branches re-derive it, which is slower but still correct."""
-    root = configured_checkpoint_dir(df.sparkSession)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``. Where it is
+    missing, a local session (tests, a laptop) gets a scratch folder of its
+    own; a cluster session is refused: its machines share no local folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        return df
-    path = f"{root.rstrip('/')}/amity-{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    _WRITTEN.append(path)
-    return df.sparkSession.read.parquet(path)
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder all executors share")
+        root = tempfile.mkdtemp(prefix="amity-shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
-_WRITTEN: list[str] = []
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder. What is written there belongs to
+    the caller, who removes it when the DataFrames on it are done."""
+    return f"{shared_folder(spark)}/amity-{name}-{uuid.uuid4().hex}"
 
 
-def write_scratch_text(lines: DataFrame, name: str) -> str:
-    """Write a ``value`` column as text files under the shared checkpoint
-    folder (dropped with ``drop_reused``); returns the folder."""
-    spark = lines.sparkSession
-    # the shared checkpoint folder, else the session's warehouse folder
-    # (both are configured storage, shared on a cluster)
-    root = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir", None)
-    if root is None:
-        raise RuntimeError("neither spark.checkpoint.dir nor spark.sql.warehouse.dir is set")
-    path = f"{root.rstrip('/')}/amity-{name}-{uuid.uuid4().hex}"
+def write_text_lines(lines: DataFrame, path: str) -> str:
+    """Write a ``value`` column as text files under ``path``; returns it."""
     lines.select("value").write.mode("error").text(path)
-    _WRITTEN.append(path)
     return path
-
-
-def drop_reused(spark: SparkSession) -> int:
-    """Delete the tables ``reuse`` wrote from this process (call it when the
-    DataFrames built on them are done). Goes through the Hadoop file system
-    of each path, so it works on any shared store. Returns how many."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # no JVM handle (Spark Connect): leave them to the folder's cleanup
-        _WRITTEN.clear()
-        return 0
-    n = 0
-    while _WRITTEN:
-        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        n += bool(p.getFileSystem(hconf).delete(p, True))
-    return n
-
-
-def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Reliable checkpoint: writes ``df`` to the shared checkpoint folder and
-    returns a DataFrame that reads it back, so lost executors never force a
-    recompute of the lineage above it."""
-    checkpoint_dir(df.sparkSession, fallback_dir)
-    return df.checkpoint(eager=True)

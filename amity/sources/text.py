@@ -1,12 +1,13 @@
 """Text sources of the reference's four inputs.
 
-* friends   ``user<TAB>f1,f2,...`` adjacency lines  -> edges(src, dst) + rejects(line, reason)
+* friends   ``user<TAB>f1,f2,...`` adjacency lines  -> edges(src, dst) + rejects(line, reason, bad)
 * userdata  comma text, positional, no header       -> profiles
 * business  ``::``-separated text                    -> business(business_id, full_address, categories)
 * review    ``::``-separated text                    -> reviews(review_id, user_id, business_id, stars)
 
-All parsing is Column expressions over ``spark.read.text`` / ``spark.read.csv``
-with explicit schemas: nothing is inferred and nothing leaves the executors.
+All parsing is Column expressions over ``spark.read.text``: nothing is inferred,
+nothing leaves the executors, and no line is lost: what a reader cannot use is in
+its rejects, once a line.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from amity.functions.columns import DOB_PATTERN, parse_dob, to_id
 
@@ -27,52 +27,47 @@ REVIEW_FIELDS = ["review_id", "user_id", "business_id", "stars"]
 RATING_SEP = "::"
 
 REJECT_ID = "id"        # a user or friend id that is not a whole number
-REJECT_ARITY = "arity"  # more than two TAB fields
+REJECT_ARITY = "arity"  # a wrong number of fields
+REJECT_STARS = "stars"  # stars that are not a number
 
-_ROWS_TYPE = "array<struct<reason:string,src:bigint,dst:bigint>>"
+# Rejects of every source: the line once, why, and its fields at fault.
+REJECTS = "line string, reason string, bad array<string>"
 
 
 class FriendParse(NamedTuple):
     edges: DataFrame     # src bigint, dst bigint: distinct, no self edge
-    rejects: DataFrame   # line string, reason string: one row per bad id / bad line
+    rejects: DataFrame   # line, reason, bad: one row per line with a fault
 
 
-def _tagged_friend_rows(lines: DataFrame, col: str) -> DataFrame:
-    """One row per (line, friend token) or per rejected line:
-    columns line, reason (NULL = good edge), src, dst."""
+class Parsed(NamedTuple):
+    rows: DataFrame      # the lines that are as they should be
+    rejects: DataFrame   # line, reason, bad: all others but blank ones
+
+
+def friend_edge_rows(lines: DataFrame, col: str = "value") -> FriendParse:
+    """Like ``parse_friend_lines`` but without the final ``distinct``: a
+    stateless per-row parse, usable on a streaming DataFrame. The split line
+    is exploded as plain text; ids are read after that."""
     line = F.col(col)
     # trailing TABs and trailing commas produce no field in the reference's split
     body = F.regexp_replace(line, r"\t+$", "")
     fields = F.split(body, "\t")
-    n = F.size(fields)
-    user = to_id(F.get(fields, 0))
     friends_txt = F.regexp_replace(F.get(fields, 1), r",+$", "")
-    tokens = F.when(friends_txt == "", F.array().cast("array<string>")) \
-              .otherwise(F.split(friends_txt, ","))
-
-    def as_row(reason, src, dst):
-        return F.struct(reason.cast("string").alias("reason"),
-                        src.cast("bigint").alias("src"), dst.cast("bigint").alias("dst"))
-
-    none = F.lit(None)
-    per_token = F.transform(tokens, lambda t: as_row(
-        F.when(to_id(t).isNull(), F.lit(REJECT_ID)), user, to_id(t)))
-    rows = (F.when(F.trim(body) == "", F.array().cast(_ROWS_TYPE))
-             .when(n > 2, F.array(as_row(F.lit(REJECT_ARITY), none, none)))
-             .when(n == 1, F.array().cast(_ROWS_TYPE))  # user without friends
-             .when(user.isNull(), F.array(as_row(F.lit(REJECT_ID), none, none)))
-             .otherwise(per_token))
-    return (lines.select(line.alias("line"), F.explode(rows).alias("r"))
-                 .select("line", "r.reason", "r.src", "r.dst"))
-
-
-def friend_edge_rows(lines: DataFrame, col: str = "value") -> FriendParse:
-    """Like ``parse_friend_lines`` but without the final ``distinct``: a
-    stateless per-row parse, usable on a streaming DataFrame."""
-    tagged = _tagged_friend_rows(lines, col)
-    edges = (tagged.where(F.col("reason").isNull() & (F.col("src") != F.col("dst")))
-                   .select("src", "dst"))
-    rejects = tagged.where(F.col("reason").isNotNull()).select("line", "reason")
+    tokens = F.when(friends_txt == "", F.array().cast("array<string>")).otherwise(F.split(friends_txt, ","))
+    parts = lines.select(line.alias("line"), F.size(fields).alias("n"), F.get(fields, 0).alias("user"), tokens.alias("tokens"),
+                         (F.trim(body) == "").alias("blank"))
+    src = to_id("user")
+    edges = (parts.where((F.col("n") == 2) & ~F.col("blank") & src.isNotNull())
+             .select(src.alias("src"), F.explode("tokens").alias("token"))
+             .select("src", to_id("token").alias("dst"))
+             .where(F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))))
+    bad = (F.when(F.col("blank") | (F.col("n") == 1), None)  # nothing, or a user without friends
+           .when(F.col("n") > 2, F.array().cast("array<string>"))
+           .when(src.isNull(), F.array("user"))
+           .otherwise(F.filter("tokens", lambda x: to_id(x).isNull())))
+    reason = F.when(F.col("n") > 2, F.lit(REJECT_ARITY)).otherwise(F.lit(REJECT_ID))
+    rejects = (parts.select("line", "n", reason.alias("reason"), bad.alias("bad"))
+               .where(F.col("bad").isNotNull() & ((F.col("n") > 2) | (F.size("bad") > 0))).select("line", "reason", "bad"))
     return FriendParse(edges, rejects)
 
 
@@ -82,42 +77,56 @@ def parse_friend_lines(lines: DataFrame, col: str = "value") -> FriendParse:
     Meaning (one choice where the reference's programs disagree):
     a user's friend list is the union of all its lines; repeated ids count
     once; self edges are dropped; a line with more than two TAB fields is an
-    ``arity`` reject; every id that is not a whole number is an ``id`` reject
-    (the other ids of that line stay); a line with only a user id (no friends)
-    and blank lines are skipped silently.
+    ``arity`` reject; a line with ids that are not whole numbers is an ``id``
+    reject, once, with those ids in ``bad`` (its other ids stay); a line with
+    only a user id (no friends) and blank lines are skipped silently.
     """
     rows = friend_edge_rows(lines, col)
     return FriendParse(rows.edges.distinct(), rows.rejects)
 
 
-parse_friends = parse_friend_lines  # the name used in the design notes
-
-
 def read_friends(spark: SparkSession, path: str | list[str]) -> FriendParse:
     """Read adjacency-line text files (a file, a folder or a glob)."""
     return parse_friend_lines(spark.read.text(path))
 
 
-def read_profiles(spark: SparkSession, path: str | list[str], dedupe: bool = True) -> DataFrame:
+def _read_double_colon(spark: SparkSession, path: str | list[str], names: list[str]) -> Parsed:
+    """``::``-parted lines, read as CSV with Spark's default quoting, line by
+    line. A line that does not give exactly the named fields (a separator too
+    many, too few, or swallowed by a stray quote) is an ``arity`` reject."""
+    kind = ", ".join(f"{n} string" for n in [*names, "_corrupt"])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    read = F.from_csv("value", kind, {"sep": RATING_SEP, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parts = lines.select(F.col("value").alias("line"), read.alias("r"))
+    wrong = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    return Parsed(parts.where(~wrong).select("line", *[F.col(f"r.{n}").alias(n) for n in names]),
+                  parts.where(wrong).select("line", F.lit(REJECT_ARITY).alias("reason"), F.array().cast("array<string>").alias("bad")))
+
+
+def read_profiles(spark: SparkSession, path: str | list[str], dedupe: bool = True) -> Parsed:
     """Comma-separated user profiles, positional, no header, no quoting.
 
-    Columns: user_id bigint, first_name, last_name, address, city, state,
-    c6, c7, c8 (never read by any query), dob_text (raw ``M/d/yyyy``),
-    dob date (NULL when it does not parse). Extra fields are ignored.
-    With ``dedupe`` a user with several lines keeps the smallest line.
+    Columns of ``rows``: user_id bigint, first_name, last_name, address, city,
+    state, c6, c7, c8 (never read by any query), dob_text (raw ``M/d/yyyy``),
+    dob date (NULL when it does not parse). Extra fields are ignored. With
+    ``dedupe`` a user with several lines keeps the smallest line. A line with
+    fewer fields is an ``arity`` reject, one with a bad user id an ``id`` reject.
     """
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in PROFILE_FIELDS])
-    raw = (spark.read.schema(schema)
-           .option("sep", ",").option("quote", "").option("header", "false")
-           .option("mode", "PERMISSIVE")
-           .csv(path))
-    df = raw.select(
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parts = lines.select(F.col("value").alias("line"), F.split("value", ",", -1).alias("f"))
+    enough = F.size("f") >= len(PROFILE_FIELDS)
+    known = to_id(F.get("f", 0)).isNotNull()
+    rejects = parts.where(~enough | ~known).select(
+        "line", F.when(enough, F.lit(REJECT_ID)).otherwise(F.lit(REJECT_ARITY)).alias("reason"),
+        F.when(enough, F.array(F.get("f", 0))).otherwise(F.array().cast("array<string>")).alias("bad"))
+    # an empty field is NULL, as in CSV
+    rows = parts.where(enough & known).select(*[F.nullif(F.get("f", k), F.lit("")).alias(n) for k, n in enumerate(PROFILE_FIELDS)])
+    df = rows.select(
         to_id("user_id").alias("user_id"),
         *[F.col(c) for c in PROFILE_FIELDS[1:-1]],
         F.col("dob").alias("dob_text"),
         parse_dob("dob", DOB_PATTERN).alias("dob"))
-    df = df.where(F.col("user_id").isNotNull())
-    return first_profile_per_user(df) if dedupe else df
+    return Parsed(first_profile_per_user(df) if dedupe else df, rejects)
 
 
 def first_profile_per_user(profiles: DataFrame, key: str = "user_id") -> DataFrame:
@@ -130,23 +139,19 @@ def first_profile_per_user(profiles: DataFrame, key: str = "user_id") -> DataFra
             .select(key, *[F.col(f"_p.{c}").alias(c) for c in others]))
 
 
-def _read_double_colon(spark: SparkSession, path, fields: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    return (spark.read.schema(schema)
-            .option("sep", RATING_SEP).option("header", "false")
-            .option("mode", "PERMISSIVE")
-            .csv(path))
-
-
-def read_business(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_business(spark: SparkSession, path: str | list[str]) -> Parsed:
     """``business_id::full_address::categories``; categories stay one text
     value (e.g. ``List(Food, Bars)``)."""
-    return _read_double_colon(spark, path, BUSINESS_FIELDS)
-
-
-def read_reviews(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``review_id::user_id::business_id::stars``; stars -> double, NULL when
-    not a number (so a bad value never fails an average)."""
-    raw = _read_double_colon(spark, path, REVIEW_FIELDS)
-    return raw.select("review_id", "user_id", "business_id",
-                      F.col("stars").try_cast("double").alias("stars"))
+    parsed = _read_double_colon(spark, path, BUSINESS_FIELDS)
+    return Parsed(parsed.rows.drop("line"), parsed.rejects)
+
+
+def read_reviews(spark: SparkSession, path: str | list[str]) -> Parsed:
+    """``review_id::user_id::business_id::stars``; stars -> double. Stars that
+    are no number are NULL, so that they never fail an average, and the line
+    is listed as a ``stars`` reject besides."""
+    parsed = _read_double_colon(spark, path, REVIEW_FIELDS)
+    stars = F.col("stars").try_cast("double")
+    rows = parsed.rows.select("review_id", "user_id", "business_id", stars.alias("stars"))
+    unread = parsed.rows.where(stars.isNull()).select("line", F.lit(REJECT_STARS).alias("reason"), F.array("stars").alias("bad"))
+    return Parsed(rows, parsed.rejects.unionByName(unread))

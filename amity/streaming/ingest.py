@@ -33,11 +33,12 @@ def friend_line_stream(spark: SparkSession, source_dir: str,
 
 def _write_batch(edges_path: str, rejects_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = friend_edge_rows(batch)
-        (parsed.edges.distinct()
-         .write.mode("overwrite").parquet(f"{edges_path}/batch_id={batch_id}"))
-        (parsed.rejects
-         .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}"))
+        parsed = friend_edge_rows(batch.persist())  # read by two writes
+        try:
+            parsed.edges.distinct().write.mode("overwrite").parquet(f"{edges_path}/batch_id={batch_id}")
+            parsed.rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -65,7 +66,7 @@ def read_edge_table(spark: SparkSession, edges_path: str) -> DataFrame:
 
 
 def read_reject_table(spark: SparkSession, rejects_path: str) -> DataFrame:
-    return spark.read.parquet(rejects_path).select("line", "reason", F.col("batch_id"))
+    return spark.read.parquet(rejects_path).select("line", "reason", "bad", F.col("batch_id"))
 
 
 def compact_edge_table(spark: SparkSession, edges_path: str, out_path: str, n_files: int) -> DataFrame:

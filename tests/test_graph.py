@@ -4,7 +4,6 @@ import pytest
 
 from amity import (mutual_friend_counts, mutual_friend_lists, mutual_friend_rows, mutual_friends,
                    read_friends, top_mutual_pairs)
-from amity.operators import skew
 
 E1 = {
     (0, 1): [2, 3], (0, 2): [1], (0, 3): [1], (0, 9): [1], (1, 2): [0], (1, 3): [0], (1, 9): [0],
@@ -43,26 +42,15 @@ def test_top_pairs(edges):
     assert [tuple(r) for r in top_mutual_pairs(edges, 3).collect()] == [tuple(r) for r in top[:3]]
 
 
-def test_salted_path_equals_plain(edges, monkeypatch):
-    plain = sorted(tuple(r) for r in mutual_friend_rows(edges, hot_keys=0).collect())
-    monkeypatch.setattr(skew, "DEFAULT_ROWS_PER_PIECE", 1)  # every top key split into pieces
-    salted = sorted(tuple(r) for r in mutual_friend_rows(edges, hot_keys=5).collect())
-    assert salted == plain
-    counts = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, hot_keys=5).collect()}
+def test_salted_path_equals_plain(edges):
+    plain = sorted(tuple(r) for r in mutual_friend_rows(edges).collect())
+    salted = sorted(tuple(r) for r in mutual_friend_rows(edges, floor_rows=1).collect())  # every key split
+    small = sorted(tuple(r) for r in mutual_friend_rows(edges, chunk=1).collect())        # every list cut
+    assert salted == plain == small
+    counts = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, floor_rows=1).collect()}
     assert counts == {k: len(v) for k, v in E1.items()}
 
 
-def test_reuse_without_checkpoint_dir(edges):
-    # the long form is also right when no shared folder is configured
-    from amity import session
-    orig = session.configured_checkpoint_dir
-    try:
-        session.configured_checkpoint_dir = lambda spark: None
-        assert lists_of(mutual_friends(edges)) == E1
-    finally:
-        session.configured_checkpoint_dir = orig
-
-
 def brute_force(edge_set):
     lists = {}
     for s, d in edge_set:
@@ -83,7 +71,7 @@ def test_random_directed_graphs_against_brute_force(spark, seed):
     edges = spark.createDataFrame(sorted(edge_set), "src long, dst long")
     expected = brute_force(edge_set)
     assert lists_of(mutual_friends(edges)) == expected
-    got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, hot_keys=3).collect()}
+    got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, floor_rows=3).collect()}
     assert got == {k: len(v) for k, v in expected.items()}
 
 
@@ -100,8 +88,9 @@ def test_top_pairs_fill_with_zero_pairs(spark):
 
 def test_shared_rows(spark, edges):
     from amity import top_mutual_pairs_named
-    from amity.session import reuse
-    rows = reuse(mutual_friend_rows(edges), "shared-rows")
+    from amity.session import scratch_path
+    mutual_friend_rows(edges).write.parquet(path := scratch_path(spark, "shared-rows"))
+    rows = spark.read.parquet(path)
     assert lists_of(mutual_friends(edges, rows=rows)) == E1
     got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, rows=rows).collect()}
     assert got == {k: len(v) for k, v in E1.items()}
@@ -112,8 +101,8 @@ def test_shared_rows(spark, edges):
     assert top_mutual_pairs_named(edges, profiles, 1, rows=rows).first().first_u == "Ann"
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_triangle_methods_agree(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed,floor,chunk", [(4, None, 128), (5, 2, 3), (6, 1, 1)])
+def test_chunks_and_pieces_against_brute_force(spark, seed, floor, chunk):
     import random
     from amity.operators.graph import triangles
     rnd = random.Random(seed)
@@ -121,24 +110,70 @@ def test_triangle_methods_agree(spark, seed, monkeypatch):
     edge_set = {(s, d) for s, d in edge_set if s != d}
     edges = spark.createDataFrame(sorted(edge_set), "src long, dst long")
     expected = brute_force(edge_set)
-    for method in ("lists", "wedges"):
-        rows = mutual_friend_rows(edges, method=method)
-        got = {}
-        for r in rows.collect():
-            got.setdefault((r.u, r.v), []).append(r.friend_id)
-        assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in expected.items() if v}
-    monkeypatch.setattr(skew, "DEFAULT_ROWS_PER_PIECE", 1)  # spread every hot list lookup
-    a = sorted(map(tuple, triangles(edges, hot_keys=5, method="lists").collect()))
-    b = sorted(map(tuple, triangles(edges, hot_keys=0, method="wedges").collect()))
-    assert a == b
-
-
-def test_public_functions_accept_method(edges):
-    for method in ("wedges", "lists"):
-        got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(edges, method=method).collect()}
-        assert got == {k: len(v) for k, v in E1.items()}
-        assert lists_of(mutual_friends(edges, method=method)) == E1
-        assert top_mutual_pairs(edges, 1, method=method).first().n_mutual == 2
+    got = {}
+    for r in mutual_friend_rows(edges, floor, chunk).collect():
+        got.setdefault((r.u, r.v), []).append(r.friend_id)
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in expected.items() if v}
+    near = {frozenset(e) for e in edge_set}
+    corners = [frozenset((r.x, r.y, r.w)) for r in triangles(edges, floor, chunk).collect()]
+    brute = {frozenset((a, b, c)) for a in range(30) for b in range(a) for c in range(b)
+             if {frozenset((a, b)), frozenset((b, c)), frozenset((a, c))} <= near}
+    assert len(corners) == len(brute) and set(corners) == brute
+
+
+def test_one_users_pairs_are_many_tasks(spark):
+    """A user pointing at 1,500 well-connected users is spread over its chunks."""
+    from amity.operators.graph import _chunks
+    hub, n = 0, 1500
+    rows = [(hub, i) for i in range(1, n + 1)] + [(i, 100_000 + i * 3 + k) for i in range(1, n + 1) for k in range(3)]
+    rows += [(100_000 + i, 1_000_000 + i * 5 + k) for i in range(3, 4600) for k in range(5)]
+    # the 1,500 know one another's neighbours in a ring, and rank above the hub by their fans
+    rows += [(i, i % n + 1) for i in range(1, n + 1)] + [(200_000 + i * 2000 + k, i) for i in range(1, 4) for k in range(1600)]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        from pyspark.sql import functions as F
+        pairs = _chunks(edges, None, 16).select("x", F.spark_partition_id().alias("p"))
+        by = {r.p: r["count"] for r in pairs.groupBy("p").count().collect()}
+        assert max(by.values()) <= 0.25 * sum(by.values())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_building_a_query_starts_no_job_and_keeps_settings(spark, edges):
+    from amity import max_friend_age, mutual_friend_profiles, oldest_friend_top, top_mutual_pairs_named
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        profiles = spark.createDataFrame([], "user_id long, first_name string, last_name string, address string, "
+                                             "city string, state string, dob_text string, dob date")
+        spark.sparkContext.setJobGroup("none", "none")
+        for df in (mutual_friends(edges), mutual_friend_counts(edges), top_mutual_pairs(edges), mutual_friend_rows(edges),
+                   top_mutual_pairs_named(edges, profiles), mutual_friend_profiles(edges, profiles, 0, 1),
+                   max_friend_age(edges, profiles), oldest_friend_top(edges, profiles)):
+            assert df.columns
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("none") == []
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_doubled_profile_and_order(spark, edges):
+    from amity import oldest_friend_top, top_mutual_pairs_named
+    import datetime as dt
+    rows = [(u, f, "L", "A", "C", "S", "1/1/1950", dt.date(1950, 1, 1)) for u in (0, 1, 2, 3) for f in ("Ann", "Zed")]
+    profiles = spark.createDataFrame(rows, "user_id long, first_name string, last_name string, address string, "
+                                           "city string, state string, dob_text string, dob date")
+    got = top_mutual_pairs_named(edges, profiles, 1).collect()
+    assert [(r.u, r.v, r.first_u, r.first_v) for r in got] == [(0, 1, "Ann", "Ann")]
+    top = [(r.n_mutual, r.u, r.v) for r in top_mutual_pairs_named(edges, profiles, 10).collect()]
+    assert top == sorted(top, key=lambda t: (-t[0], t[1], t[2])) and len(top) == 10
+    old = [(r.max_friend_age, r.user_id) for r in oldest_friend_top(edges, profiles, "2020-06-15", 5).collect()]
+    assert old == sorted(old, key=lambda t: (-t[0], t[1])) and len(old) == 5
 
 
 def test_raw_edges_with_nulls_and_self_edges(spark):

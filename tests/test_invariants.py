@@ -19,13 +19,13 @@ def standin(spark):
 
 
 def test_sum_of_counts_is_three_triangles(standin):
-    edges = standin.derive_edges()
+    edges = standin.edges()
     total = mutual_friend_counts(edges).agg(F.sum("n_mutual")).first()[0]
     assert total == 3 * triangles(edges).count() > 0
 
 
 def test_relabelling(standin):
-    edges = standin.derive_edges()
+    edges = standin.edges()
     # a bijection that changes the id order (so also which end is u)
     relabel = lambda c: (F.lit(10_000) - F.col(c))
     moved = edges.select(relabel("src").alias("src"), relabel("dst").alias("dst"))
@@ -37,7 +37,7 @@ def test_relabelling(standin):
 
 
 def test_topk_is_prefix_of_full_order(standin):
-    edges = standin.derive_edges()
+    edges = standin.edges()
     full = sorted(((r.n_mutual, r.u, r.v) for r in mutual_friend_counts(edges).collect()),
                   key=lambda t: (-t[0], t[1], t[2]))
     top = [(r.n_mutual, r.u, r.v) for r in top_mutual_pairs(edges, 25).collect()]
@@ -49,22 +49,12 @@ def test_ratings_distinct(standin):
     assert df.count() == df.distinct().count() > 0
 
 
-def test_mixed_hot_and_cold_keys_on_real_graph(standin, monkeypatch):
-    from amity.operators import skew
+def test_mixed_hot_and_cold_keys_on_real_graph(standin):
     from amity import max_friend_age
-    edges = standin.derive_edges()
+    edges = standin.edges()
     profiles = standin.profiles()
-    plain = sorted(map(tuple, mutual_friend_counts(edges, hot_keys=0).collect()))
-    plain_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01", hot_keys=0).collect()))
-    monkeypatch.setattr(skew, "DEFAULT_ROWS_PER_PIECE", 5)   # most users are "hot" ...
-    split = sorted(map(tuple, mutual_friend_counts(edges, hot_keys=20).collect()))  # ... only 20 get split
-    split_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01", hot_keys=20).collect()))
+    plain = sorted(map(tuple, mutual_friend_counts(edges).collect()))
+    plain_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01").collect()))
+    split = sorted(map(tuple, mutual_friend_counts(edges, floor_rows=50).collect()))  # some users are hot
+    split_age = sorted(map(tuple, max_friend_age(edges, profiles, "2024-01-01", floor_rows=50).collect()))
     assert split == plain and split_age == plain_age
-
-
-def test_triangle_methods_agree_on_standin(standin):
-    from amity.operators.graph import triangles
-    edges = standin.derive_edges()
-    a = sorted(map(tuple, triangles(edges, method="wedges").collect()))
-    b = sorted(map(tuple, triangles(edges, method="lists").collect()))
-    assert a == b and len(a) > 0

@@ -41,3 +41,11 @@ def test_blank_and_whitespace_lines(spark):
     parsed = parse_friend_lines(lines)
     assert {(r.src, r.dst) for r in parsed.edges.collect()} == {(5, 6), (5, 7)}
     assert [(r.line, r.reason) for r in parsed.rejects.collect()] == [("y\t1", "id")]
+
+
+def test_rejects_are_linear_in_the_line(spark):
+    line = "1\t" + ",".join(f"bad{i}" for i in range(4000)) + ",7"
+    parsed = parse_friend_lines(spark.createDataFrame([(line,)], "value string"))
+    rejects = parsed.rejects.collect()
+    assert len(rejects) == 1 and rejects[0].line == line and len(rejects[0].bad) == 4000
+    assert [tuple(r) for r in parsed.edges.collect()] == [(1, 7)]

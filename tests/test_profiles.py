@@ -18,7 +18,7 @@ def edges(spark, friends_path):
 
 @pytest.fixture
 def profiles(spark, profiles_path):
-    return read_profiles(spark, profiles_path)
+    return read_profiles(spark, profiles_path).rows
 
 
 def test_profile_parse(profiles):
@@ -50,11 +50,9 @@ def test_max_friend_age(edges, profiles):
     assert got[0] == 40 and got[6] == 69 and got[11] == 60 and got[28] == 29 and got[7] is None
 
 
-def test_max_friend_age_salted(edges, profiles, monkeypatch):
-    from amity.operators import skew
-    plain = sorted(tuple(r) for r in max_friend_age(edges, profiles, AS_OF, hot_keys=0).collect())
-    monkeypatch.setattr(skew, "DEFAULT_ROWS_PER_PIECE", 1)
-    salted = sorted(tuple(r) for r in max_friend_age(edges, profiles, AS_OF, hot_keys=4).collect())
+def test_max_friend_age_salted(edges, profiles):
+    plain = sorted(tuple(r) for r in max_friend_age(edges, profiles, AS_OF).collect())
+    salted = sorted(tuple(r) for r in max_friend_age(edges, profiles, AS_OF, floor_rows=1).collect())
     assert salted == plain
 
 
@@ -86,7 +84,7 @@ def test_mutual_friend_profiles(edges, profiles):
 def test_first_profile_wins(spark, tmp_path):
     from tests.conftest import PROFILE_LINES, write_lines
     p = write_lines(tmp_path, "u2.txt", PROFILE_LINES + ["0,Zed,Zoo,9 Z St,Zion,Utah,x,x,x,1/1/1970"])
-    rows = [r for r in read_profiles(spark, p).collect() if r.user_id == 0]
+    rows = [r for r in read_profiles(spark, p).rows.collect() if r.user_id == 0]
     assert len(rows) == 1 and rows[0].first_name == "Ann"
 
 
@@ -96,4 +94,13 @@ def test_profiles_from_a_folder(spark, tmp_path):
     d.mkdir()
     (d / "part-a.txt").write_text("\n".join(PROFILE_LINES[:3]) + "\n")
     (d / "part-b.txt").write_text("\n".join(PROFILE_LINES[3:]) + "\n")
-    assert sorted(r.user_id for r in read_profiles(spark, str(d)).collect()) == [0, 1, 2, 3, 6, 7, 10]
+    assert sorted(r.user_id for r in read_profiles(spark, str(d)).rows.collect()) == [0, 1, 2, 3, 6, 7, 10]
+
+
+def test_profile_rejects(spark, tmp_path):
+    from tests.conftest import PROFILE_LINES, write_lines
+    bad = ["8,Short,Line", "x9,Bad,Id,1 A St,Akron,Ohio,x,x,x,1/1/1990", "", ",No,Id,a,b,c,d,e,f,1/1/1990"]
+    parsed = read_profiles(spark, write_lines(tmp_path, "u.txt", PROFILE_LINES + bad))
+    assert parsed.rows.count() == 7
+    got = sorted((r.line, r.reason, r.bad) for r in parsed.rejects.collect())
+    assert got == sorted([(bad[0], "arity", []), (bad[1], "id", ["x9"]), (bad[3], "id", [""])])

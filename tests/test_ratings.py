@@ -7,12 +7,12 @@ from amity import ratings_by_address, read_business, read_reviews, top_rated_bus
 
 @pytest.fixture
 def business(spark, business_path):
-    return read_business(spark, business_path)
+    return read_business(spark, business_path).rows
 
 
 @pytest.fixture
 def reviews(spark, reviews_path):
-    return read_reviews(spark, reviews_path)
+    return read_reviews(spark, reviews_path).rows
 
 
 def test_readers(business, reviews):
@@ -57,3 +57,22 @@ def test_multiple_addresses_per_business(spark):
     df_rows = [tuple(r) for r in top_rated_businesses(business, reviews, 2).collect()]
     sql_rows = [tuple(r) for r in top_rated_businesses_sql(spark, business, reviews, 2).collect()]
     assert df_rows == sql_rows == [("b2", ["c4"], "C", 5.0), ("b1", ["c1"], "A", 3.0)]
+
+
+def test_rating_rejects(spark, tmp_path):
+    from tests.conftest import write_lines
+    lines = ["b1::A::List(X)", "b2::a::b::List(Y)", '"The Place" Stanford::List(B)', 'b3::"The Place" Stanford::List(B)', "b4::A"]
+    parsed = read_business(spark, write_lines(tmp_path, "b.txt", lines))
+    kept, lost = [r.business_id for r in parsed.rows.collect()], [r.line for r in parsed.rejects.collect()]
+    assert "b1" in kept and len(kept) + len(lost) == 5 and {lines[1], lines[2], lines[4]} <= set(lost)
+    parsed = read_reviews(spark, write_lines(tmp_path, "r.txt", ["r1::u::b::4", "r2::u::b::bad", "r3::u::b", "r4::u::b::1::2"]))
+    assert {(r.review_id, r.stars) for r in parsed.rows.collect()} == {("r1", 4.0), ("r2", None)}
+    got = {(r.line, r.reason, tuple(r.bad)) for r in parsed.rejects.collect()}
+    assert got == {("r2::u::b::bad", "stars", ("bad",)), ("r3::u::b", "arity", ()), ("r4::u::b::1::2", "arity", ())}
+
+
+def test_sql_form_keeps_the_callers_views(spark, business, reviews):
+    spark.range(3).createOrReplaceTempView("business_table")
+    assert len(top_rated_businesses_sql(spark, business, reviews, 2).collect()) == 2
+    assert spark.table("business_table").columns == ["id"]
+    spark.catalog.dropTempView("business_table")

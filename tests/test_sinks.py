@@ -24,7 +24,7 @@ def test_reference_layouts(spark, friends_path, profiles_path, business_path, re
                        read_profiles, read_reviews, top_mutual_pairs_named, top_rated_businesses)
     from amity.sources import layouts as L
     edges = read_friends(spark, friends_path).edges
-    prof = read_profiles(spark, profiles_path)
+    prof = read_profiles(spark, profiles_path).rows
     assert "0,1\t2" in {r.value for r in L.pair_count_lines(mutual_friend_counts(edges)).collect()}
     assert [r.value for r in L.named_pair_lines(top_mutual_pairs_named(edges, prof, 1)).collect()] == \
         ["2\tAnn\tAsh\t1 A St\tBob\tBirch\t2 B St"]
@@ -33,7 +33,7 @@ def test_reference_layouts(spark, friends_path, profiles_path, business_path, re
     e5 = {r.value for r in L.oldest_friend_lines(oldest_friend_top(edges, prof, "2020-06-15")).collect()}
     assert "6\t6 F St,Flint,Michigan,69" in e5 and "11\tnull,null,null,60" in e5
     assert "0\t1\t2,3" in {r.value for r in L.mutual_friend_lines(mutual_friends(edges)).collect()}
-    e7 = L.row_lines(top_rated_businesses(read_business(spark, business_path), read_reviews(spark, reviews_path)))
+    e7 = L.row_lines(top_rated_businesses(read_business(spark, business_path).rows, read_reviews(spark, reviews_path).rows))
     assert e7.collect()[0].value.startswith("[b1,[List(Food, Bars)],12 Main St Stanford, CA,4.666")
 
 
@@ -43,6 +43,6 @@ def test_edge_table_layout(spark, friends_path, profiles_path, tmp_path):
     write_edge_table(edges, str(tmp_path / "e"), 4)
     table = spark.read.parquet(str(tmp_path / "e"))
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, edges.collect()))
-    df = mutual_friend_profiles(table, read_profiles(spark, profiles_path), 1, 0)
-    assert "EqualTo(src,0)" in df._jdf.queryExecution().executedPlan().toString()
+    df = mutual_friend_profiles(table, read_profiles(spark, profiles_path).rows, 1, 0)
+    assert "In(src, [0,1])" in df._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.friend_id for r in df.collect()) == [2, 3]

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from amity.operators.skew import hot_pieces, lookup_join
 
 
-def test_hot_key_is_split_over_tasks(spark, monkeypatch):
+def test_hot_key_is_split_over_tasks(spark):
     # one key holds 90% of the rows of the big side
     big = spark.range(0, 20000).select(
         F.when(F.col("id") % 10 == 0, F.col("id") % 97).otherwise(F.lit(7)).alias("k"),
         F.col("id").alias("payload"))
     lookup = spark.range(0, 100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("val"))
     counts = big.groupBy("k").count()
-    pieces = hot_pieces(counts, "k", "count", n=10, rows_per_piece=1000)
+    pieces = hot_pieces(counts, "k", "count", floor_rows=1000)
     n7 = big.where(F.col("k") == 7).count()
     assert {r[0]: r[1] for r in pieces.collect()} == {7: -(-n7 // 1000)}
 
@@ -38,3 +38,12 @@ def test_lookup_join_inner_drops_missing(spark):
     assert sorted(map(tuple, lookup_join(big, lookup, "k", pieces, "inner").collect())) == [(1, "a", 10)]
     assert sorted(map(tuple, lookup_join(big, lookup, "k", pieces, "left").collect()),
                   key=str) == sorted([(1, "a", 10), (2, "b", None), (None, "c", None)], key=str)
+
+
+def test_every_hot_key_is_named_within_the_bound(spark):
+    # 50 keys of 100 rows: the threshold follows the total, never a count of keys
+    counts = spark.range(0, 50).select(F.col("id").alias("k"), F.lit(100).cast("bigint").alias("count"))
+    assert hot_pieces(counts, "k", "count", floor_rows=10).count() == 50
+    assert hot_pieces(counts, "k", "count", floor_rows=10, max_hot=40).count() == 0      # 5000 / 40 = 125 rows
+    uneven = counts.withColumn("count", F.when(F.col("k") < 3, F.lit(1000)).otherwise(F.col("count")).cast("bigint"))
+    assert {r.k for r in hot_pieces(uneven, "k", "count", floor_rows=10, max_hot=40).collect()} == {0, 1, 2}

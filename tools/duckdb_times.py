@@ -15,7 +15,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from amity.plans import catalog  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -27,7 +27,7 @@ if __name__ == "__main__":
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     times = {}
-    for name, sql in entry.oracle_sql().items():
+    for name, sql in catalog.oracle_sql().items():
         best = None
         for _ in range(2):
             t0 = time.perf_counter()

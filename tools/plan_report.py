@@ -13,8 +13,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
-from amity.session import build_session, drop_reused  # noqa: E402
+from amity.plans import catalog  # noqa: E402
+from amity.session import build_session  # noqa: E402
 
 
 def final_plan(df) -> str:
@@ -44,15 +44,13 @@ if __name__ == "__main__":
     print("# Physical plans at scale\n")
     print("Generated by `tools/plan_report.py` on the stand-in tables with size-based broadcasts switched off,")
     print("so the plans are the ones large inputs get: every remaining broadcast is an explicit one of bounded")
-    print("size (top-k rows, hot-key tables of at most 1000 keys, the k ids of a top-k). Counts are of the final")
-    print("adaptive plan of the query's last job; tables written once under `spark.checkpoint.dir` (the edge")
-    print("table, top-k rows, E1's mutual rows) appear as scans.\n")
+    print("size (top-k rows and ids, hot-key tables of at most 1,000,000 keys). Counts are of the final adaptive")
+    print("plan. `shuffled hash` appears only where adaptive execution chose it by partition size.\n")
     print("| query | shuffles | reused | broadcasts | aggregates | top-k | python | joins |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.QUERIES.items():
         s = summary(final_plan(fn(spark, sf)))
         joins = ", ".join(f"{j}" for j in s["joins"]) or "-"
         print(f"| {name} | {s['shuffles']} | {s['reused']} | {s['broadcasts']} | {s['aggregates']} | "
               f"{s['top_k']} | {s['python']} | {joins} |")
-        drop_reused(spark)
     spark.stop()
