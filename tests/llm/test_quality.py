@@ -1,0 +1,96 @@
+"""Quality rules: metrics, verdict and cascade against plain Python."""
+
+import os
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from amity.llm import quality as Q
+
+KIND = "doc_id bigint, text string, KEPT string, n_words int, _q_text string"
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    count = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if count[g] > 1 for k in range(3)}
+    n, chars = len(words), sum(map(len, words))
+    symbols, upper = sum(c in "#*$%&|<>" for c in text), sum("A" <= c <= "Z" for c in text)
+    dup = len(lines) - len(set(lines))
+    base = n < 50 or 100 * len(covered) > 50 * n
+    bad = (base or 10 * symbols > n or 2 * upper > chars or chars < 2 * n or chars > 15 * n or 100 * dup > 50 * len(lines))
+    return n, chars, symbols, dup, len(covered), base, not bad
+
+
+def texts():
+    rnd = random.Random(6)
+    words = [f"wörd{i}" for i in range(300)] + ["日本", "a", "X"]
+    out = [" ".join(rnd.choices(words, k=rnd.randint(0, 150))) for _ in range(120)]
+    out += ["\n".join(" ".join(rnd.choices(words[:20], k=4)) for _ in range(rnd.randint(1, 40))) for _ in range(60)]
+    out += [("abc def ghi " * 30), "a b a b a b", "a b c", "a b", "###" + out[3], out[2].upper(), "x\x0b\x0c\r\ty \n\n  \n z",
+            "nb sp \x85   q " * 20, " ".join(f"u{i}" for i in range(60_000)), "same line here\n" * 40, None, "", " \n\t"]
+    return out
+
+
+def test_metrics_and_verdict(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(texts())] + [(None, texts()[0]), (5, texts()[5])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept)
+                  for r in Q.op1_quality_rules(spark, str(tmp_path)).collect())
+    assert got == Counter((i, *plain(t)) for i, t in rows)
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_cascade_verdict_is_the_same_in_any_order(spark, order):
+    rows = [(i, t, "x", 1, "y") for i, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, KIND)
+    out = Q.quality_cascade(df, Q.RULES[::order], ordered=True, reason="why")
+    assert out.columns == ["doc_id", "text", "n_words", "_q_text", "kept", "why"]
+    for r in out.collect():
+        assert r.kept == plain(r.text)[-1] == (r.why is None)
+    kept = Q.stage_quality(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, t in enumerate(texts()) if plain(t)[-1]]
+
+
+def test_plan_orders_by_rejections_per_cost(spark):
+    df = spark.createDataFrame([(i, "word " * 60 + str(i)) for i in range(300)], "doc_id bigint, text string")
+    never = Q.Rule("never", ("n_repeat_words",), lambda f: f["n_repeat_words"] < 0)
+    always = Q.Rule("always", ("n_words",), lambda f: f["n_words"] > 0)
+    assert [r.name for r in Q.plan_cascade(df, (never, always))] == ["always", "never"]
+
+
+def test_rejected_rows_cost_no_later_feature(spark):
+    """A feature behind a rule that rejected the row is not computed for it."""
+    def boom(f):
+        return F.raise_error(F.lit("computed")).cast("long")
+
+    Q.FEATURES["boom"] = Q.Feature(("text",), boom)
+    try:
+        rules = (Q.Rule("all", ("n_words",), lambda f: f["n_words"] >= 0), Q.Rule("later", ("boom",), lambda f: f["boom"] > 0))
+        df = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+        assert [r.kept for r in Q.quality_cascade(df, rules, ordered=True).collect()] == [False]
+    finally:
+        del Q.FEATURES["boom"]
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], KIND)
+    assert Q.quality_cascade(df).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_query_equals_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    cur = con.execute(Q.OP1_SQL)
+    names = [c[0] for c in cur.description]
+    assert sorted(map(tuple, Q.op1_quality_rules(spark, "/root/testdata/sf0.001").select(*names).collect())) == sorted(cur.fetchall())
