@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from amity.functions.columns import age_years, pair_hi, pair_lo
-from amity.operators.skew import hot_pieces, lookup_join
+from amity.operators.skew import hot_pieces, lookup_join, piece_rows
 from amity.sources.text import first_profile_per_user
 
 MAX_TOP_K = 100_000   # rows of a top-k that may be broadcast
@@ -82,7 +82,7 @@ def pair_degrees(pairs: DataFrame) -> DataFrame:
             .groupBy("user_id").agg(F.count(F.lit(1)).alias("degree")))
 
 
-def _oriented(fs: DataFrame, deg: DataFrame, pieces: DataFrame) -> DataFrame:
+def _oriented(fs: DataFrame, deg: DataFrame, pieces: DataFrame, rows: Column) -> DataFrame:
     """Friendships pointed from the lower- to the higher-ranked user, rank =
     (number of friendships, id): ``(x, y, xy, yx)`` with the two
     direction flags in that frame.
@@ -91,11 +91,13 @@ def _oriented(fs: DataFrame, deg: DataFrame, pieces: DataFrame) -> DataFrame:
     all): a user with more has more than sqrt(2m) friends of even higher
     degree, and there are fewer than sqrt(2m) users that big. A hub with a
     third of all friendships points at almost nobody. ``deg`` is
-    ``pair_degrees(fs)``; ``pieces`` its hot keys (``hot_pieces``)."""
+    ``pair_degrees(fs)``; ``pieces`` its hot keys and ``rows`` what one
+    piece holds (``skew``)."""
 
     def with_degree(df: DataFrame, end: str, out: str) -> DataFrame:
         lk = deg.select(F.col("user_id").alias(end), F.col("degree").alias(out))
-        return lookup_join(df, lk, end, pieces.withColumnRenamed("user_id", end), "inner")
+        spread = F.greatest(F.lit(1), F.ceil(F.col(out) / rows).cast("int"))
+        return lookup_join(df, lk, end, pieces.withColumnRenamed("user_id", end), "inner", spread)
 
     d = with_degree(with_degree(fs, "u", "du"), "v", "dv")
     u_low = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
@@ -113,8 +115,9 @@ def _chunks(edges: DataFrame, floor_rows: int | None, chunk: int) -> DataFrame:
     b those that list the owner (a, b NULL where equal to n)."""
     fs = friendships(edges)
     deg = pair_degrees(fs)
-    pieces = hot_pieces(deg, "user_id", "degree", floor_rows)
-    o = _oriented(fs, deg, pieces)
+    per_piece = piece_rows(deg, "degree", floor_rows)
+    pieces = hot_pieces(deg, "user_id", "degree", rows=per_piece)
+    o = _oriented(fs, deg, pieces, per_piece)
     # at most sqrt(2m) rows of one x
     d = F.count(F.lit(1)).over(Window.partitionBy("x"))
     p = F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(d / F.lit(chunk))))).cast("int")
@@ -252,23 +255,27 @@ def _small(k: int) -> int:
 
 
 def top_mutual_pairs_named(edges: DataFrame, profiles: DataFrame, k: int = 10, rows: DataFrame | None = None,
-                           floor_rows: int | None = None) -> DataFrame:
+                           floor_rows: int | None = None, top: DataFrame | None = None) -> DataFrame:
     """E3: E2 plus first name, last name and address of both users (NULL
     when a user has no profile), in E2's order. Columns: n_mutual, u, v,
     first_u, last_u, address_u, first_v, last_v, address_v. Only the k rows'
-    users are looked up; a user with several profile rows counts once."""
-    top = top_mutual_pairs(edges, _small(k), rows, floor_rows)
-    ids = top.select(F.explode(F.array("u", "v")).alias("user_id"))
-    prof = _profiles_for(profiles.select("user_id", "first_name", "last_name", "address"), ids)
-
-    def side(s: str) -> DataFrame:
-        return F.broadcast(prof.select(F.col("user_id").alias(s), F.col("first_name").alias(f"first_{s}"),
-                                       F.col("last_name").alias(f"last_{s}"),
-                                       F.col("address").alias(f"address_{s}")))
-
-    named = top.join(side("u"), "u", "left").join(side("v"), "v", "left")
-    return named.select("n_mutual", "u", "v", "first_u", "last_u", "address_u",
-                        "first_v", "last_v", "address_v").orderBy(F.col("n_mutual").desc(), "u", "v").limit(k)
+    users are looked up; a user with several profile rows counts once. The
+    plan reads the k rows twice; ``top`` takes E2's result if it is written."""
+    top = top_mutual_pairs(edges, _small(k), rows, floor_rows) if top is None else top.limit(_small(k))
+    # two rows a pair, one an end; each end's profile, and the end itself in case it has none
+    ends = top.select("n_mutual", "u", "v", F.explode(F.array("u", "v")).alias("user_id"))
+    fields = ["first_name", "last_name", "address"]
+    found = profiles.select("user_id", *fields).join(F.broadcast(ends), "user_id") \
+        .select("n_mutual", "u", "v", "user_id", F.struct(*fields).alias("p"))
+    both = found.unionByName(ends.withColumn("p", F.lit(None).cast(found.schema["p"].dataType)))
+
+    def side(s: str) -> Column:
+        return F.min(F.when(F.col("user_id") == F.col(s), F.col("p"))).alias(s + "_p")
+
+    # the smallest of a user's profiles; min skips the NULL of the end itself
+    named = both.groupBy("n_mutual", "u", "v").agg(side("u"), side("v"))
+    cols = [F.col(f"{s}_p.{f}").alias(f"{f.removesuffix('_name')}_{s}") for s in "uv" for f in fields]
+    return named.select("n_mutual", "u", "v", *cols).orderBy(F.col("n_mutual").desc(), "u", "v").limit(k)
 
 
 def mutual_friend_profiles(edges: DataFrame, profiles: DataFrame, a: int, b: int) -> DataFrame:

@@ -21,7 +21,7 @@ execution finds the partitions small enough for something faster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FLOOR_ROWS = 2_000_000  # below this a key is never worth splitting
@@ -31,25 +31,30 @@ _PIECES = "__pieces"
 _SALT = "__salt"
 
 
-def hot_pieces(counts: DataFrame, key: str, count_col: str, floor_rows: int | None = None,
-               max_hot: int = MAX_HOT) -> DataFrame:
-    """``(key, __pieces)`` for every key with more rows than one piece holds:
-    ``max(floor_rows, total rows / max_hot)``, the total being a scalar
-    subquery of the same plan."""
+def piece_rows(counts: DataFrame, count_col: str, floor_rows: int | None = None, max_hot: int = MAX_HOT) -> Column:
+    """Rows of a key that one task takes: ``max(floor_rows, total rows /
+    max_hot)``, the total being a scalar subquery of the same plan."""
     floor = FLOOR_ROWS if floor_rows is None else floor_rows
     total = counts.agg(F.sum(count_col)).scalar()
-    rows = F.greatest(F.lit(floor).cast("bigint"), F.ceil(F.coalesce(total, F.lit(0)) / F.lit(max_hot)).cast("bigint"))
+    return F.greatest(F.lit(floor).cast("bigint"), F.ceil(F.coalesce(total, F.lit(0)) / F.lit(max_hot)).cast("bigint"))
+
+
+def hot_pieces(counts: DataFrame, key: str, count_col: str, floor_rows: int | None = None,
+               max_hot: int = MAX_HOT, rows: Column | None = None) -> DataFrame:
+    """``(key, __pieces)`` for every key with more than ``piece_rows`` rows."""
+    rows = piece_rows(counts, count_col, floor_rows, max_hot) if rows is None else rows
     return (counts.where(F.col(count_col) > rows)
             .select(key, F.ceil(F.col(count_col) / rows).cast("int").alias(_PIECES)))
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
-                pieces: DataFrame | None = None, how: str = "left") -> DataFrame:
+                pieces: DataFrame | None = None, how: str = "left", spread: Column | None = None) -> DataFrame:
     """``big`` join ``lookup`` on ``key``.
 
     ``pieces`` is a bounded ``(key, __pieces)`` table from ``hot_pieces``;
-    ``None`` gives a plain join. ``how`` is ``left`` or ``inner``. Output:
-    the columns of ``big`` then the value columns of ``lookup``.
+    ``None`` gives a plain join. ``how`` is ``left`` or ``inner``. ``spread``
+    is the number of pieces where ``lookup`` itself knows it, which saves a
+    join. Output: the columns of ``big`` then the value columns of ``lookup``.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -60,7 +65,7 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str,
     n = F.coalesce(F.col(_PIECES), F.lit(1))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int")
     salted_big = big.join(p, key, "left").select(*big.columns, salt.alias(_SALT))
-    spread_lookup = (lookup.join(p, key, "left")
-                     .select(key, *values, F.explode(F.sequence(F.lit(0), n - 1)).alias(_SALT)))
+    known = lookup.join(p, key, "left") if spread is None else lookup
+    spread_lookup = known.select(key, *values, F.explode(F.sequence(F.lit(0), (n if spread is None else spread) - 1)).alias(_SALT))
     return (salted_big.join(spread_lookup, [key, _SALT], how)
             .select(*big.columns, *values))
