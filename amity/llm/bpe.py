@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from amity.llm.tables import col_ref, read_table
 
-MEMO = 700_000  # pre-tokens a worker remembers
+MEMO = 400_000  # pre-tokens a worker remembers
 LIMIT = 1 << 31
 
 
