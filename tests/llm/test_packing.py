@@ -1,7 +1,9 @@
 """Packing: the search against a plain scan, and an exact round trip."""
 
 import base64
+import os
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -66,3 +68,25 @@ def test_round_trip(spark):
 
 def test_empty(spark):
     assert P.segments(P.pack_documents(spark.createDataFrame([], KIND))).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_query_on_driver_table(spark):
+    sf = "/root/testdata/sf0.001"
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.default_tokenizer(), "rb"))}
+    code = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = [*code.encode_ordinary(r.text), P.END_OF_TEXT]
+        for p, s in enumerate(range(0, len(ids), P.LENGTH)):
+            part = ids[s:s + P.LENGTH]
+            want.append((r.doc_id, p, len(part), zlib.crc32(np.array(part, "<u2").tobytes())))
+    rows = P.op10_packing(spark, sf).collect()
+    assert sorted((r.doc_id, r.piece, r.n_tokens, r.ids_crc32) for r in rows) == sorted(want)
+    # segments of a row neither overlap nor leave a gap
+    by = {}
+    for r in rows:
+        by.setdefault(r.pack_id, []).append((r.start, r.n_tokens))
+    for spans in by.values():
+        ends = [0] + [s + n for s, n in sorted(spans)]
+        assert [s for s, _ in sorted(spans)] == ends[:-1] and ends[-1] <= P.LENGTH

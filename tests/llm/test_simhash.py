@@ -1,5 +1,6 @@
 """SimHash near-duplicates against a brute-force comparison of all pairs."""
 
+import os
 import random
 from itertools import combinations
 
@@ -100,3 +101,17 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert S.simhash_groups(empty).count() == 0
     assert S.keep_one_per_group(empty).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_query_on_driver_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    prints = [brute_print(r.text) for r in rows]
+    roots = brute_components(prints)
+    least = {}
+    for r, root in zip(rows, roots):
+        least[root] = min(least.get(root, r.doc_id), r.doc_id)
+    want = sorted((r.doc_id, f"{p:016x}", least[root]) for r, p, root in zip(rows, prints, roots))
+    got = S.op2_simhash_near_dedup(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted(map(tuple, got.collect())) == want
