@@ -1,20 +1,24 @@
-"""Line dedup: exact copies and lines one edit apart (native expressions only).
+"""Line dedup: exact copies and lines a few edits apart (native expressions only).
 
 *Exact copies* meet on two independent 64-bit hashes of the line, so texts are
 not shuffled for them, and are counted map-side: a line in a third of all
 documents is one row a task.
 
-*Lines one edit apart* (substitution, insertion or deletion of a character)
-are found by a segment-partition join. A line of n characters is split into
-threshold-plus-one = 2 segments; an edit leaves one of them whole. The index
+*Lines a few edits apart* (substitution, insertion or deletion of a character)
+are found by a segment-partition join. The threshold of a pair follows the
+length of its shorter line (``BANDS``). A line of n characters with threshold
+t is split into t + 1 segments; t edits leave one of them whole. The index
 holds (n, segment number, segment text); a line probes it with the substrings
-of its own that a line of n or n-1 characters would have there: the first
-segment at its place, the second counted from the end. Keys are hashes, with
-the length in them. Groups of up to ``GROUP`` rows are compared pair by pair.
-Larger ones are not: all their lines are keyed instead by what is left when
-one character is taken out, for each place, and by each place itself. Whoever
-shares such a key is one edit apart by construction, so a group links to its
-smallest member, and no group's pairs are ever listed.
+of its own that a line of n, n-1, ... n-t characters could have there: a
+segment can only have moved by the edits before it, and by the gap less the
+edits after it. Keys are hashes, with the length in them. Groups of up to
+``GROUP`` different lines are compared pair by pair. Of larger ones every line
+is first compared with the group's smallest member, and lines of up to
+``ONE_OUT`` characters are also keyed by what is left when one character is
+taken out, for each place, and by each place itself: whoever shares such a key
+is one edit apart. Then the group is cut into hashed blocks that meet in pairs,
+and only lines not connected yet are compared there: what those links already
+join is never listed.
 
 Every link is then verified on the texts: common ends are cut off, and a
 banded bit-parallel automaton (one bit a diagonal, one word an error count)
@@ -36,9 +40,11 @@ from pyspark.sql import functions as F
 from amity.llm.components import components
 from amity.llm.tables import col_ref, free_name, read_table, written
 
-EDITS = 1
+BANDS = ((0, 1), (100, 2), (400, 3), (1000, 4))  # (from so many characters, edits)
 MIN_CHARS = 20
-GROUP = 32            # rows of a key that are compared pair by pair
+GROUP = 32            # lines of a key that are compared pair by pair
+BLOCK = 256           # lines of a larger key that meet as many others at once
+ONE_OUT = 512         # characters of the longest line keyed by each place (work grows with the square)
 LAST = (1 << 63) - 1  # stands for a NULL doc_id in the order
 SPACE = " \t\n\x0b\f\r"
 
@@ -64,7 +70,7 @@ def _common(a: Column, b: Column, ends: bool) -> Column:
     return F.aggregate(steps, F.lit(0), longer)
 
 
-def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
+def within_edits(a: Column, b: Column, edits: int = 1) -> Column:
     """Whether texts ``a`` and ``b`` are at most ``edits`` edits apart.
 
     Bit d + edits of word e is set while the text so far of ``a`` can be at
@@ -104,18 +110,27 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
     return rows.select("d", "t", "n", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _segment_keys(line: Column) -> Column:
-    """array<struct<key, index>>: the two index keys of a line (which are its
-    probes for lines as long as itself), and its probes for lines one shorter."""
-    n = F.char_length(line)
-    out = []
-    for gap in range(EDITS + 1):
-        size = n - gap           # of the lines probed for
-        first = F.floor(size / 2).cast("int")
-        second = size - first
-        for k, part in enumerate((_chars(line, F.lit(1), first), _chars(line, n - second + 1, second))):
-            out.append(F.struct(F.xxhash64(F.lit(k), size, part).alias("key"), F.lit(gap == 0).alias("index")))
-    return F.array(*out)
+def _edits(size: Column, bands: tuple[tuple[int, int], ...]) -> Column:
+    """The threshold of a pair whose shorter line has ``size`` characters."""
+    out = F.lit(0)
+    for least, edits in sorted(bands):
+        out = F.when(size >= least, F.lit(edits)).otherwise(out)
+    return out
+
+
+def _segment_keys(lines: DataFrame, bands: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``(id, key, index)``: the index keys of every line, and its probes for
+    lines as long as itself and up to a threshold shorter."""
+    probes = [(edits, gap, k, move) for edits in sorted({e for _, e in bands}) for gap in range(edits + 1) for k in range(edits + 1)
+              for move in range(max(-k, gap - (edits - k)), min(k, gap + edits - k) + 1)]
+    # exploded, not one array of as many expressions: its code would be too large to be compiled
+    table = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(x, ("edits", "gap", "k", "move"), strict=True)]) for x in probes])
+    rows = lines.select(F.col("h1").alias("id"), "line", F.char_length("line").alias("n")).select("id", "line", "n", F.explode(table).alias("p"))
+    rows = rows.where(_edits(F.col("n") - F.col("p.gap"), bands) == F.col("p.edits"))
+    size = F.col("n") - F.col("p.gap")  # of the lines probed for
+    start, end = [F.floor(size * (F.col("p.k") + d) / (F.col("p.edits") + 1)).cast("int") for d in (0, 1)]
+    key = F.xxhash64(F.col("p.k"), size, _chars(F.col("line"), start + 1 + F.col("p.move"), end - start))
+    return rows.select("id", key.alias("key"), ((F.col("p.gap") == 0) & (F.col("p.move") == 0)).alias("index"))
 
 
 def _one_out_keys(line: Column) -> Column:
@@ -130,54 +145,84 @@ def _one_out_keys(line: Column) -> Column:
     return F.concat(out, F.transform(F.sequence(F.lit(1), n + 1), lambda p: key(n, p, 0)))
 
 
-def _near_links(lines: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
-    """(texts with a node number each, verified links between nodes)."""
-    keys = written(lines.select(F.col("h1").alias("id"), F.explode(_segment_keys(F.col("line"))).alias("k"))
-                   .select("id", "k.key", "k.index"), "line-keys")
-    # a key matters if two lines hold it and one of them is in the index
-    multi = written(keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("c"),
-                                            F.max("index").alias("i")).where("a != b AND i").select("key", "c"), "line-shared")
-    members = written(keys.join(multi, "key").select("key", "c", "id", "index").distinct(), "line-members")
-    wanted = written(members.select("id").distinct(), "line-wanted")
-    texts = written(lines.join(wanted, lines["h1"] == wanted["id"], "left_semi").groupBy("h1", "h2").agg(F.min("line").alias("line"))
-                    .withColumn("node", F.monotonically_increasing_id()), "line-texts")
-    small, large = members.where(F.col("c") <= group), members.where(F.col("c") > group).select("id").distinct()
-    x, y = small.alias("x"), small.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key AND x.id < y.id AND (x.index OR y.index)")) \
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    if large.head(1):
-        hot = written(texts.join(large, texts["h1"] == large["id"], "left_semi")
-                      .select(F.col("h1").alias("id"), F.explode(_one_out_keys(F.col("line"))).alias("key")), "line-places")
-        least = written(hot.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a != b")
-                        .select("key", "a"), "line-least")
-        pairs = pairs.unionByName(hot.join(least, "key").where("id != a").select("a", F.col("id").alias("b")))
-    pairs = written(pairs.distinct(), "line-pairs")
+def _verified(pairs: DataFrame, texts: DataFrame, bands: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``(a, b)``: the nodes of the pairs of ids within their threshold."""
     side = texts.select(F.col("h1"), "node", "line")
     both = pairs.join(side.toDF("a", "u", "x"), "a").join(side.toDF("b", "v", "y"), "b")
-    pre = both.where(F.abs(F.char_length("x") - F.char_length("y")) <= EDITS) \
+    sizes = [F.char_length(c) for c in "xy"]
+    pre = both.withColumn("e", _edits(F.least(*sizes), bands)).where(F.abs(sizes[0] - sizes[1]) <= F.col("e")) \
         .withColumn("p", _common(F.col("x"), F.col("y"), False))
     rest = [_chars(F.col(c), F.col("p") + 1, F.char_length(c)).alias(c) for c in "xy"]
-    post = pre.select("u", "v", *rest).withColumn("s", _common(F.col("x"), F.col("y"), True))
+    post = pre.select("u", "v", "e", *rest).withColumn("s", _common(F.col("x"), F.col("y"), True))
     rest = [F.split(_chars(F.col(c), F.lit(1), F.char_length(c) - F.col("s")), "").alias(c) for c in "xy"]
     # splitting an empty text gives one empty string
-    cut = post.select("u", "v", *rest).select("u", "v", *[F.array_remove(c, "").alias(c) for c in "xy"])
+    cut = post.select("u", "v", "e", *rest).select("u", "v", "e", *[F.array_remove(c, "").alias(c) for c in "xy"])
+    near = F.lit(False)
+    for edits in sorted({e for _, e in bands}):
+        near = F.when(F.col("e") == edits, within_edits(F.col("x"), F.col("y"), edits)).otherwise(near)
     # the verdict must stay above the projections: a filter pushed below them
     # would compute the texts' ends anew for every mention
-    verdict = within_edits(F.col("x"), F.col("y")) & (F.spark_partition_id() >= 0)
-    return texts, cut.select("u", "v", verdict.alias("ok")).where("ok").select(F.col("u").alias("a"), F.col("v").alias("b"))
+    verdict = near & (F.spark_partition_id() >= 0)
+    return cut.select("u", "v", verdict.alias("ok")).where("ok").select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+
+def _near_links(lines: DataFrame, bands: tuple[tuple[int, int], ...], group: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(texts with a node number each, verified links between nodes that
+    connect whatever is within its threshold)."""
+    keys = written(_segment_keys(lines, bands), "line-keys")
+    # a key matters if two lines hold it and one of them is in the index
+    multi = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("i")) \
+        .where("a != b AND i").select("key", F.col("a").alias("least"))
+    multi = written(multi, "line-shared")
+    members = written(keys.join(multi, "key").groupBy("key", "least", "id").agg(F.max("index").alias("index")), "line-members")
+    # different lines, not their copies
+    sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > group), "line-large")
+    wanted = written(members.select("id").distinct(), "line-wanted")
+    texts = written(lines.join(wanted, lines["h1"] == wanted["id"], "left_semi").groupBy("h1", "h2").agg(F.min("line").alias("line"))
+                    .withColumn("node", F.monotonically_increasing_id()), "line-texts")
+    any_large = bool(sizes.head(1))
+    small = members.join(sizes, "key", "left_anti") if any_large else members
+    x, y = small.alias("x"), small.alias("y")
+    pairs = x.join(y, F.expr("x.key = y.key AND x.id < y.id AND (x.index OR y.index)")) \
+        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    if not any_large:
+        return texts, _verified(written(pairs.distinct(), "line-pairs"), texts, bands)
+    large = written(members.join(sizes, "key"), "line-crowded")
+    pairs = pairs.unionByName(large.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")))
+    short = texts.where(F.char_length("line") <= ONE_OUT)
+    hot = written(short.join(large.select("id").distinct(), short["h1"] == F.col("id"), "left_semi")
+                  .select(F.col("h1").alias("id"), F.explode(_one_out_keys(F.col("line"))).alias("key")), "line-places")
+    least = written(hot.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a != b")
+                    .select("key", "a"), "line-least")
+    pairs = pairs.unionByName(hot.join(least, "key").where("id != a").select("a", F.col("id").alias("b")))
+    links = written(_verified(written(pairs.distinct(), "line-pairs"), texts, bands), "line-first-links")
+    # an id is one line but for a collision of hashes: then its first node stands for it, which only lists more pairs
+    roots = texts.join(components(links), "node", "left").groupBy("h1").agg(F.min(F.coalesce("root", "node")).alias("root"))
+    open_rows = large.join(roots.withColumnRenamed("h1", "id"), "id")
+    apart = written(open_rows.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("n")).where("m != n").select("key"), "line-apart")
+    p, own = F.ceil(F.col("c") / block).cast("bigint"), F.col("own")
+    cut = open_rows.join(apart, "key").withColumn("p", p).withColumn("own", F.pmod(F.xxhash64("id", F.lit(2)), F.col("p")))
+    units = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("p") - 1), lambda j: F.least(own, j) * F.col("p") + F.greatest(own, j))
+    cut = written(cut.select("key", "id", "index", "root", "p", "own", F.explode(units).alias("unit")), "line-blocks")
+    x, y = cut.alias("x"), cut.alias("y")
+    meet = x.join(y, F.expr("x.key = y.key AND x.unit = y.unit AND x.id < y.id AND (x.index OR y.index) AND x.root != y.root "
+                            "AND (x.own != y.own OR x.unit = x.own * (x.p + 1))"))
+    more = _verified(written(meet.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "line-meet"), texts, bands)
+    return texts, links.unionByName(more)
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-                 group: int = GROUP) -> DataFrame:
+                 group: int = GROUP, bands: tuple[tuple[int, int], ...] = BANDS, block: int = BLOCK) -> DataFrame:
     """``(d, t, n, rep_d, rep_t, rep_n, near)`` for every line that has a twin:
     its document key (doc_id and text hash) and line number, and those of the
-    line that stands for its class. ``near``: not an exact copy of that line."""
+    line that stands for its class. ``near``: not an exact copy of that line.
+    ``bands``: the edits allowed from so many characters of the shorter line."""
     # read four times below: texts are split and hashed once
     lines = written(_lines(docs, doc_id, text, min_chars), "lines")
     seen = lines.drop("line")
     place = F.struct("d", "t", "n")
     exact = written(seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-exact")
-    texts, links = _near_links(lines, group)
+    texts, links = _near_links(lines, bands, group, block)
     roots = components(written(links, "line-links"))
     linked = texts.select("h1", "h2", "node").join(roots, "node").join(exact, ["h1", "h2"])
     best = linked.groupBy("root").agg(F.min("first").alias("rep"))
@@ -193,10 +238,11 @@ def _stands() -> Column:
     return (F.col("d") == F.col("rep_d")) & (F.col("t") == F.col("rep_t")) & (F.col("n") == F.col("rep_n"))
 
 
-def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
+                        bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
     """``docs`` with every line gone whose class an earlier line stands for.
     All documents stay, if need be with an empty text."""
-    gone = line_classes(docs, doc_id, text, min_chars).where(~_stands())
+    gone = line_classes(docs, doc_id, text, min_chars, bands=bands).where(~_stands())
     # of one document's lines only: bounded by the text itself
     per_doc = written(gone.groupBy("d", "t").agg(F.collect_set("n").alias("gone")), "line-gone")
     names = {c: free_name(docs, f"_l_{c}") for c in ("d", "t", "gone")}

@@ -103,6 +103,57 @@ def test_banded_automaton(spark, edits):
         assert (r.p, r.s) == (p, s)
 
 
+BANDS = ((0, 1), (24, 2), (40, 3), (60, 4))
+
+
+def edited(rnd, s, times):
+    for _ in range(times):
+        p = rnd.randrange(len(s))
+        s = rnd.choice([s[:p] + s[p + 1:], s[:p] + rnd.choice("xé#") + s[p:], s[:p] + rnd.choice("yß ") + s[p + 1:]])
+    return s
+
+
+@pytest.mark.parametrize("group, block", [(32, 256), (3, 4)])
+def test_threshold_grows_with_the_length(spark, group, block):
+    rnd = random.Random(7)
+    letters = "abcdefghijklmnop "
+    base = ["".join(rnd.choices(letters, k=k)) for k in range(21, 90)]
+    # one start for many lines: large groups that are not near copies
+    base += ["the same opening words of " + "".join(rnd.choices(letters, k=k)) for k in rnd.choices(range(12, 15), k=25)]
+    seen = sorted({edited(rnd, s, rnd.randint(0, 5)) for s in base for _ in range(4)} | {s for s in base})
+    seen = [s for s in seen if len(s) >= L.MIN_CHARS and s.strip()]
+    root = list(range(len(seen)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(seen):
+        for j in range(i + 1, len(seen)):
+            b = seen[j]
+            edits = max(e for least, e in BANDS if min(len(a), len(b)) >= least and e)
+            if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+                ri, rj = find(i), find(j)
+                root[max(ri, rj)] = min(ri, rj)
+    sizes = {}
+    for i in range(len(seen)):
+        sizes[find(i)] = sizes.get(find(i), 0) + 1
+    want = sorted((i, find(i)) for i in range(len(seen)) if sizes[find(i)] > 1)
+    df = spark.createDataFrame([(i, s, "x", 1) for i, s in enumerate(seen)], KIND).repartition(3)
+    got = L.line_classes(df, group=group, bands=BANDS, block=block).select("d", "rep_d").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_long_lines_with_two_typos_and_a_changed_number_meet(spark):
+    a = "this is a fairly long line of plain text that two documents share, but for some typos, printed on page 100 of the book"
+    b = a.replace("fairly", "farly").replace("typos", "typoz")
+    c = " ".join(f"word{k}" for k in range(120))
+    rows = [(1, a, "x", 1), (2, b, "x", 1), (3, c + " item 417", "x", 1), (4, c + " item 952", "x", 1)]
+    got = {(r.d, r.rep_d) for r in L.line_classes(spark.createDataFrame(rows, KIND)).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 3)}
+
+
 def test_empty(spark):
     assert L.line_classes(spark.createDataFrame([], KIND)).count() == 0
     assert L.drop_repeated_lines(spark.createDataFrame([], KIND)).count() == 0
