@@ -22,6 +22,7 @@ many full rows and one rest; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,9 @@ from amity.llm.tables import col_ref, read_table, scratch_path
 LENGTH = 2048
 GROUP_TOKENS = 4 << 20
 END_OF_TEXT = 50256
+LONG_RUN = 100_000  # white-space characters in a row that tiktoken's pattern is kept from
+# The characters of Unicode's White_Space, which \s of the pattern is
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ROW = ("pack_id bigint, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
        "doc_ids array<bigint>, pieces array<int>")
 
@@ -115,6 +119,24 @@ def _packed(docs: list[tuple[int | None, np.ndarray]], length: int, first_id: in
         [f.split()[0] for f in ROW.split(", ")])
 
 
+def encode_text(code, text: str, long_run: int = LONG_RUN) -> np.ndarray:
+    """The ids of ``text`` by ``code``, a tiktoken encoding. Its pattern gives up
+    on about a million white-space characters in a row. A run is one pre-token
+    up to its last character, which the pattern leaves to what follows (at the
+    end of the text: the whole run); nothing before a run depends on it. So
+    long runs are encoded as the pre-tokens they are, without the pattern."""
+    runs = [m.span() for m in WHITE.finditer(text) if m.end() - m.start() >= long_run] if len(text) >= long_run else []
+    if not runs:
+        return code.encode_to_numpy(text, disallowed_special=())
+    out, at = [], 0
+    for start, end in runs:
+        end -= end < len(text)
+        out.append(code.encode_to_numpy(text[at:start], disallowed_special=()))
+        out.append(np.array(code._encode_single_piece(text[start:end]), out[0].dtype))
+        at = end
+    return np.concatenate([*out, code.encode_to_numpy(text[at:], disallowed_special=())])
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -138,7 +160,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, doc_id: str =
         held, total, next_id = [], 0, TaskContext.get().partitionId() << 40
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = code.encode_to_numpy(t.as_py() or "", disallowed_special=())
+                ids = encode_text(code, t.as_py() or "")
                 held.append((i, np.append(ids, end_of_text).astype(kind)))
                 total += len(held[-1][1])
                 if total >= group_tokens:

@@ -66,6 +66,32 @@ def test_round_trip(spark):
             assert sum(got, []) == want and all(len(x) == 128 for x in got[:-1])
 
 
+def encoding():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.default_tokenizer(), "rb"))}
+    return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_long_runs_change_no_pre_token():
+    code, rnd = encoding(), random.Random(5)
+    for _ in range(3000):
+        parts = ["".join(rnd.choices(" \n\t\r\x0b\x0c\x85\xa0\u2003\u3000\x1c\u200b", k=rnd.randint(1, 9))) if rnd.random() < 0.6 else
+                 rnd.choice(["word", "don't", "'s", "42", "!?", "é", "日本"]) for _ in range(rnd.randint(0, 9))]
+        text = "".join(parts)
+        assert P.encode_text(code, text, 3).tolist() == code.encode_ordinary(text)
+
+
+def test_white_space_runs_above_a_million(spark):
+    code = encoding()
+    texts = ["before" + " " * 1_500_000 + "after", "\n" * 1_500_000, "a" + "\t" * 1_200_000 + " b" + " " * 1_100_000]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)] + [(9, "short", "x", 1)], KIND)
+    parts = {}
+    for s in P.segments(P.pack_documents(df)).collect():
+        parts.setdefault(s.doc_id, []).append((s.piece, np.frombuffer(s.ids, "<u2").tolist()))
+    ids = {i: sum((x for _, x in sorted(p)), []) for i, p in parts.items()}
+    assert {i: code.decode(x[:-1]) for i, x in ids.items()} == dict(enumerate(texts)) | {9: "short"}
+    assert all(x[-1] == P.END_OF_TEXT for x in ids.values())
+
+
 def test_empty(spark):
     assert P.segments(P.pack_documents(spark.createDataFrame([], KIND))).count() == 0
 
