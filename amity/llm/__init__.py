@@ -1,3 +1,3 @@
-"""Operators of a large-scale training-data pipeline (ten dealt operators).
+"""Operators of a large-scale training-data pipeline.
 
 Nothing else in the library imports this subpackage."""
