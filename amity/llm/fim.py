@@ -37,13 +37,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amity.llm.tables import col_ref, read_table, written
+from amity.llm.tables import col_ref, read_table, scratch_path
 
 FRAME_BYTES = 64 << 10
 SEED = 42
 FIM_PERCENT, SPM_PERCENT = 50, 80  # texts that are transformed, and of those in the order suffix, prefix, middle
 LEVEL = 3
-HOLD_BYTES = 16 << 20              # of compressed rows a worker hands on at once
+HOLD_BYTES = 2 << 20               # of compressed rows a worker hands on at once
+ROW_GROUP_BYTES = 8 << 20          # of a written frame table
 # The markers
 P, S, M = b"<P>", b"<S>", b"<M>"
 MARKERS = (P, S, M)
@@ -276,9 +277,16 @@ def with_digests(outputs: DataFrame) -> DataFrame:
     return outputs.select(*names, "output").mapInArrow(digests, OUTPUT_DDL.replace("output array<binary>", "output_sha256 string, restored_sha256 string"))
 
 
+def write_frames(stored: DataFrame, path: str) -> DataFrame:
+    """A frame table written under ``path`` and read back. The frames are
+    compressed already, and small row groups keep a writer's buffers small."""
+    stored.write.option("compression", "uncompressed").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return stored.sparkSession.read.schema(STORED_DDL).parquet(path)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as frames, transformed, and rebuilt."""
-    stored = written(frame_table(read_table(spark, sf_dir, "documents")), "fim-frames")
+    stored = write_frames(frame_table(read_table(spark, sf_dir, "documents")), scratch_path(spark, "fim-frames"))
     return with_digests(fill_in_middle(stored))
 
 
