@@ -1,8 +1,7 @@
 """Line dedup: exact copies and lines a few edits apart (native expressions only).
 
-*Exact copies* meet on two independent 64-bit hashes of the line, so texts are
-not shuffled for them, and are counted map-side: a line in a third of all
-documents is one row a task.
+*Exact copies* are lines with two equal independent 64-bit hashes, counted
+map-side: a line in a third of all documents is one row a task.
 
 *Lines a few edits apart* (substitution, insertion or deletion of a character)
 are found by a segment-partition join. The threshold of a pair follows the
@@ -11,25 +10,38 @@ t is split into t + 1 segments; t edits leave one of them whole. The index
 holds (n, segment number, segment text); a line probes it with the substrings
 of its own that a line of n, n-1, ... n-t characters could have there: a
 segment can only have moved by the edits before it, and by the gap less the
-edits after it. Keys are hashes, with the length in them. Groups of up to
-``GROUP`` different lines are compared pair by pair. Of larger ones every line
-is first compared with the group's smallest member, and lines of up to
-``ONE_OUT`` characters are also keyed by what is left when one character is
-taken out, for each place, and by each place itself: whoever shares such a key
-is one edit apart. Then the group is cut into hashed blocks that meet in pairs,
-and only lines not connected yet are compared there: what those links already
-join is never listed.
-
-Every link is then verified on the texts: common ends are cut off, and a
-banded bit-parallel automaton (one bit a diagonal, one word an error count)
-reads the rest. Links meet in ``components``; the line that comes first (by
-doc_id, then line number) stands for its class.
-
-Defined results: only lines of ``MIN_CHARS`` characters or more with a word
-take part, so short fragments and blank lines always stay; a NULL or empty
-text has no lines; a NULL doc_id comes after all others; rows repeated with
-the same doc_id and text count as one document, so they keep the same lines; an
-empty table gives none.
+edits after it. Keys are hashes, with the length in them; they are counted
+map-side first, so copies of a line add nothing to a key, and only keys that
+two different lines share are made a second time with the lines that hold them.
+
+*Groups* of up to ``GROUP`` different lines are compared pair by pair. In a
+larger one every line is compared with the group's most copied one. If few
+lines are left, they are compared with the whole group; otherwise the group is
+*refined*: the segment its lines share is cut out, and the rest is split into
+segments and probes again, so that a subgroup shares ever more text. What is
+listed is linear in a group's size at each step, and a group whose lines share
+all but a few characters needs no further one.
+
+*Verification.* Common ends are cut off the two texts, and a banded
+bit-parallel automaton reads the rest: one bit a diagonal, one lane an error
+count, all lanes in one machine word.
+
+*Classes and what goes.* Links meet in ``components``; a class goes by its
+earliest line (by doc_id, then line number). A line is dropped only if it is
+linked to a line that is kept: going through the lines in their order, a line
+is kept unless an earlier kept one is linked to it. That is settled for many
+lines at once, in rounds: lines without an earlier undecided link are kept and
+their links dropped. (After ``ORDERLY`` rounds, which only long runs of
+numbered lines reach, hashes decide who is earlier: that ends in a few more.)
+Lines of a large group that are linked to its leader are not compared with
+each other, so two of them may both stay where the leader itself goes.
+
+Defined results: every line with a word takes part in the exact grouping,
+lines of ``MIN_CHARS`` characters or more also in the edit join; dropping
+leaves shorter lines where they are, as "Yes." or "}" repeats by right; a
+blank line always stays; a NULL or empty text has no lines; a NULL doc_id
+comes after all others; rows repeated with the same doc_id and text count as
+one document, so they keep the same lines; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -37,16 +49,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amity.functions.membership import may_contain
 from amity.llm.components import components
 from amity.llm.tables import col_ref, free_name, read_table, written
 
-BANDS = ((0, 1), (100, 2), (400, 3), (1000, 4))  # (from so many characters, edits)
+BANDS = ((0, 1), (100, 2), (400, 3), (1000, 4))  # (from so many characters, edits); 4 edits at most
 MIN_CHARS = 20
-GROUP = 32            # lines of a key that are compared pair by pair
-BLOCK = 256           # lines of a larger key that meet as many others at once
-ONE_OUT = 512         # characters of the longest line keyed by each place (work grows with the square)
+GROUP = 64            # lines of a key that are compared pair by pair
+LISTED = 32           # pairs a line of a larger group that may be listed at once
+BLOCK = 4096          # lines of a group that meet those left over in one task
+ORDERLY = 12          # rounds in which the earlier line goes first
+MOST_EDITS = 4        # an automaton of more does not fit a machine word
 LAST = (1 << 63) - 1  # stands for a NULL doc_id in the order
 SPACE = " \t\n\x0b\f\r"
+TEXT = {"compression": "zstd"}  # of written tables that hold texts
+Bands = tuple[tuple[int, int], ...]
 
 
 def _chars(c: Column, start: Column, size: Column) -> Column:
@@ -70,47 +87,80 @@ def _common(a: Column, b: Column, ends: bool) -> Column:
     return F.aggregate(steps, F.lit(0), longer)
 
 
-def within_edits(a: Column, b: Column, edits: int = 1) -> Column:
-    """Whether texts ``a`` and ``b`` are at most ``edits`` edits apart.
-
-    Bit d + edits of word e is set while the text so far of ``a`` can be at
-    diagonal d of ``b`` with e errors; a character of ``a`` moves all bits of
-    a word at once. Once every word is empty nothing is computed any more."""
-    size, gap = 2 * edits + 1, F.size(b) - F.size(a)
-    full, words = (1 << size) - 1, [f"r{e}" for e in range(edits + 1)]
-    start = [sum(1 << (d + edits) for d in range(e + 1)) for e in range(edits + 1)]
-
-    def step(acc: Column, i: Column) -> Column:
-        char = F.get(a, i)
-        hit = sum((F.when(F.coalesce(F.get(b, i + d) == char, F.lit(False)) & (i + d >= 0), F.lit(1 << (d + edits)))
-                   .otherwise(F.lit(0)) for d in range(-edits, edits + 1)), F.lit(0))
-        new: list[Column] = []
-        for e, w in enumerate(words):
-            r = acc[w].bitwiseAND(hit)
-            if e:
-                old = acc[words[e - 1]]
-                r = r.bitwiseOR(old).bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(new[-1], 1).bitwiseAND(F.lit(full)))
-            new.append(r)
-        alive = acc[words[-1]] != 0
-        return F.when(alive, F.struct(*[n.alias(w) for n, w in zip(new, words, strict=True)])).otherwise(acc)
-
-    state = F.struct(*[F.lit(s).alias(w) for s, w in zip(start, words, strict=True)])
-    places = F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
-    wanted = F.get(F.array(*[F.lit(1 << d) for d in range(size)]), gap + edits)
-    end = F.aggregate(places, state, step, lambda acc: acc[words[-1]]).bitwiseAND(wanted) != 0
-    return F.when(F.abs(gap) <= edits, end).otherwise(F.lit(False))
+def within_edits(a: Column, b: Column, edits: int = 1, limit: Column | None = None) -> Column:
+    """Whether the character arrays ``a`` and ``b`` are at most ``edits``
+    edits apart (``limit``: at most this many, no more than ``edits``).
 
+    Bit d + edits of lane e is set while what was read of ``a`` can be at
+    diagonal d of ``b`` with e errors. The lanes stand side by side in one
+    word, so a character of ``a`` moves all of them at once."""
+    if not 0 <= edits <= MOST_EDITS:
+        raise ValueError(f"0 to {MOST_EDITS} edits")
+    size, lanes, gap = 2 * edits + 1, range(edits + 1), F.size(b) - F.size(a)
+
+    def word(lane: int) -> int:
+        """``lane``'s bits in every lane."""
+        return sum(lane << (e * size) for e in lanes)
+
+    full = (1 << size) - 1
+    every, upper, lower = word(full), word(full & ~1), word(full >> 1)
+    start = sum(sum(1 << (d + edits) for d in range(e + 1)) << (e * size) for e in lanes)
+
+    def hits(char: Column, i: Column) -> Column:
+        """The diagonals on which ``b`` has this character."""
+        out = F.lit(0).cast("bigint")
+        for d in range(-edits, edits + 1):
+            out = out + F.when(F.get(b, i + d) == char, F.lit(1 << (d + edits)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        return out
+
+    def number(n: int) -> Column:
+        return F.lit(n).cast("bigint")
+
+    def one_more(c: Column) -> Column:
+        """Every lane's bits as those of the lane with an error more."""
+        return F.shiftleft(c, size).bitwiseAND(number(every))
+
+    def step(state: Column, hit: Column) -> Column:
+        same = state.bitwiseAND(hit * number(word(1)))
+        moved = state.bitwiseOR(F.shiftright(state, 1).bitwiseAND(number(lower)))  # substituted, or left out of b
+        found = same.bitwiseOR(one_more(moved))
+        if not edits:
+            return found
+        # put into b: along the lanes, an error each
+        return F.aggregate(F.sequence(F.lit(1), F.lit(edits)), found,
+                           lambda s, _: s.bitwiseOR(one_more(F.shiftleft(s, 1).bitwiseAND(number(upper)))))
+
+    end = F.aggregate(F.transform(a, hits), number(start), step)
+    lane = F.lit(edits) if limit is None else limit
+    wanted = F.get(F.array(*[F.array(*[number(1 << (e * size + k)) for k in range(size)]) for e in lanes]), lane)
+    return F.when(F.abs(gap) <= lane, end.bitwiseAND(F.get(wanted, gap + edits)) != 0).otherwise(F.lit(False))
+
+
+# ------------------------------------------------------------ lines, copies
 
 def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
-    """``(d, t, n, line, h1, h2)`` of the lines that take part."""
+    """``(d, t, n, line, h1, h2)`` of the lines with a word; ``line`` is NULL
+    where it is too short for the edit join."""
     value = F.col(col_ref(text)).cast("string")
     rows = docs.select(F.coalesce(F.col(col_ref(doc_id)).cast("bigint"), F.lit(LAST)).alias("d"), F.xxhash64(value).alias("t"),
                        F.posexplode(F.split(value, "\n", -1)).alias("n", "line"))
-    rows = rows.where((F.char_length("line") >= min_chars) & (F.length(F.translate("line", SPACE, "")) > 0))
-    return rows.select("d", "t", "n", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    rows = rows.where(F.length(F.translate("line", SPACE, "")) > 0)
+    return rows.select("d", "t", "n", F.when(F.char_length("line") >= min_chars, F.col("line")).alias("line"),
+                       F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+
 
+def _different(lines: DataFrame, exact: DataFrame) -> DataFrame:
+    """``(h1, h2, line)``: every text of the edit join once. Only texts that
+    may have copies are brought together; the others stay where they are."""
+    long = lines.where(F.col("line").isNotNull()).select("h1", "h2", "line")
+    may_have = may_contain(exact.where("copies > 1"), "h1")
+    copied = written(long.where(may_have(F.col("h1"))).dropDuplicates(["h1", "h2"]), "line-copied", **TEXT)
+    return long.where(~may_have(F.col("h1"))).unionByName(copied)
 
-def _edits(size: Column, bands: tuple[tuple[int, int], ...]) -> Column:
+
+# --------------------------------------------------------- segments, probes
+
+def _edits(size: Column, bands: Bands) -> Column:
     """The threshold of a pair whose shorter line has ``size`` characters."""
     out = F.lit(0)
     for least, edits in sorted(bands):
@@ -118,138 +168,233 @@ def _edits(size: Column, bands: tuple[tuple[int, int], ...]) -> Column:
     return out
 
 
-def _segment_keys(lines: DataFrame, bands: tuple[tuple[int, int], ...]) -> DataFrame:
-    """``(id, key, index)``: the index keys of every line, and its probes for
-    lines as long as itself and up to a threshold shorter."""
-    probes = [(edits, gap, k, move) for edits in sorted({e for _, e in bands}) for gap in range(edits + 1) for k in range(edits + 1)
-              for move in range(max(-k, gap - (edits - k)), min(k, gap + edits - k) + 1)]
-    # exploded, not one array of as many expressions: its code would be too large to be compiled
-    table = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(x, ("edits", "gap", "k", "move"), strict=True)]) for x in probes])
-    rows = lines.select(F.col("h1").alias("id"), "line", F.char_length("line").alias("n")).select("id", "line", "n", F.explode(table).alias("p"))
-    rows = rows.where(_edits(F.col("n") - F.col("p.gap"), bands) == F.col("p.edits"))
-    size = F.col("n") - F.col("p.gap")  # of the lines probed for
-    start, end = [F.floor(size * (F.col("p.k") + d) / (F.col("p.edits") + 1)).cast("int") for d in (0, 1)]
-    key = F.xxhash64(F.col("p.k"), size, _chars(F.col("line"), start + 1 + F.col("p.move"), end - start))
-    return rows.select("id", key.alias("key"), ((F.col("p.gap") == 0) & (F.col("p.move") == 0)).alias("index"))
+def _moves(edits: int, gap: int) -> list[tuple[int, int]]:
+    """(segment, how far it may have moved) of a probe for texts ``gap``
+    characters shorter."""
+    return [(k, move) for k in range(edits + 1)
+            for move in range(max(-k, gap - (edits - k)), min(k, gap + edits - k) + 1)]
 
 
-def _one_out_keys(line: Column) -> Column:
-    """array<bigint>: the line less its character at each place, and the line
-    parted at each place. Equal keys: one edit apart, at that place."""
-    n = F.char_length(line)
+def _table(rows: list[tuple[int, ...]], names: tuple[str, ...]) -> Column:
+    return F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(r, names, strict=True)]) for r in rows])
 
-    def key(size: Column, place: Column, skip: int) -> Column:
-        return F.xxhash64(size, place, _chars(line, F.lit(1), place - 1), _chars(line, place + skip, n))
 
-    out = F.transform(F.sequence(F.lit(1), n), lambda p: key(n - 1, p, 1))
-    return F.concat(out, F.transform(F.sequence(F.lit(1), n + 1), lambda p: key(n, p, 0)))
+def _probes(lines: DataFrame, bands: Bands) -> DataFrame:
+    """``lines`` (with ``line``) times the segments each is indexed and probed
+    by: the columns of ``lines`` less ``line``, and ``prefix, rest, edits,
+    gap, k, move, index``. Only the tables of a line's own bands are unfolded."""
+    n, steps = F.char_length("line"), sorted(bands)
+    parts = []
+    for (least, edits), after in zip(steps, [*[s[0] for s in steps[1:]], None], strict=True):
+        own = _table([(edits, gap, k, move) for gap in range(edits + 1) for k, move in _moves(edits, gap)], ("edits", "gap", "k", "move"))
+        met = (n >= least) if after is None else (n >= least) & (n - edits < after)
+        parts.append(F.when(met, own).otherwise(F.slice(own, 1, 0)))
+    rest = [c for c in lines.columns if c != "line"]
+    rows = lines.select(*rest, "line", F.explode(F.concat(*parts)).alias("p"))
+    rows = rows.where(_edits(F.char_length("line") - F.col("p.gap"), bands) == F.col("p.edits"))
+    return rows.select(*rest, F.lit(0).cast("bigint").alias("prefix"), F.col("line").alias("rest"), "p.edits", "p.gap", "p.k", "p.move",
+                       ((F.col("p.gap") == 0) & (F.col("p.move") == 0)).alias("index"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, bands: tuple[tuple[int, int], ...]) -> DataFrame:
-    """``(a, b)``: the nodes of the pairs of ids within their threshold."""
-    side = texts.select(F.col("h1"), "node", "line")
-    both = pairs.join(side.toDF("a", "u", "x"), "a").join(side.toDF("b", "v", "y"), "b")
+def _deeper(rows: DataFrame, bands: Bands) -> DataFrame:
+    """The same for rows that share a key: what is left of them is split
+    anew, at the threshold and the gap they met at."""
+    table = F.array().cast("array<struct<k:int,move:int>>")
+    for edits in sorted({e for _, e in bands}):
+        for gap in range(edits + 1):
+            table = F.when((F.col("edits") == edits) & (F.col("gap") == gap), _table(_moves(edits, gap), ("k", "move"))).otherwise(table)
+    keep = [c for c in rows.columns if c not in ("key", "left", "index")]
+    out = rows.select(*keep, F.col("key").alias("prefix"), F.col("index").alias("was"), F.explode(table).alias("p"))
+    return out.select(*keep, "prefix", "p.k", "p.move", (F.col("was") & (F.col("p.move") == 0)).alias("index"))
+
+
+def _keyed(probes: DataFrame, with_rest: bool = False) -> DataFrame:
+    """``key`` of each probe's segment, in place of what it is made from;
+    ``left``: how long the index's texts are without it; ``with_rest``: also
+    each row's own text without it."""
+    size = F.char_length("rest") - F.col("gap")  # of the texts probed for
+    start, end = [F.floor(size * (F.col("k") + d) / (F.col("edits") + 1)).cast("int") for d in (0, 1)]
+    key = F.xxhash64("prefix", "k", size, _chars(F.col("rest"), start + 1 + F.col("move"), end - start)).alias("key")
+    keep = [F.col(c) for c in probes.columns if c not in ("prefix", "rest", "edits", "gap", "k", "move")]
+    if not with_rest:
+        return probes.select(*keep, key, (size - (end - start)).alias("left"))
+    cut = F.concat(_chars(F.col("rest"), F.lit(1), start + F.col("move")), _chars(F.col("rest"), end + F.col("move") + 1, F.char_length("rest")))
+    return probes.select(*keep, key, (size - (end - start)).alias("left"), cut.alias("rest"), "edits", "gap")
+
+
+# ------------------------------------------------------------ verification
+
+def _verified(pairs: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that are within their threshold."""
+    side, most = texts.select("node", "line"), max(e for _, e in bands)
+    both = pairs.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b")
     sizes = [F.char_length(c) for c in "xy"]
     pre = both.withColumn("e", _edits(F.least(*sizes), bands)).where(F.abs(sizes[0] - sizes[1]) <= F.col("e")) \
         .withColumn("p", _common(F.col("x"), F.col("y"), False))
     rest = [_chars(F.col(c), F.col("p") + 1, F.char_length(c)).alias(c) for c in "xy"]
-    post = pre.select("u", "v", "e", *rest).withColumn("s", _common(F.col("x"), F.col("y"), True))
+    post = pre.select("a", "b", "e", *rest).withColumn("s", _common(F.col("x"), F.col("y"), True))
     rest = [F.split(_chars(F.col(c), F.lit(1), F.char_length(c) - F.col("s")), "").alias(c) for c in "xy"]
     # splitting an empty text gives one empty string
-    cut = post.select("u", "v", "e", *rest).select("u", "v", "e", *[F.array_remove(c, "").alias(c) for c in "xy"])
-    near = F.lit(False)
-    for edits in sorted({e for _, e in bands}):
-        near = F.when(F.col("e") == edits, within_edits(F.col("x"), F.col("y"), edits)).otherwise(near)
+    cut = post.select("a", "b", "e", *rest).select("a", "b", "e", *[F.array_remove(c, "").alias(c) for c in "xy"])
     # the verdict must stay above the projections: a filter pushed below them
     # would compute the texts' ends anew for every mention
-    verdict = near & (F.spark_partition_id() >= 0)
-    return cut.select("u", "v", verdict.alias("ok")).where("ok").select(F.col("u").alias("a"), F.col("v").alias("b"))
-
-
-def _near_links(lines: DataFrame, bands: tuple[tuple[int, int], ...], group: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """(texts with a node number each, verified links between nodes that
-    connect whatever is within its threshold)."""
-    keys = written(_segment_keys(lines, bands), "line-keys")
-    # a key matters if two lines hold it and one of them is in the index
-    multi = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("i")) \
-        .where("a != b AND i").select("key", F.col("a").alias("least"))
-    multi = written(multi, "line-shared")
-    members = written(keys.join(multi, "key").groupBy("key", "least", "id").agg(F.max("index").alias("index")), "line-members")
-    # different lines, not their copies
-    sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > group), "line-large")
-    wanted = written(members.select("id").distinct(), "line-wanted")
-    texts = written(lines.join(wanted, lines["h1"] == wanted["id"], "left_semi").groupBy("h1", "h2").agg(F.min("line").alias("line"))
-                    .withColumn("node", F.monotonically_increasing_id()), "line-texts")
-    any_large = bool(sizes.head(1))
-    small = members.join(sizes, "key", "left_anti") if any_large else members
+    verdict = within_edits(F.col("x"), F.col("y"), most, F.col("e")) & (F.spark_partition_id() >= 0)
+    return cut.select("a", "b", verdict.alias("ok")).where("ok").select("a", "b")
+
+
+# ------------------------------------------------------------------ groups
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _few(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """All pairs of the groups in ``sizes``, at least one of each indexed."""
+    small = members.join(sizes.select("key"), "key").select("key", "node", "index")
     x, y = small.alias("x"), small.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key AND x.id < y.id AND (x.index OR y.index)")) \
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    if not any_large:
-        return texts, _verified(written(pairs.distinct(), "line-pairs"), texts, bands)
-    large = written(members.join(sizes, "key"), "line-crowded")
-    pairs = pairs.unionByName(large.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")))
-    short = texts.where(F.char_length("line") <= ONE_OUT)
-    hot = written(short.join(large.select("id").distinct(), short["h1"] == F.col("id"), "left_semi")
-                  .select(F.col("h1").alias("id"), F.explode(_one_out_keys(F.col("line"))).alias("key")), "line-places")
-    least = written(hot.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a != b")
-                    .select("key", "a"), "line-least")
-    pairs = pairs.unionByName(hot.join(least, "key").where("id != a").select("a", F.col("id").alias("b")))
-    links = written(_verified(written(pairs.distinct(), "line-pairs"), texts, bands), "line-first-links")
-    # an id is one line but for a collision of hashes: then its first node stands for it, which only lists more pairs
-    roots = texts.join(components(links), "node", "left").groupBy("h1").agg(F.min(F.coalesce("root", "node")).alias("root"))
-    open_rows = large.join(roots.withColumnRenamed("h1", "id"), "id")
-    apart = written(open_rows.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("n")).where("m != n").select("key"), "line-apart")
-    p, own = F.ceil(F.col("c") / block).cast("bigint"), F.col("own")
-    cut = open_rows.join(apart, "key").withColumn("p", p).withColumn("own", F.pmod(F.xxhash64("id", F.lit(2)), F.col("p")))
-    units = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("p") - 1), lambda j: F.least(own, j) * F.col("p") + F.greatest(own, j))
-    cut = written(cut.select("key", "id", "index", "root", "p", "own", F.explode(units).alias("unit")), "line-blocks")
-    x, y = cut.alias("x"), cut.alias("y")
-    meet = x.join(y, F.expr("x.key = y.key AND x.unit = y.unit AND x.id < y.id AND (x.index OR y.index) AND x.root != y.root "
-                            "AND (x.own != y.own OR x.unit = x.own * (x.p + 1))"))
-    more = _verified(written(meet.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "line-meet"), texts, bands)
-    return texts, links.unionByName(more)
+    met = x.join(y, F.expr("x.key = y.key AND x.node < y.node AND (x.index OR y.index)"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _left_over(state: DataFrame, keys: DataFrame) -> DataFrame:
+    """The pairs of the groups in ``keys`` that their leader does not join,
+    the lines left over meeting the whole group in blocks."""
+    p = F.ceil(F.col("c") / BLOCK).cast("int")
+    rows = state.join(keys.select("key"), "key").withColumn("p", p)
+    whole = rows.select("key", "node", "index", "tied", F.pmod(F.xxhash64("node"), F.col("p")).cast("int").alias("block"))
+    few = rows.where("NOT tied").select("key", F.col("node").alias("other"), F.col("index").alias("indexed"),
+                                        F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("block"))
+    met = whole.join(few, ["key", "block"]).where("node != other AND (index OR indexed) AND (tied OR node < other)")
+    return met.select(*_pair("node", "other"))
+
+
+def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, listed: int) -> DataFrame:
+    """Links ``(a, b)`` that connect whatever is within its threshold, from
+    the members ``(key, node, copies, index, left)`` of the first keys."""
+    found, rows = [], None
+    while True:
+        sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("index").alias("i"), F.max("left").alias("left"))
+                        .where("c > 1 AND i").drop("i"), "line-sizes")
+        large = sizes.where(F.col("c") > group)
+        pairs = _few(members, sizes.where(F.col("c") <= group))
+        if not large.head(1):
+            found.append(written(_verified(pairs.distinct(), texts, bands), "line-links"))
+            break
+        # the most copied line first, then the earliest
+        lead = members.join(large.select("key", "c"), "key").groupBy("key", "c") \
+            .agg(F.max(F.struct("copies", (-F.col("node")).alias("minus"))).alias("most"))
+        lead = written(lead.select("key", "c", (-F.col("most.minus")).alias("leader")), "line-leaders")
+        crowd = written(members.drop("left", "copies").join(lead, "key"), "line-crowds")
+        led = crowd.where("node != leader").select(*_pair("node", "leader"))
+        links = written(_verified(pairs.unionByName(led).distinct(), texts, bands), "line-links")
+        found.append(links)
+        tied = crowd.select("key", "c", "node", "index", "leader", *_pair("node", "leader")) \
+            .join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
+        state = written(tied.select("key", "c", "node", "index", ((F.col("node") == F.col("leader")) | F.col("linked").isNotNull()).alias("tied")),
+                        "line-state")
+        open_ = state.groupBy("key", "c").agg(F.sum((~F.col("tied")).cast("bigint")).alias("o")).where("o > 0")
+        open_ = open_.join(large.select("key", "left"), "key")
+        # nothing to split any more: what a group's lines do not share is as short as their threshold
+        final = (F.col("o") <= listed) | (F.col("left") <= max(e for _, e in bands))
+        open_ = written(open_.select("key", final.alias("final")), "line-open")
+        more = _left_over(state, open_.where("final"))
+        found.append(written(_verified(more.distinct(), texts, bands), "line-links"))
+        split = open_.where("NOT final").select("key")
+        if not split.head(1):
+            break
+        probes = _probes(texts.select("node", "copies", "line"), bands) if rows is None else _deeper(rows, bands)
+        rows = written(_keyed(probes, with_rest=True).join(split, "key").distinct(), "line-rest", **TEXT)
+        members = _keyed(_deeper(rows, bands)).groupBy("key", "node", "copies").agg(F.max("index").alias("index"), F.max("left").alias("left"))
+        members = written(members, "line-members")
+    out = found[0]
+    for links in found[1:]:
+        out = out.unionByName(links)
+    return written(out.distinct(), "line-links")
+
+
+def _near(lines: DataFrame, exact: DataFrame, bands: Bands, group: int, listed: int) -> tuple[DataFrame, DataFrame]:
+    """(nodes ``node, h1, h2, first`` of the texts that share a key with
+    another, numbered in the order of their first lines; their links)."""
+    keys = _keyed(_probes(_different(lines, exact).select(F.col("h1").alias("id"), "line"), bands))
+    # a key matters if two texts hold it and one of them is in the index
+    shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("i"))
+    shared = written(shared.where("a != b AND i").select("key"), "line-shared")
+    held = keys.where(may_contain(shared, "key")(F.col("key"))).groupBy("key", "id").agg(F.max("index").alias("index"), F.max("left").alias("left"))
+    held = written(held.join(shared, "key"), "line-held")
+    wanted = written(held.select("id").distinct(), "line-wanted")
+    order = [F.col(f"first.{c}") for c in "dtn"]
+    nodes = written(exact.join(wanted, exact["h1"] == wanted["id"], "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("node", F.monotonically_increasing_id()), "line-nodes")
+    long = lines.where(F.col("line").isNotNull() & may_contain(wanted, "id")(F.col("h1"))).select("h1", "h2", "line")
+    texts = written(long.dropDuplicates(["h1", "h2"]).join(nodes.select("h1", "h2", "node", "copies"), ["h1", "h2"])
+                    .select("node", "copies", "line"), "line-texts", **TEXT)
+    members = held.join(nodes.select(F.col("h1").alias("id"), "node", "copies"), "id").select("key", "node", "copies", "index", "left")
+    return nodes, _links(members, texts, bands, group, listed)
+
+
+# ------------------------------------------------------- classes, what goes
+
+def settled(links: DataFrame, orderly: int = ORDERLY) -> DataFrame:
+    """``(node, stand)``: the nodes that go and the linked node that stands
+    for each, from links ``(a, b)``. No two nodes that stay are linked; every
+    other one is linked to one that stays. Smaller nodes stay first."""
+    now, gone, turn = written(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u != v").distinct(), "line-open"), [], 0
+    while now.head(1):
+        if turn == orderly:
+            first = F.struct(F.xxhash64("u"), "u") < F.struct(F.xxhash64("v"), "v")
+            now = now.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("u"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("v"))
+        stay = now.select("u").distinct().join(now.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
+        goes = written(now.join(stay, "u").groupBy(F.col("v").alias("node")).agg(F.min("u").alias("stand")), "line-goes")
+        gone.append(goes)
+        ends = goes.select(F.col("node").alias("u"))
+        now = written(now.join(ends, "u", "left_anti").join(ends.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v"), "line-open")
+        turn += 1
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("stand"))
+    for goes in gone:
+        out = out.unionByName(goes)
+    return out
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-                 group: int = GROUP, bands: tuple[tuple[int, int], ...] = BANDS, block: int = BLOCK) -> DataFrame:
-    """``(d, t, n, rep_d, rep_t, rep_n, near)`` for every line that has a twin:
-    its document key (doc_id and text hash) and line number, and those of the
-    line that stands for its class. ``near``: not an exact copy of that line.
-    ``bands``: the edits allowed from so many characters of the shorter line."""
-    # read four times below: texts are split and hashed once
-    lines = written(_lines(docs, doc_id, text, min_chars), "lines")
-    seen = lines.drop("line")
-    place = F.struct("d", "t", "n")
-    exact = written(seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-exact")
-    texts, links = _near_links(lines, bands, group, block)
-    roots = components(written(links, "line-links"))
-    linked = texts.select("h1", "h2", "node").join(roots, "node").join(exact, ["h1", "h2"])
-    best = linked.groupBy("root").agg(F.min("first").alias("rep"))
-    near = written(linked.join(best, "root").select("h1", "h2", "rep"), "line-near")
-    classes = written(exact.join(near, ["h1", "h2"], "left").where("first != last OR rep IS NOT NULL")
-                      .select("h1", "h2", F.coalesce("rep", "first").alias("rep"),
-                              F.coalesce(F.col("rep") != F.col("first"), F.lit(False)).alias("near")), "line-classes")
-    return seen.join(classes, ["h1", "h2"]).select("d", "t", "n", F.col("rep.d").alias("rep_d"), F.col("rep.t").alias("rep_t"),
-                                                   F.col("rep.n").alias("rep_n"), "near")
-
-
-def _stands() -> Column:
-    return (F.col("d") == F.col("rep_d")) & (F.col("t") == F.col("rep_t")) & (F.col("n") == F.col("rep_n"))
+                 group: int = GROUP, bands: Bands = BANDS, listed: int = LISTED) -> DataFrame:
+    """``(d, t, n, rep_d, rep_t, rep_n, near, dropped, by_d, by_t, by_n)`` for
+    every line that has a twin: its document key (doc_id and text hash) and
+    line number, and those of the line its class goes by. ``near``: no exact
+    copy of that line. ``dropped``: a kept line stands for it; ``by_*``: that
+    line (a kept line stands for itself). ``bands``: the edits allowed from so
+    many characters of the shorter line."""
+    if max(e for _, e in bands) > MOST_EDITS:
+        raise ValueError(f"at most {MOST_EDITS} edits")
+    # read several times below: texts are split and hashed once
+    lines = written(_lines(docs, doc_id, text, min_chars), "lines", **TEXT)
+    own = F.struct("d", "t", "n")
+    exact = written(lines.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last"), F.count(F.lit(1)).alias("copies")), "line-exact")
+    nodes, links = _near(lines, exact, bands, group, listed)
+    place = nodes.select("node", "first")
+    linked = components(links).join(settled(links), "node", "left")
+    linked = linked.join(place.toDF("root", "rep"), "root").join(place.toDF("stand", "by"), "stand", "left")
+    linked = linked.join(nodes.select("node", "h1", "h2"), "node").select("h1", "h2", "rep", "by")
+    classes = exact.join(linked, ["h1", "h2"], "left").where("first != last OR rep IS NOT NULL")
+    classes = written(classes.select("h1", "h2", "first", F.coalesce("rep", "first").alias("rep"), F.coalesce("by", "first").alias("by")), "line-classes")
+    seen = lines.where(may_contain(classes, "h1")(F.col("h1"))).select("d", "t", "n", "h1", "h2", F.col("line").isNotNull().alias("long"))
+    return seen.join(classes, ["h1", "h2"]).select(
+        "d", "t", "n", *[F.col(f"rep.{c}").alias(f"rep_{c}") for c in "dtn"], (F.col("rep") != F.col("first")).alias("near"),
+        (F.col("long") & (own != F.col("by"))).alias("dropped"),
+        *[F.when(F.col("long"), F.col(f"by.{c}")).otherwise(F.col(c)).alias(f"by_{c}") for c in "dtn"])
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-                        bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
-    """``docs`` with every line gone whose class an earlier line stands for.
-    All documents stay, if need be with an empty text."""
-    gone = line_classes(docs, doc_id, text, min_chars, bands=bands).where(~_stands())
+                        bands: Bands = BANDS) -> DataFrame:
+    """``docs`` with every line gone that a kept line stands for. All
+    documents stay, if need be with an empty text."""
+    gone = line_classes(docs, doc_id, text, min_chars, bands=bands).where("dropped")
     # of one document's lines only: bounded by the text itself
     per_doc = written(gone.groupBy("d", "t").agg(F.collect_set("n").alias("gone")), "line-gone")
     names = {c: free_name(docs, f"_l_{c}") for c in ("d", "t", "gone")}
     per_doc = per_doc.select(*[F.col(c).alias(n) for c, n in names.items()])
     value = F.col(col_ref(text)).cast("string")
-    same = (F.coalesce(F.col(col_ref(doc_id)).cast("bigint"), F.lit(LAST)) == F.col(names["d"])) \
-        & (F.xxhash64(value) == F.col(names["t"]))
+    number = F.coalesce(F.col(col_ref(doc_id)).cast("bigint"), F.lit(LAST))
+    same = (number == F.col(names["d"])) & (F.xxhash64(value) == F.col(names["t"]))
     # a column of its own with two mentions: inlined, it would be split once a line
     parts = F.col(names["t"] + "_parts")
     joined = docs.join(per_doc, same, "left").withColumn(
@@ -261,13 +406,14 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of ``documents`` that has a twin, and the line it goes by."""
+    """Every line of ``documents`` that has a twin, the line its class goes
+    by, and the kept line that stands for it."""
     def number(c: str, name: str) -> Column:
         return F.when(F.col(c) != LAST, F.col(c)).alias(name)
 
     found = line_classes(read_table(spark, sf_dir, "documents"))
-    return found.select(number("d", "doc_id"), F.col("n").alias("line"), number("rep_d", "class_doc_id"),
-                        F.col("rep_n").alias("class_line"), "near", (~_stands()).alias("dropped"))
+    return found.select(number("d", "doc_id"), F.col("n").alias("line"), number("rep_d", "class_doc_id"), F.col("rep_n").alias("class_line"),
+                        "near", "dropped", number("by_d", "kept_doc_id"), F.col("by_n").alias("kept_line"))
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

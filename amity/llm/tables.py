@@ -35,11 +35,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/amity-llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: the
-    lineage is cut and every later branch scans only the columns it needs."""
+    lineage is cut and every later branch scans only the columns it needs.
+    ``options`` are the writer's (a codec, say)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
