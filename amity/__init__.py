@@ -7,12 +7,13 @@ sources   read_friends, parse_friend_lines, read_profiles, first_profile_per_use
 graph     clean_edges, friend_pairs, friendships, triangles, mutual_friends, mutual_friend_rows,
           mutual_friend_lists, mutual_friend_counts, top_mutual_pairs,
           top_mutual_pairs_named, mutual_friend_profiles, max_friend_age,
-          oldest_friend_top
+          oldest_friend_top; write_friend_index, read_friend_index (a stored graph for several questions)
 ratings   ratings_by_address, top_rated_businesses, top_rated_businesses_sql
 functions age_years, parse_dob, to_id
 """
 
 from amity.functions.columns import age_years, parse_dob, to_id
+from amity.operators.friend_index import FriendIndex, read_friend_index, write_friend_index
 from amity.operators.graph import (clean_edges, friend_pairs, friendships, max_friend_age, mutual_friend_counts,
                                    mutual_friend_lists, mutual_friend_profiles, mutual_friend_rows,
                                    mutual_friends, oldest_friend_top, top_mutual_pairs,

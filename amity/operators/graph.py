@@ -21,12 +21,15 @@ ones. The direction flags decide which corners of a triangle are mutual
 friends of the other two.
 
 Every function returns a lazy DataFrame: calling it starts no Spark job and
-writes nothing.
+writes nothing. Where several questions are asked of one graph, a
+``FriendIndex`` (``amity.operators.friend_index``) takes the place of the
+edges: the lists are prepared and written once, and each question reads them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +38,9 @@ from amity.functions.columns import age_years, pair_hi, pair_lo
 from amity.operators.skew import hot_pieces, lookup_join, piece_rows
 from amity.sources.text import first_profile_per_user
 
+if TYPE_CHECKING:
+    from amity.operators.friend_index import FriendIndex
+
 MAX_TOP_K = 100_000   # rows of a top-k that may be broadcast
 PAIR_BUCKETS = 64     # tasks one pair's two friend lists are spread over
 CHUNK = 128           # ids of an out-list in one row, on average at most
@@ -171,13 +177,15 @@ def _corners(both: DataFrame, counted: bool) -> DataFrame:
     return out.where("_w > 0") if counted else out.drop("_w")
 
 
-def mutual_friend_rows(edges: DataFrame, floor_rows: int | None = None, chunk: int = CHUNK) -> DataFrame:
+def mutual_friend_rows(edges: DataFrame | FriendIndex, floor_rows: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """``(u, v, friend_id)``: one row per befriended pair and mutual friend.
     Pairs without a mutual friend have no row here (see ``mutual_friends``)."""
+    if not isinstance(edges, DataFrame):
+        return edges.friend_rows()
     return _corners(_chunks(edges, floor_rows, chunk), counted=False)
 
 
-def mutual_friends(edges: DataFrame, rows: DataFrame | None = None, floor_rows: int | None = None) -> DataFrame:
+def mutual_friends(edges: DataFrame | FriendIndex, rows: DataFrame | None = None, floor_rows: int | None = None) -> DataFrame:
     """E1, long form: ``(u, v, friend_id)`` for every befriended pair; a pair
     with no mutual friend gives one row with ``friend_id`` NULL.
 
@@ -187,6 +195,8 @@ def mutual_friends(edges: DataFrame, rows: DataFrame | None = None, floor_rows:
     ``mutual_friend_counts``, ``top_mutual_pairs`` and
     ``top_mutual_pairs_named``), so several questions share one listing.
     """
+    if not isinstance(edges, DataFrame):
+        return edges.mutual_friends()
     rows = mutual_friend_rows(edges, floor_rows) if rows is None else rows
     return friend_pairs(edges).join(rows, ["u", "v"], "left").select("u", "v", "friend_id")
 
@@ -210,16 +220,18 @@ def _weighted(edges: DataFrame, rows: DataFrame | None, floor_rows: int | None)
     return _corners(_chunks(edges, floor_rows, CHUNK), counted=True).select("u", "v", "_w")
 
 
-def mutual_friend_counts(edges: DataFrame, rows: DataFrame | None = None, floor_rows: int | None = None) -> DataFrame:
+def mutual_friend_counts(edges: DataFrame | FriendIndex, rows: DataFrame | None = None, floor_rows: int | None = None) -> DataFrame:
     """E2a: ``(u, v, n_mutual bigint)`` for every befriended pair, 0 included.
     Every pair enters as a row of weight 0 next to its weighted rows: one
     hash aggregation with a map-side partial step, no join."""
+    if not isinstance(edges, DataFrame):
+        return edges.counts()
     pairs = friendships(edges).select("u", "v", F.lit(0).alias("_w"))
     return (_weighted(edges, rows, floor_rows).unionByName(pairs)
             .groupBy("u", "v").agg(F.sum("_w").cast("bigint").alias("n_mutual")))
 
 
-def top_mutual_pairs(edges: DataFrame, k: int = 10, rows: DataFrame | None = None,
+def top_mutual_pairs(edges: DataFrame | FriendIndex, k: int = 10, rows: DataFrame | None = None,
                      floor_rows: int | None = None) -> DataFrame:
     """E2: the ``k`` pairs with most mutual friends; ties by u, then v.
 
@@ -228,7 +240,10 @@ def top_mutual_pairs(edges: DataFrame, k: int = 10, rows: DataFrame | None = Non
     anybody; then the first count-0 pairs in (u, v) order fill it, and those
     are always among the first ``2k`` pairs in that order. So those ``2k``
     pairs join the mutual-friend rows as rows of weight 0, one aggregation
-    counts everything, and a per-partition top-k merge picks the answer."""
+    counts everything, and a per-partition top-k merge picks the answer. A
+    friend index counts only the pairs that can be among the k."""
+    if not isinstance(edges, DataFrame):
+        return edges.top_pairs(k)
     order = [F.col("n_mutual").desc(), F.col("u").asc(), F.col("v").asc()]
     first = (friendships(edges).select("u", "v").orderBy("u", "v").limit(2 * k)
              .select("u", "v", F.lit(0).alias("_w")))
@@ -254,7 +269,7 @@ def _small(k: int) -> int:
     return k
 
 
-def top_mutual_pairs_named(edges: DataFrame, profiles: DataFrame, k: int = 10, rows: DataFrame | None = None,
+def top_mutual_pairs_named(edges: DataFrame | FriendIndex, profiles: DataFrame, k: int = 10, rows: DataFrame | None = None,
                            floor_rows: int | None = None, top: DataFrame | None = None) -> DataFrame:
     """E3: E2 plus first name, last name and address of both users (NULL
     when a user has no profile), in E2's order. Columns: n_mutual, u, v,
@@ -278,7 +293,7 @@ def top_mutual_pairs_named(edges: DataFrame, profiles: DataFrame, k: int = 10, r
     return named.select("n_mutual", "u", "v", *cols).orderBy(F.col("n_mutual").desc(), "u", "v").limit(k)
 
 
-def mutual_friend_profiles(edges: DataFrame, profiles: DataFrame, a: int, b: int) -> DataFrame:
+def mutual_friend_profiles(edges: DataFrame | FriendIndex, profiles: DataFrame, a: int, b: int) -> DataFrame:
     """E4: for the befriended pair {a, b} (either order), each mutual friend
     with first name and birth-date text: ``(u, v, friend_id, first_name,
     dob)``. Friends are matched by id, never by name. No rows when a and b
@@ -287,6 +302,7 @@ def mutual_friend_profiles(edges: DataFrame, profiles: DataFrame, a: int, b: int
     One pass over the edges: the rows of both lists (a pushed-down filter),
     spread over ``PAIR_BUCKETS`` buckets by friend. The rows of a and b
     themselves, which prove the friendship, go to every bucket."""
+    edges = edges if isinstance(edges, DataFrame) else edges.edges()
     lo, hi = min(int(a), int(b)), max(int(a), int(b))
     near = _proper(edges).where(F.col("src").isin(lo, hi))
     own = F.pmod(F.xxhash64("dst"), F.lit(PAIR_BUCKETS)).cast("int")
@@ -308,7 +324,7 @@ def mutual_friend_profiles(edges: DataFrame, profiles: DataFrame, a: int, b: int
 
 # ------------------------------------------------------------------- ages
 
-def max_friend_age(edges: DataFrame, profiles: DataFrame,
+def max_friend_age(edges: DataFrame | FriendIndex, profiles: DataFrame,
                    as_of: Column | str | _dt.date | None = None, floor_rows: int | None = None) -> DataFrame:
     """E5a: ``(user_id, max_friend_age int)`` for every user with a friend
     list: the calendar age on ``as_of`` of the oldest friend. NULL when no
@@ -317,7 +333,7 @@ def max_friend_age(edges: DataFrame, profiles: DataFrame,
     The join runs on the friend's id, where a popular user is a hot key: the
     rows of every much-named user are spread over several tasks (see
     ``lookup_join``); the max is aggregated map-side first."""
-    edges = _proper(edges)
+    edges = _proper(edges if isinstance(edges, DataFrame) else edges.edges())
     ages = profiles.select(F.col("user_id").alias("dst"), age_years("dob", as_of).alias("age"))
     pieces = hot_pieces(in_degrees(edges), "user_id", "degree", floor_rows).withColumnRenamed("user_id", "dst")
     joined = lookup_join(edges, ages, "dst", pieces, "left")
@@ -325,7 +341,7 @@ def max_friend_age(edges: DataFrame, profiles: DataFrame,
             .agg(F.max("age").alias("max_friend_age")))
 
 
-def oldest_friend_top(edges: DataFrame, profiles: DataFrame,
+def oldest_friend_top(edges: DataFrame | FriendIndex, profiles: DataFrame,
                       as_of: Column | str | _dt.date | None = None, k: int = 10,
                       floor_rows: int | None = None) -> DataFrame:
     """E5: the ``k`` users whose oldest friend is oldest (ties: smaller id;
