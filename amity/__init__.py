@@ -3,7 +3,8 @@
 Public API (all lazy DataFrames, no Python UDFs):
 
 sources   read_friends, parse_friend_lines, read_profiles, first_profile_per_user,
-          read_business, read_reviews, write_text, to_text_lines, write_edge_table
+          read_business, read_reviews, write_text, write_ordered_text, to_text_lines, write_edge_table,
+          save_co_partitioned
 graph     clean_edges, friend_pairs, friendships, triangles, mutual_friends, mutual_friend_rows,
           mutual_friend_lists, mutual_friend_counts, top_mutual_pairs,
           top_mutual_pairs_named, mutual_friend_profiles, max_friend_age,
@@ -19,7 +20,7 @@ from amity.operators.graph import (clean_edges, friend_pairs, friendships, max_f
                                    mutual_friends, oldest_friend_top, top_mutual_pairs,
                                    top_mutual_pairs_named, triangles)
 from amity.operators.ratings import ratings_by_address, top_rated_businesses, top_rated_businesses_sql
-from amity.sources.sinks import to_text_lines, write_edge_table, write_text, write_tsv
+from amity.sources.sinks import save_co_partitioned, to_text_lines, write_edge_table, write_ordered_text, write_text
 from amity.sources.text import (first_profile_per_user, parse_friend_lines, read_business,
                                 read_friends, read_profiles, read_reviews)
 

@@ -37,15 +37,21 @@ def membership_words(values: DataFrame, column: str, bits: int = BITS) -> DataFr
     return filled.agg(F.array_sort(F.collect_list(F.struct("page", "ws"))).alias("all")).select(F.flatten("all.ws").alias("words"))
 
 
-def may_contain(values: DataFrame, column: str, bits: int = BITS) -> Callable[[Column], Column]:
-    """A test for ``where``: False only for values that ``values`` lacks (and
-    for NULL). The filter is computed when the query that uses it runs."""
-    words = membership_words(values, column, bits).scalar()
+def in_words(words: DataFrame, bits: int = BITS) -> Callable[[Column], Column]:
+    """A test for ``where`` from the one row of ``membership_words``: False
+    only for values that were not in the table, and for NULL."""
+    array = words.select("words").scalar()
 
     def test(value: Column) -> Column:
         p = F.pmod(F.xxhash64(value), F.lit(bits))
-        word = F.get(words, F.shiftright(p, 6).cast("int"))
+        word = F.get(array, F.shiftright(p, 6).cast("int"))
         hit = F.call_function("shiftright", word, p.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
         return value.isNotNull() & hit
 
     return test
+
+
+def may_contain(values: DataFrame, column: str, bits: int = BITS) -> Callable[[Column], Column]:
+    """``in_words`` of ``values``: the filter is computed when a query that
+    uses it runs. Queries that share a filter may write its words first."""
+    return in_words(membership_words(values, column, bits), bits)

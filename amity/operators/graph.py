@@ -41,7 +41,7 @@ from amity.sources.text import first_profile_per_user
 if TYPE_CHECKING:
     from amity.operators.friend_index import FriendIndex
 
-MAX_TOP_K = 100_000   # rows of a top-k that may be broadcast
+MAX_TOP_K = 100_000   # rows of a top-k that are broadcast; more are joined like any table
 PAIR_BUCKETS = 64     # tasks one pair's two friend lists are spread over
 CHUNK = 128           # ids of an out-list in one row, on average at most
 
@@ -254,19 +254,19 @@ def top_mutual_pairs(edges: DataFrame | FriendIndex, k: int = 10, rows: DataFram
 
 # ------------------------------------------------------------ profile joins
 
-def _profiles_for(profiles: DataFrame, keys: DataFrame, key: str = "user_id") -> DataFrame:
-    """One profile row per user in ``keys`` (the ids of a top-k: k is checked
-    by ``_small``). The keys are broadcast and ``profiles`` is scanned once,
-    never shuffled whole; a user's several rows fold into the smallest."""
-    found = profiles.join(F.broadcast(keys.select(key).distinct()), key, "left_semi")
-    return first_profile_per_user(found, key)
+def _few(rows: DataFrame, k: int) -> DataFrame:
+    """The rows of a top-k for a join: broadcast where ``k`` bounds their size."""
+    if k < 0:
+        raise ValueError("k must not be negative")
+    return F.broadcast(rows) if k <= MAX_TOP_K else rows
 
 
-def _small(k: int) -> int:
-    """``k`` of a top-k whose rows are broadcast."""
-    if not 0 <= k <= MAX_TOP_K:
-        raise ValueError(f"k must be 0 .. {MAX_TOP_K}: its rows are broadcast")
-    return k
+def _profiles_for(profiles: DataFrame, keys: DataFrame, k: int) -> DataFrame:
+    """One profile row per user in ``keys`` (the ids of a top-k). ``profiles``
+    is scanned once and, for up to ``MAX_TOP_K`` keys, never shuffled whole;
+    a user's several rows fold into the smallest."""
+    found = profiles.join(_few(keys.select("user_id").distinct(), k), "user_id", "left_semi")
+    return first_profile_per_user(found, "user_id")
 
 
 def top_mutual_pairs_named(edges: DataFrame | FriendIndex, profiles: DataFrame, k: int = 10, rows: DataFrame | None = None,
@@ -276,11 +276,11 @@ def top_mutual_pairs_named(edges: DataFrame | FriendIndex, profiles: DataFrame,
     first_u, last_u, address_u, first_v, last_v, address_v. Only the k rows'
     users are looked up; a user with several profile rows counts once. The
     plan reads the k rows twice; ``top`` takes E2's result if it is written."""
-    top = top_mutual_pairs(edges, _small(k), rows, floor_rows) if top is None else top.limit(_small(k))
+    top = top_mutual_pairs(edges, k, rows, floor_rows) if top is None else top.limit(k)
     # two rows a pair, one an end; each end's profile, and the end itself in case it has none
     ends = top.select("n_mutual", "u", "v", F.explode(F.array("u", "v")).alias("user_id"))
     fields = ["first_name", "last_name", "address"]
-    found = profiles.select("user_id", *fields).join(F.broadcast(ends), "user_id") \
+    found = profiles.select("user_id", *fields).join(_few(ends, k), "user_id") \
         .select("n_mutual", "u", "v", "user_id", F.struct(*fields).alias("p"))
     both = found.unionByName(ends.withColumn("p", F.lit(None).cast(found.schema["p"].dataType)))
 
@@ -313,44 +313,82 @@ def mutual_friend_profiles(edges: DataFrame | FriendIndex, profiles: DataFrame,
     friends = F.max(F.col("dst").isin(lo, hi)).over(Window.partitionBy("bucket"))
     shared = (listed.withColumn("friends", friends)
               .where(F.col("friends") & F.col("in_lo") & F.col("in_hi") & ~F.col("dst").isin(lo, hi))
-              .select(F.lit(lo).cast("bigint").alias("u"), F.lit(hi).cast("bigint").alias("v"), F.col("dst").alias("friend_id")))
+              .select(F.col("dst").alias("friend_id")))
+    # read twice below, computed once: both joins start from this exchange. A left join whose
+    # small side is broadcast is not to be had, so profiles of others go first, by a semi-join
+    shared = shared.repartition("friend_id")
     prof = profiles.select(F.col("user_id").alias("friend_id"), "first_name", F.col("dob_text").alias("dob"))
-    # a left join whose small side adaptive execution can broadcast is not to
-    # be had; profiles outside the shared friends go first, by a semi-join
-    prof = prof.join(shared.select("friend_id"), "friend_id", "left_semi")
-    return (shared.join(first_profile_per_user(prof, "friend_id"), "friend_id", "left")
-            .select("u", "v", "friend_id", "first_name", "dob"))
+    prof = first_profile_per_user(prof.join(shared, "friend_id", "left_semi"), "friend_id")
+    return shared.join(prof, "friend_id", "left").select(
+        F.lit(lo).cast("bigint").alias("u"), F.lit(hi).cast("bigint").alias("v"), "friend_id", "first_name", "dob")
 
 
 # ------------------------------------------------------------------- ages
 
 def max_friend_age(edges: DataFrame | FriendIndex, profiles: DataFrame,
-                   as_of: Column | str | _dt.date | None = None, floor_rows: int | None = None) -> DataFrame:
+                   as_of: Column | str | _dt.date | None = None, floor_rows: int | None = None,
+                   co_partitioned: bool = False) -> DataFrame:
     """E5a: ``(user_id, max_friend_age int)`` for every user with a friend
     list: the calendar age on ``as_of`` of the oldest friend. NULL when no
     friend has a readable birth date (or a profile at all).
 
     The join runs on the friend's id, where a popular user is a hot key: the
     rows of every much-named user are spread over several tasks (see
-    ``lookup_join``); the max is aggregated map-side first."""
+    ``lookup_join``); the max is aggregated map-side first. With
+    ``co_partitioned``, both tables are bucketed by that id
+    (``save_co_partitioned``) and joined bucket by bucket: no edge is shuffled
+    before the aggregation."""
     edges = _proper(edges if isinstance(edges, DataFrame) else edges.edges())
     ages = profiles.select(F.col("user_id").alias("dst"), age_years("dob", as_of).alias("age"))
-    pieces = hot_pieces(in_degrees(edges), "user_id", "degree", floor_rows).withColumnRenamed("user_id", "dst")
-    joined = lookup_join(edges, ages, "dst", pieces, "left")
+    if co_partitioned:
+        joined = edges.join(ages, "dst", "left")
+    else:
+        pieces = hot_pieces(in_degrees(edges), "user_id", "degree", floor_rows).withColumnRenamed("user_id", "dst")
+        joined = lookup_join(edges, ages, "dst", pieces, "left")
     return (joined.groupBy(F.col("src").alias("user_id"))
             .agg(F.max("age").alias("max_friend_age")))
 
 
+def _oldest(edges: DataFrame, profiles: DataFrame, as_of: Column | str | _dt.date | None, k: int) -> DataFrame:
+    """``max_friend_age`` of enough users for a top ``k``, from the oldest
+    profiles only.
+
+    A friend p whom at least k users list settles k places: those users'
+    ages are p's or more. So nobody below the oldest such p's age can be among
+    the first k, and at just that age only the k smallest ids that list p, and
+    smaller ones. Profiles older than p are listed by fewer than k users each.
+    All three numbers are scalar subqueries; without such a p all count."""
+    ages = profiles.select(F.col("user_id").alias("dst"), age_years("dob", as_of).alias("age")).where("age IS NOT NULL")
+    ages = ages.groupBy("dst").agg(F.max("age").alias("age"))
+    named = in_degrees(edges).where(F.col("degree") >= k).select(F.col("user_id").alias("dst"))
+    known = ages.join(named, "dst", "left_semi")
+    least = known.agg(F.max("age")).scalar()
+    # among the oldest such friends, the one with the smallest id
+    friend = known.agg(F.max_by("dst", F.struct("age", -F.col("dst")))).scalar()
+    last = edges.where(F.col("dst") == friend).select("src").orderBy("src").limit(k).agg(F.max("src")).scalar()
+    older = edges.join(ages.where((F.col("age") > least) | F.isnull(least)), "dst")
+    equal = edges.where(F.col("src") <= last).join(ages.where(F.col("age") == least), "dst")
+    return (older.unionByName(equal).groupBy(F.col("src").alias("user_id")).agg(F.max("age").alias("max_friend_age")))
+
+
 def oldest_friend_top(edges: DataFrame | FriendIndex, profiles: DataFrame,
                       as_of: Column | str | _dt.date | None = None, k: int = 10,
-                      floor_rows: int | None = None) -> DataFrame:
+                      floor_rows: int | None = None, early: bool = False) -> DataFrame:
     """E5: the ``k`` users whose oldest friend is oldest (ties: smaller id;
     users without any known friend age are left out), with the user's own
     address, city and state, in that order: ``(user_id, address, city, state,
-    max_friend_age)``. The address lookup runs after the top-k, on k users."""
+    max_friend_age)``. The address lookup runs after the top-k, on k users.
+
+    ``early`` joins only the oldest profiles to the edges, as far down as k
+    users need: for stored edges, which it scans several times and shuffles
+    little of. The result is the same."""
     order = [F.col("max_friend_age").desc(), F.col("user_id").asc()]
-    top = (max_friend_age(edges, profiles, as_of, floor_rows)
-           .where(F.col("max_friend_age").isNotNull()).orderBy(*order).limit(_small(k)))
-    addr = _profiles_for(profiles.select("user_id", "address", "city", "state"), top)
-    return (top.join(F.broadcast(addr), "user_id", "left")
+    if early:
+        listed = _proper(edges if isinstance(edges, DataFrame) else edges.edges())
+        found = _oldest(listed, profiles, as_of, max(k, 1))
+    else:
+        found = max_friend_age(edges, profiles, as_of, floor_rows)
+    top = found.where(F.col("max_friend_age").isNotNull()).orderBy(*order).limit(k)
+    addr = _profiles_for(profiles.select("user_id", "address", "city", "state"), top, k)
+    return (top.join(_few(addr, k), "user_id", "left")
             .select("user_id", "address", "city", "state", "max_friend_age").orderBy(*order).limit(k))

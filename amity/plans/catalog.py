@@ -14,12 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from amity.operators import graph, ratings
+from amity.operators.friend_index import FriendIndex, write_friend_index
 from amity.session import scratch_path
 from amity.sources import layouts
+from amity.sources.sinks import save_co_partitioned, write_edge_table, write_ordered_text, write_text
 from amity.sources.text import read_business, read_friends, read_profiles, read_reviews
 from amity.plans.oracle import oracle_queries
 from amity.plans.standin import AS_OF, NEEDLE, TOP_K, StandIn
@@ -154,6 +156,76 @@ def q_top_rated_brands_sql(spark: SparkSession, sf: str) -> DataFrame:
     return _e7_text(ratings.top_rated_businesses_sql(spark, s.brands(), s.brand_reviews(), TOP_K))
 
 
+# ------------------------------------------------------------ stored tables
+
+def _stored(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
+    write_edge_table(edges, path := scratch_path(spark, name), n_files=8)
+    return spark.read.parquet(path)
+
+
+def _index(spark: SparkSession, edges: DataFrame) -> FriendIndex:
+    return write_friend_index(edges, scratch_path(spark, "friend-index"))
+
+
+def q_mutual_friends_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """E1 from the stored index of the directed graph, hubs as bitmaps."""
+    return graph.mutual_friends(_index(spark, StandIn(spark, sf).directed_edges()))
+
+
+def q_mutual_friend_counts_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.mutual_friend_counts(_index(spark, StandIn(spark, sf).directed_edges()))
+
+
+def q_top_mutual_pairs_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """E2 by bound: of the directed graph only pairs that can be among the k
+    are counted."""
+    return graph.top_mutual_pairs(_index(spark, StandIn(spark, sf).directed_edges()), TOP_K)
+
+
+def q_mutual_friend_profiles_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """E4 from the edge table laid out for lookups."""
+    s = StandIn(spark, sf)
+    return graph.mutual_friend_profiles(_stored(spark, s.edges(), "edges"), s.profiles(), *PROFILE_PAIR)
+
+
+def q_max_friend_age_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """E5a from tables bucketed by friend and by user."""
+    s, path = StandIn(spark, sf), scratch_path(spark, "bucketed")
+    names = [f"{kind}_{path.rpartition('-')[2]}" for kind in ("edges", "profiles")]
+    save_co_partitioned(s.edges(), s.profiles(), *names, buckets=16, path=path)
+    return graph.max_friend_age(*[spark.table(n) for n in names], AS_OF, co_partitioned=True)
+
+
+def q_oldest_friend_top_early(spark: SparkSession, sf: str) -> DataFrame:
+    """E5 from the oldest profiles down, on the directed graph and profiles
+    with gaps."""
+    s = StandIn(spark, sf)
+    return graph.oldest_friend_top(_stored(spark, s.directed_edges(), "edges"), s.uneven_profiles(), AS_OF, TOP_K, early=True)
+
+
+def q_ratings_by_address_prefiltered(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIn(spark, sf)
+    return ratings.ratings_by_address(s.business(), s.reviews(), NEEDLE, prefilter=True)
+
+
+def q_single_file(spark: SparkSession, sf: str) -> DataFrame:
+    """E7 written as one text file and read back (O10)."""
+    s, path = StandIn(spark, sf), scratch_path(spark, "single-file")
+    top = ratings.top_rated_businesses(s.business(), s.reviews(), TOP_K)
+    write_text(_e7_text(top), path, style="row", single_file=True, max_rows=TOP_K)
+    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("f")) \
+        .select("value", (F.dense_rank().over(Window.orderBy("f")) - 1).alias("file"))
+
+
+def q_ordered_files(spark: SparkSession, sf: str) -> DataFrame:
+    """E2a of every pair written in the order of (u, v) over several files,
+    and read back."""
+    path = scratch_path(spark, "ordered-files")
+    counts = graph.mutual_friend_counts(StandIn(spark, sf).edges())
+    write_ordered_text(counts.select("u", "v", "n_mutual"), path, ["u", "v"], n_files=8)
+    return spark.read.text(path)
+
+
 # ---------------------------------------------------- rejects, output lines
 
 def _rejects(kind: str, reader: Callable) -> Query:
@@ -196,6 +268,15 @@ QUERIES: dict[str, Query] = {
     "max_friend_age_directed": q_max_friend_age_directed,
     "top_rated_brands": q_top_rated_brands,
     "top_rated_brands_sql": q_top_rated_brands_sql,
+    "mutual_friends_indexed": q_mutual_friends_indexed,
+    "mutual_friend_counts_indexed": q_mutual_friend_counts_indexed,
+    "top_mutual_pairs_indexed": q_top_mutual_pairs_indexed,
+    "mutual_friend_profiles_stored": q_mutual_friend_profiles_stored,
+    "max_friend_age_bucketed": q_max_friend_age_bucketed,
+    "oldest_friend_top_early": q_oldest_friend_top_early,
+    "ratings_by_address_prefiltered": q_ratings_by_address_prefiltered,
+    "single_file_top_rated": q_single_file,
+    "ordered_files_counts": q_ordered_files,
     "rejects_friends": _rejects("friends", read_friends),
     "rejects_profiles": _rejects("userdata", read_profiles),
     "rejects_business": _rejects("business", read_business),

@@ -192,6 +192,17 @@ def oracle_queries(profile_pair: tuple[int, int], directed_pair: tuple[int, int]
         "max_friend_age_directed": with_directed(AGES),
         "top_rated_brands": brands_sql("|"),
         "top_rated_brands_sql": brands_sql("|"),
+        "mutual_friends_indexed": with_directed(MUTUAL),
+        "mutual_friend_counts_indexed": with_directed(COUNTS),
+        "top_mutual_pairs_indexed": with_directed(TOP),
+        "mutual_friend_profiles_stored": with_standin(pair),
+        "max_friend_age_bucketed": with_standin(AGES),
+        "oldest_friend_top_early": with_directed(E5),
+        "ratings_by_address_prefiltered": with_standin(E6.format(user="r.user_id")),
+        "single_file_top_rated": with_standin(f"""
+SELECT '[' || business_id || ',' || categories || ',' || full_address || ',' || avg_stars || ']' AS value, 0 AS file
+FROM ({E7_SQL})"""),
+        "ordered_files_counts": with_standin(f"SELECT u || chr(9) || v || chr(9) || n_mutual AS value FROM ({COUNTS})"),
         **REJECTS,
         "lines_mutual_friends": with_standin(f"""
 SELECT u || chr(9) || v || chr(9) || coalesce(string_agg(CAST(friend_id AS VARCHAR), ',' ORDER BY friend_id), '') AS value

@@ -104,3 +104,42 @@ def test_profile_rejects(spark, tmp_path):
     assert parsed.rows.count() == 7
     got = sorted((r.line, r.reason, r.bad) for r in parsed.rejects.collect())
     assert got == sorted([(bad[0], "arity", []), (bad[1], "id", ["x9"]), (bad[3], "id", [""])])
+
+
+def test_oldest_friend_early_on_fixture(edges, profiles):
+    for k in (1, 2, 3, 6, 10, 30):
+        assert oldest_friend_top(edges, profiles, AS_OF, k, early=True).collect() == oldest_friend_top(edges, profiles, AS_OF, k).collect()
+
+
+@pytest.mark.parametrize("seed,span", [(1, 3), (2, 40), (3, 400)])
+def test_oldest_friend_early_on_random_graphs(spark, seed, span):
+    import random
+    rnd = random.Random(seed)
+    # few ages, many ages, hardly two alike; users without profile or birth date; a user with two
+    edge_set = {(rnd.randrange(90), rnd.randrange(90)) for _ in range(400)} | {(k, 5) for k in range(20, 80, 3)}
+    edges = spark.createDataFrame(sorted((s, d) for s, d in edge_set if s != d), "src long, dst long")
+    rows = [(k, None if k % 9 == 0 else dt.date(1900 + rnd.randrange(span) % 110, 1, 1), "a", "c", "s") for k in range(0, 90) if k % 7]
+    rows.append((8, dt.date(1890, 1, 1), "b", "c", "s"))
+    profiles = spark.createDataFrame(rows, "user_id long, dob date, address string, city string, state string")
+    for k in (1, 3, 10, 60, 200):
+        assert oldest_friend_top(edges, profiles, AS_OF, k, early=True).collect() == oldest_friend_top(edges, profiles, AS_OF, k).collect()
+
+
+def test_early_end_joins_few_profiles(spark):
+    from amity.operators.graph import _oldest
+    edges = spark.range(3000).selectExpr("id AS src", "explode(array((id + 1) % 3000, (id + 7) % 3000, id % 40)) AS dst").where("src != dst")
+    profiles = spark.range(3000).selectExpr("id AS user_id", "date_add(DATE'1900-01-01', CAST(id * 10 AS INT)) AS dob")
+    got = _oldest(edges, profiles, AS_OF, 10).collect()
+    assert 10 <= len(got) < 200  # users reached, of 3,000
+    top = sorted(((-r.max_friend_age, r.user_id) for r in got))[:10]
+    full = sorted(((-r.max_friend_age, r.user_id) for r in max_friend_age(edges, profiles, AS_OF).collect()))[:10]
+    assert top == full
+
+
+def test_any_k(spark, edges, profiles, monkeypatch):
+    from amity.operators import graph
+    want = [top_mutual_pairs_named(edges, profiles, 10).collect(), oldest_friend_top(edges, profiles, AS_OF, 10).collect()]
+    monkeypatch.setattr(graph, "MAX_TOP_K", 3)  # beyond it nothing is broadcast, and nothing refused
+    assert [top_mutual_pairs_named(edges, profiles, 10).collect(), oldest_friend_top(edges, profiles, AS_OF, 10).collect()] == want
+    with pytest.raises(ValueError):
+        oldest_friend_top(edges, profiles, AS_OF, -1)

@@ -76,3 +76,47 @@ def test_sql_form_keeps_the_callers_views(spark, business, reviews):
     assert len(top_rated_businesses_sql(spark, business, reviews, 2).collect()) == 2
     assert spark.table("business_table").columns == ["id"]
     spark.catalog.dropTempView("business_table")
+
+
+def test_prefilter_shuffles_fewer_reviews(spark):
+    from amity import ratings_by_address
+    business = spark.range(5000).selectExpr("'b' || id AS business_id", "if(id % 50 = 0, 'Stanford', 'Reno') AS full_address")
+    reviews = spark.range(60000).selectExpr("'b' || id % 6000 AS business_id", "id % 900 AS user_id", "double(id % 5) AS stars")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = {}
+        for prefilter in (False, True):
+            df = ratings_by_address(business, reviews, prefilter=prefilter, bits=1 << 16)
+            moved[prefilter] = sorted(map(tuple, df.collect())), rows_into_exchanges(df)
+        assert moved[True][0] == moved[False][0]
+        assert moved[False][1] >= 60000 and moved[True][1] < 12000  # reviews, businesses and the distinct rows
+        plan = ratings_by_address(business, reviews, prefilter=True)._jdf.queryExecution().executedPlan().toString()
+        assert "Subquery" in plan and "bit_or" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def rows_into_exchanges(df):
+    """Shuffled rows of the plan that ran, subqueries left out."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "ShuffleExchangeExec":
+            total += node.metrics().get("shuffleRecordsWritten").get().value()
+        for i in range(node.children().size()):
+            todo.append(node.children().apply(i))
+    return total
+
+
+def test_top_rated_beyond_the_broadcast_bound(spark, business_path, reviews_path, monkeypatch):
+    from amity import read_business, read_reviews, top_rated_businesses
+    from amity.operators import ratings
+    b, r = read_business(spark, business_path).rows, read_reviews(spark, reviews_path).rows
+    want = top_rated_businesses(b, r, 10).collect()
+    monkeypatch.setattr(ratings, "MAX_TOP_K", 1)
+    assert top_rated_businesses(b, r, 10).collect() == want

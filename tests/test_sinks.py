@@ -46,3 +46,73 @@ def test_edge_table_layout(spark, friends_path, profiles_path, tmp_path):
     df = mutual_friend_profiles(table, read_profiles(spark, profiles_path).rows, 1, 0)
     assert "In(src, [0,1])" in df._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.friend_id for r in df.collect()) == [2, 3]
+
+
+def test_single_file_is_bounded(spark, tmp_path):
+    import pytest
+    df = spark.range(50).repartition(5)
+    write_text(df, str(tmp_path / "few"), single_file=True, max_rows=50)
+    assert len(list((tmp_path / "few").glob("part-*"))) == 1
+    with pytest.raises(ValueError):
+        write_text(df, str(tmp_path / "many"), single_file=True, max_rows=49)
+    assert not (tmp_path / "many").exists()
+
+
+def test_ordered_files(spark, tmp_path):
+    from amity import write_ordered_text
+    df = spark.range(1000).selectExpr("id * 7919 % 1000 AS a", "id AS b").repartition(7)
+    write_ordered_text(df, str(tmp_path / "out"), ["a"], 6)
+    files = sorted((tmp_path / "out").glob("part-*"))
+    got = [int(line.split("\t")[0]) for f in files for line in f.read_text().splitlines()]
+    assert got == list(range(1000))
+    sizes = [len(f.read_text().splitlines()) for f in files]
+    assert len(files) == 6 and max(sizes) < 400  # no task wrote the lot
+
+
+def scanned(df, column):
+    """Rows that the scans reading ``column`` put out, once the plan has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec" and column in node.simpleString(100).split("ReadSchema")[1]:
+            found.append(node.metrics().get("numOutputRows").get().value())
+        for i in range(node.children().size()):
+            todo.append(node.children().apply(i))
+    return found
+
+
+def test_pair_lookup_reads_edges_once_and_few_row_groups(spark, tmp_path):
+    from amity import mutual_friend_profiles, write_edge_table
+    near = spark.range(20000).selectExpr("id AS src", "explode(sequence(id + 1, id + 10)) AS dst")
+    write_edge_table(near, str(tmp_path / "e"), 8, row_group_bytes=64 << 10)
+    edges = spark.read.parquet(str(tmp_path / "e"))
+    profiles = spark.range(20020).selectExpr("id AS user_id", "'n' || id AS first_name", "'1/1/1990' AS dob_text")
+    df = mutual_friend_profiles(edges, profiles, 900, 903)
+    # E4 keeps what both list: 904 .. 910
+    assert sorted(r.friend_id for r in df.collect()) == list(range(904, 911))
+    rows = scanned(df, "src")
+    assert len(rows) == 1 and rows[0] < 40_000  # of 200,000
+
+
+def test_co_partitioned_tables_shuffle_no_edges(spark, tmp_path):
+    from amity import max_friend_age, save_co_partitioned
+    rnd = __import__("random").Random(1)
+    edges = spark.createDataFrame(sorted({(rnd.randrange(300), rnd.randrange(300)) for _ in range(3000)} - {(k, k) for k in range(300)}), "src long, dst long")
+    profiles = spark.range(280).selectExpr("id AS user_id", "date_add(DATE'1950-01-01', CAST(id * 50 AS INT)) AS dob")
+    save_co_partitioned(edges, profiles, "co_edges", "co_profiles", 4, str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = max_friend_age(spark.table("co_edges"), spark.table("co_profiles"), "2020-06-15", co_partitioned=True)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(user_id" in plan.replace("src", "user_id")
+        assert sorted(map(str, df.collect())) == sorted(map(str, max_friend_age(edges, profiles, "2020-06-15").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE co_edges")
+        spark.sql("DROP TABLE co_profiles")
