@@ -15,12 +15,15 @@ map-side first, so copies of a line add nothing to a key, and only keys that
 two different lines share are made a second time with the lines that hold them.
 
 *Groups* of up to ``GROUP`` different lines are compared pair by pair. In a
-larger one every line is compared with the group's most copied one. If few
-lines are left, they are compared with the whole group; otherwise the group is
-*refined*: the segment its lines share is cut out, and the rest is split into
-segments and probes again, so that a subgroup shares ever more text. What is
-listed is linear in a group's size at each step, and a group whose lines share
-all but a few characters needs no further one.
+larger one every line is compared with the group's most copied one, its
+leader. A line that cannot be read on along the leader from where it leaves it
+can only be near lines that leave it there too: that parts the variants of one
+text by the places they were changed at. If few pairs are left they are
+listed; otherwise the group is *refined*: the segment its lines share is cut
+out, and the rest is split into segments and probes again, so that a subgroup
+shares ever more text. What is listed is linear in a group's size at each
+step, and a group whose lines share all but a few characters needs no further
+one.
 
 *Verification.* Common ends are cut off the two texts, and a banded
 bit-parallel automaton reads the rest: one bit a diagonal, one lane an error
@@ -49,14 +52,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amity.functions.membership import may_contain
+from amity.functions.membership import in_words, may_contain, membership_words
 from amity.llm.components import components
 from amity.llm.tables import col_ref, free_name, read_table, written
 
 BANDS = ((0, 1), (100, 2), (400, 3), (1000, 4))  # (from so many characters, edits); 4 edits at most
 MIN_CHARS = 20
-GROUP = 64            # lines of a key that are compared pair by pair
-LISTED = 32           # pairs a line of a larger group that may be listed at once
+GROUP = 16            # lines of a key that are compared pair by pair
+LISTED = 256          # pairs a line of a larger group that may be looked at at once
+SPARE = 16            # or, for a level as a whole, pairs a row of the first groups
+HEAD = 24             # characters after the common beginning that most other pairs fail in
+WINDOWS = 32          # parts of a line, at most, that the place where it leaves its leader is told by
+TOGETHER = 200_000    # rows of a table of links or group members that one task may handle
 BLOCK = 4096          # lines of a group that meet those left over in one task
 ORDERLY = 12          # rounds in which the earlier line goes first
 MOST_EDITS = 4        # an automaton of more does not fit a machine word
@@ -71,32 +78,31 @@ def _chars(c: Column, start: Column, size: Column) -> Column:
     return F.substring(c, start, F.greatest(size, F.lit(0)))
 
 
-def _common(a: Column, b: Column, ends: bool) -> Column:
-    """Length of the common beginning (or, ``ends``, the common ending),
-    found by halving steps: plain comparisons of substrings."""
+def _common(a: Column, b: Column, sizes: tuple[Column, Column], ends: bool) -> Column:
+    """Length of the common beginning (or, ``ends``, the common ending) of two
+    texts of ``sizes`` characters, by halving steps: comparisons of substrings."""
     steps = F.array(*[F.lit(1 << k) for k in range(22, -1, -1)])
 
-    def part(c: Column, n: Column) -> Column:
-        return _chars(c, F.char_length(c) - n + 1, n) if ends else _chars(c, F.lit(1), n)
+    def part(c: Column, size: Column, k: Column, step: Column) -> Column:
+        return _chars(c, size - k - step + 1, step) if ends else _chars(c, k + 1, step)
 
     def longer(k: Column, step: Column) -> Column:
-        n = k + step
-        fits = (n <= F.least(F.char_length(a), F.char_length(b))) & (part(a, n) == part(b, n))
-        return F.when(fits, n).otherwise(k)
+        fits = (k + step <= F.least(*sizes)) & (part(a, sizes[0], k, step) == part(b, sizes[1], k, step))
+        return F.when(fits, k + step).otherwise(k)
 
     return F.aggregate(steps, F.lit(0), longer)
 
 
-def within_edits(a: Column, b: Column, edits: int = 1, limit: Column | None = None) -> Column:
-    """Whether the character arrays ``a`` and ``b`` are at most ``edits``
-    edits apart (``limit``: at most this many, no more than ``edits``).
+def _automaton(a: Column, b: Column, edits: int) -> Column:
+    """The state after reading the character array ``a`` along ``b``.
 
     Bit d + edits of lane e is set while what was read of ``a`` can be at
     diagonal d of ``b`` with e errors. The lanes stand side by side in one
-    word, so a character of ``a`` moves all of them at once."""
+    word, so a character of ``a`` moves all of them at once; the word is 0
+    when ``a`` and ``b`` cannot be continued to within ``edits`` edits."""
     if not 0 <= edits <= MOST_EDITS:
         raise ValueError(f"0 to {MOST_EDITS} edits")
-    size, lanes, gap = 2 * edits + 1, range(edits + 1), F.size(b) - F.size(a)
+    size, lanes = 2 * edits + 1, range(edits + 1)
 
     def word(lane: int) -> int:
         """``lane``'s bits in every lane."""
@@ -130,10 +136,23 @@ def within_edits(a: Column, b: Column, edits: int = 1, limit: Column | None = No
         return F.aggregate(F.sequence(F.lit(1), F.lit(edits)), found,
                            lambda s, _: s.bitwiseOR(one_more(F.shiftleft(s, 1).bitwiseAND(number(upper)))))
 
-    end = F.aggregate(F.transform(a, hits), number(start), step)
-    lane = F.lit(edits) if limit is None else limit
-    wanted = F.get(F.array(*[F.array(*[number(1 << (e * size + k)) for k in range(size)]) for e in lanes]), lane)
-    return F.when(F.abs(gap) <= lane, end.bitwiseAND(F.get(wanted, gap + edits)) != 0).otherwise(F.lit(False))
+    return F.aggregate(F.transform(a, hits), number(start), step)
+
+
+def within_edits(a: Column, b: Column, edits: int = 1) -> Column:
+    """Whether the character arrays ``a`` and ``b`` are at most ``edits``
+    edits apart: the last lane holds the diagonal both end on."""
+    size, gap = 2 * edits + 1, F.size(b) - F.size(a)
+    ends = F.array(*[F.lit(1 << (edits * size + k)).cast("bigint") for k in range(size)])
+    return F.when(F.abs(gap) <= edits, _automaton(a, b, edits).bitwiseAND(F.get(ends, gap + edits)) != 0).otherwise(F.lit(False))
+
+
+def _by_edits(e: Column, bands: Bands, test) -> Column:
+    """``test(edits)`` for the edits that ``e`` says."""
+    out = F.lit(False)
+    for edits in sorted({x for _, x in bands}):
+        out = F.when(e == edits, test(edits)).otherwise(out)
+    return out
 
 
 # ------------------------------------------------------------ lines, copies
@@ -144,7 +163,7 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
     value = F.col(col_ref(text)).cast("string")
     rows = docs.select(F.coalesce(F.col(col_ref(doc_id)).cast("bigint"), F.lit(LAST)).alias("d"), F.xxhash64(value).alias("t"),
                        F.posexplode(F.split(value, "\n", -1)).alias("n", "line"))
-    rows = rows.where(F.length(F.translate("line", SPACE, "")) > 0)
+    rows = rows.where(F.ltrim(F.col("line"), F.lit(SPACE)) != "")
     return rows.select("d", "t", "n", F.when(F.char_length("line") >= min_chars, F.col("line")).alias("line"),
                        F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
@@ -153,7 +172,7 @@ def _different(lines: DataFrame, exact: DataFrame) -> DataFrame:
     """``(h1, h2, line)``: every text of the edit join once. Only texts that
     may have copies are brought together; the others stay where they are."""
     long = lines.where(F.col("line").isNotNull()).select("h1", "h2", "line")
-    may_have = may_contain(exact.where("copies > 1"), "h1")
+    may_have = _words(exact.where("copies > 1"), "h1")
     copied = written(long.where(may_have(F.col("h1"))).dropDuplicates(["h1", "h2"]), "line-copied", **TEXT)
     return long.where(~may_have(F.col("h1"))).unionByName(copied)
 
@@ -179,20 +198,27 @@ def _table(rows: list[tuple[int, ...]], names: tuple[str, ...]) -> Column:
     return F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(r, names, strict=True)]) for r in rows])
 
 
+def _measured(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the length of ``text`` and, where it is ASCII, its bytes,
+    of which a piece is found without counting characters."""
+    n = F.char_length(text)
+    return rows.withColumns({"n": n, "raw": F.when(F.octet_length(text) == n, F.col(text).cast("binary"))})
+
+
 def _probes(lines: DataFrame, bands: Bands) -> DataFrame:
     """``lines`` (with ``line``) times the segments each is indexed and probed
-    by: the columns of ``lines`` less ``line``, and ``prefix, rest, edits,
-    gap, k, move, index``. Only the tables of a line's own bands are unfolded."""
-    n, steps = F.char_length("line"), sorted(bands)
+    by: the columns of ``lines`` less ``line``, and ``prefix, rest, n, raw,
+    edits, gap, k, move, index``. Only a line's own bands are unfolded."""
+    n, steps = F.col("n"), sorted(bands)
     parts = []
     for (least, edits), after in zip(steps, [*[s[0] for s in steps[1:]], None], strict=True):
         own = _table([(edits, gap, k, move) for gap in range(edits + 1) for k, move in _moves(edits, gap)], ("edits", "gap", "k", "move"))
         met = (n >= least) if after is None else (n >= least) & (n - edits < after)
         parts.append(F.when(met, own).otherwise(F.slice(own, 1, 0)))
     rest = [c for c in lines.columns if c != "line"]
-    rows = lines.select(*rest, "line", F.explode(F.concat(*parts)).alias("p"))
-    rows = rows.where(_edits(F.char_length("line") - F.col("p.gap"), bands) == F.col("p.edits"))
-    return rows.select(*rest, F.lit(0).cast("bigint").alias("prefix"), F.col("line").alias("rest"), "p.edits", "p.gap", "p.k", "p.move",
+    rows = _measured(lines, "line").select(*rest, "line", "n", "raw", F.explode(F.concat(*parts)).alias("p"))
+    rows = rows.where(_edits(n - F.col("p.gap"), bands) == F.col("p.edits"))
+    return rows.select(*rest, F.lit(0).cast("bigint").alias("prefix"), F.col("line").alias("rest"), "n", "raw", "p.edits", "p.gap", "p.k", "p.move",
                        ((F.col("p.gap") == 0) & (F.col("p.move") == 0)).alias("index"))
 
 
@@ -204,42 +230,59 @@ def _deeper(rows: DataFrame, bands: Bands) -> DataFrame:
         for gap in range(edits + 1):
             table = F.when((F.col("edits") == edits) & (F.col("gap") == gap), _table(_moves(edits, gap), ("k", "move"))).otherwise(table)
     keep = [c for c in rows.columns if c not in ("key", "left", "index")]
-    out = rows.select(*keep, F.col("key").alias("prefix"), F.col("index").alias("was"), F.explode(table).alias("p"))
-    return out.select(*keep, "prefix", "p.k", "p.move", (F.col("was") & (F.col("p.move") == 0)).alias("index"))
+    out = _measured(rows, "rest").select(*keep, "n", "raw", F.col("key").alias("prefix"), F.col("index").alias("was"), F.explode(table).alias("p"))
+    return out.select(*keep, "n", "raw", "prefix", "p.k", "p.move", (F.col("was") & (F.col("p.move") == 0)).alias("index"))
 
 
 def _keyed(probes: DataFrame, with_rest: bool = False) -> DataFrame:
     """``key`` of each probe's segment, in place of what it is made from;
     ``left``: how long the index's texts are without it; ``with_rest``: also
     each row's own text without it."""
-    size = F.char_length("rest") - F.col("gap")  # of the texts probed for
+    size = F.col("n") - F.col("gap")  # of the texts probed for
     start, end = [F.floor(size * (F.col("k") + d) / (F.col("edits") + 1)).cast("int") for d in (0, 1)]
-    key = F.xxhash64("prefix", "k", size, _chars(F.col("rest"), start + 1 + F.col("move"), end - start)).alias("key")
-    keep = [F.col(c) for c in probes.columns if c not in ("prefix", "rest", "edits", "gap", "k", "move")]
+
+    def segment(text: Column) -> Column:
+        return F.xxhash64("prefix", "k", size, _chars(text, start + 1 + F.col("move"), end - start))  # of bytes, the same for both
+
+    key = F.when(F.col("raw").isNotNull(), segment(F.col("raw"))).otherwise(segment(F.col("rest"))).alias("key")
+    keep = [F.col(c) for c in probes.columns if c not in ("prefix", "rest", "n", "raw", "edits", "gap", "k", "move")]
     if not with_rest:
         return probes.select(*keep, key, (size - (end - start)).alias("left"))
-    cut = F.concat(_chars(F.col("rest"), F.lit(1), start + F.col("move")), _chars(F.col("rest"), end + F.col("move") + 1, F.char_length("rest")))
+    cut = F.concat(_chars(F.col("rest"), F.lit(1), start + F.col("move")), _chars(F.col("rest"), end + F.col("move") + 1, F.col("n")))
     return probes.select(*keep, key, (size - (end - start)).alias("left"), cut.alias("rest"), "edits", "gap")
 
 
 # ------------------------------------------------------------ verification
 
+def _letters(text: Column) -> Column:
+    return F.array_remove(F.split(text, ""), "")  # splitting an empty text gives one empty string
+
+
+def _where(df: DataFrame, condition: Column) -> DataFrame:
+    """``where`` that stays above the projections of ``df``: pushed below
+    them, it would compute their columns anew for every mention. A column that
+    is not deterministic holds it back."""
+    return df.select("*", (condition & (F.spark_partition_id() >= 0)).alias("_holds")).where("_holds").drop("_holds")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that are within their threshold."""
-    side, most = texts.select("node", "line"), max(e for _, e in bands)
-    both = pairs.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b")
-    sizes = [F.char_length(c) for c in "xy"]
-    pre = both.withColumn("e", _edits(F.least(*sizes), bands)).where(F.abs(sizes[0] - sizes[1]) <= F.col("e")) \
-        .withColumn("p", _common(F.col("x"), F.col("y"), False))
-    rest = [_chars(F.col(c), F.col("p") + 1, F.char_length(c)).alias(c) for c in "xy"]
-    post = pre.select("a", "b", "e", *rest).withColumn("s", _common(F.col("x"), F.col("y"), True))
-    rest = [F.split(_chars(F.col(c), F.lit(1), F.char_length(c) - F.col("s")), "").alias(c) for c in "xy"]
-    # splitting an empty text gives one empty string
-    cut = post.select("a", "b", "e", *rest).select("a", "b", "e", *[F.array_remove(c, "").alias(c) for c in "xy"])
-    # the verdict must stay above the projections: a filter pushed below them
-    # would compute the texts' ends anew for every mention
-    verdict = within_edits(F.col("x"), F.col("y"), most, F.col("e")) & (F.spark_partition_id() >= 0)
-    return cut.select("a", "b", verdict.alias("ok")).where("ok").select("a", "b")
+    """The pairs ``(a, b)`` of nodes that are within their threshold. Most
+    others fail in the first characters that differ, and are read no further."""
+    side = texts.select("node", "line", "size")
+    both = pairs.join(side.toDF("a", "x", "nx"), "a").join(side.toDF("b", "y", "ny"), "b")
+    e = F.col("e")
+    sizes = (F.col("nx"), F.col("ny"))
+
+    pre = both.withColumn("e", _edits(F.least(*sizes), bands)).where(F.abs(sizes[0] - sizes[1]) <= e) \
+        .withColumn("p", _common(F.col("x"), F.col("y"), sizes, False))
+    heads = pre.withColumns({"hx": _letters(_chars(F.col("x"), F.col("p") + 1, F.lit(HEAD))),
+                             "hy": _letters(_chars(F.col("y"), F.col("p") + 1, F.lit(HEAD + MOST_EDITS)))})
+    alive = _where(heads, _by_edits(e, bands, lambda k: _automaton(F.col("hx"), F.col("hy"), k) != 0))
+    left = [(n - F.col("p")).alias(c) for n, c in zip(sizes, ("nx", "ny"), strict=True)]
+    rest = alive.select("a", "b", "e", *[_chars(F.col(c), F.col("p") + 1, n).alias(c) for c, n in zip("xy", sizes, strict=True)], *left)
+    rest = rest.withColumn("s", _common(F.col("x"), F.col("y"), sizes, True))
+    cut = rest.select("a", "b", "e", *[_letters(_chars(F.col(c), F.lit(1), n - F.col("s"))).alias(c) for c, n in zip("xy", sizes, strict=True)])
+    return _where(cut, _by_edits(e, bands, lambda k: within_edits(F.col("x"), F.col("y"), k))).select("a", "b")
 
 
 # ------------------------------------------------------------------ groups
@@ -248,58 +291,116 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _few(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """All pairs of the groups in ``sizes``, at least one of each indexed."""
-    small = members.join(sizes.select("key"), "key").select("key", "node", "index")
-    x, y = small.alias("x"), small.alias("y")
+def _together(df: DataFrame, rows: int) -> DataFrame:
+    """A small table as one partition: what is joined and grouped by then needs
+    no exchange. Larger ones stay as they are."""
+    return df.coalesce(1) if rows <= TOGETHER else df
+
+
+def _few(groups: DataFrame) -> DataFrame:
+    """All pairs of each group, at least one of a pair indexed."""
+    x, y = groups.alias("x"), groups.alias("y")
     met = x.join(y, F.expr("x.key = y.key AND x.node < y.node AND (x.index OR y.index)"))
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _left_over(state: DataFrame, keys: DataFrame) -> DataFrame:
-    """The pairs of the groups in ``keys`` that their leader does not join,
-    the lines left over meeting the whole group in blocks."""
+def _led(large: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
+    """Every line of a large group against its leader: ``(node, leader, tied,
+    lost, lost_end, b, sb)``. ``tied``: within the threshold. ``lost``: the
+    first characters that differ cannot be read along the leader within the
+    line's own threshold, from place ``b`` (in windows longer than what is
+    read); ``lost_end`` and ``sb``: the same from the end."""
+    side, e = texts.select("node", "line", "size"), F.col("e")
+    pairs = large.where("node != leader").select("node", "leader").distinct()
+    both = pairs.join(side.toDF("node", "x", "nx"), "node").join(side.toDF("leader", "y", "ny"), "leader")
+    sizes, at = (F.col("nx"), F.col("ny")), {c: (F.col(c), F.col(f"n{c}")) for c in "xy"}
+    ends = both.select("*", _common(F.col("x"), F.col("y"), sizes, False).alias("p"), _common(F.col("x"), F.col("y"), sizes, True).alias("s"),
+                       _edits(F.col("nx"), bands).alias("e"))
+
+    def tail(c: str, most: int) -> Column:
+        text, n = at[c]
+        size = F.least(n - F.col("s"), F.lit(most))
+        return F.reverse(_letters(_chars(text, n - F.col("s") - size + 1, size)))
+
+    read = ends.withColumns({"hx": _letters(_chars(F.col("x"), F.col("p") + 1, F.lit(HEAD))), "tx": tail("x", HEAD),
+                             "hy": _letters(_chars(F.col("y"), F.col("p") + 1, F.lit(HEAD + MOST_EDITS))), "ty": tail("y", HEAD + MOST_EDITS)})
+    lost = [_by_edits(e, bands, lambda k, i=i: _automaton(F.col(f"{i}x"), F.col(f"{i}y"), k) == 0) for i in "ht"]
+    window = F.greatest(F.lit(HEAD + MOST_EDITS), F.ceil(F.col("ny") / WINDOWS).cast("int"))
+    seen = read.select("node", "leader", "x", "y", "nx", "ny", "p", "s", lost[0].alias("lost"), lost[1].alias("lost_end"),
+                       F.floor(F.col("p") / window).cast("int").alias("b"), F.floor(F.col("s") / window).cast("int").alias("sb"))
+    alive, cut = ~F.col("lost") & ~F.col("lost_end"), F.least("s", F.col("nx") - F.col("p"), F.col("ny") - F.col("p"))
+    rest = [F.when(alive, _letters(_chars(text, F.col("p") + 1, n - F.col("p") - cut))).alias(f"r{c}") for c, (text, n) in at.items()]
+    rest = seen.select("node", "leader", "lost", "lost_end", "b", "sb", _edits(F.least(*sizes), bands).alias("e"), *rest)
+    tied = _by_edits(e, bands, lambda k: within_edits(F.col("rx"), F.col("ry"), k))
+    return rest.select("node", "leader", "lost", "lost_end", "b", "sb", F.coalesce(F.col("rx").isNotNull() & tied, F.lit(False)).alias("tied"))
+
+
+def _cells(state: DataFrame) -> DataFrame:
+    """Each line that is left over with the cells ``(with_lost, at)`` a near
+    copy of it can be in. If a line is lost against the leader, whoever
+    follows the leader past that place is as far from the line; so a near copy
+    leaves the leader no later than a window after it, and a lost near copy no
+    earlier than a window before."""
+    b, last = F.col("b"), F.when(F.col("lost"), F.col("b") + 1).otherwise(WINDOWS + 2)
+
+    def cells(lost: bool, first: Column) -> Column:
+        return F.transform(F.sequence(F.least(first, last), last), lambda i: F.struct(F.lit(lost).alias("with_lost"), i.alias("at")))
+
+    both = F.concat(cells(True, F.greatest(b - 1, F.lit(0))), cells(False, F.lit(0)))
+    return state.where("NOT tied").withColumn("cell", F.explode(both)).select("*", "cell.*").drop("cell")
+
+
+def _left_over(state: DataFrame) -> DataFrame:
+    """The pairs of lines that a group's leader does not join: of each line
+    left over, those in its cells, in blocks."""
     p = F.ceil(F.col("c") / BLOCK).cast("int")
-    rows = state.join(keys.select("key"), "key").withColumn("p", p)
-    whole = rows.select("key", "node", "index", "tied", F.pmod(F.xxhash64("node"), F.col("p")).cast("int").alias("block"))
-    few = rows.where("NOT tied").select("key", F.col("node").alias("other"), F.col("index").alias("indexed"),
-                                        F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("block"))
-    met = whole.join(few, ["key", "block"]).where("node != other AND (index OR indexed) AND (tied OR node < other)")
+    whole = state.select("key", "node", "index", "tied", "lost_end", "sb", F.col("lost").alias("with_lost"), F.col("b").alias("at"),
+                         F.pmod(F.xxhash64("node"), p).cast("int").alias("block"))
+    few = _cells(state).select("key", "with_lost", "at", F.col("node").alias("other"), F.col("index").alias("indexed"),
+                               F.col("lost_end").alias("other_lost"), F.col("sb").alias("other_sb"), F.explode(F.sequence(F.lit(0), p - 1)).alias("block"))
+    met = whole.join(few, ["key", "with_lost", "at", "block"]).where(
+        "node != other AND (index OR indexed) AND (tied OR node < other) AND (NOT lost_end OR other_sb <= sb + 1) AND (NOT other_lost OR sb <= other_sb + 1)")
     return met.select(*_pair("node", "other"))
 
 
 def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, listed: int) -> DataFrame:
     """Links ``(a, b)`` that connect whatever is within its threshold, from
     the members ``(key, node, copies, index, left)`` of the first keys."""
-    found, rows = [], None
+    found, rows, spare = [], None, None
     while True:
-        sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("index").alias("i"), F.max("left").alias("left"))
-                        .where("c > 1 AND i").drop("i"), "line-sizes")
-        large = sizes.where(F.col("c") > group)
-        pairs = _few(members, sizes.where(F.col("c") <= group))
+        m = members.count()
+        spare = SPARE * m if spare is None else spare
+        members = _together(members, m)
+        # a group's leader is its most copied line, of these the earliest
+        lead = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("index").alias("i"), F.max("left").alias("left"),
+                                          F.max(F.struct("copies", (-F.col("node")).alias("minus"))).alias("most")).where("c > 1 AND i")
+        lead = lead.select("key", "c", "left", (-F.col("most.minus")).alias("leader"))
+        crowd = _together(written(members.select("key", "node", "index").join(lead, "key"), "line-groups"), m)
+        large = crowd.where(F.col("c") > group)
+        pairs = _few(crowd.where(F.col("c") <= group).select("key", "node", "index"))
+        links = written(_verified(pairs.distinct(), texts, bands), "line-links")
+        found.append(links)
         if not large.head(1):
-            found.append(written(_verified(pairs.distinct(), texts, bands), "line-links"))
             break
-        # the most copied line first, then the earliest
-        lead = members.join(large.select("key", "c"), "key").groupBy("key", "c") \
-            .agg(F.max(F.struct("copies", (-F.col("node")).alias("minus"))).alias("most"))
-        lead = written(lead.select("key", "c", (-F.col("most.minus")).alias("leader")), "line-leaders")
-        crowd = written(members.drop("left", "copies").join(lead, "key"), "line-crowds")
-        led = crowd.where("node != leader").select(*_pair("node", "leader"))
-        links = written(_verified(pairs.unionByName(led).distinct(), texts, bands), "line-links")
-        found.append(links)
-        tied = crowd.select("key", "c", "node", "index", "leader", *_pair("node", "leader")) \
-            .join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
-        state = written(tied.select("key", "c", "node", "index", ((F.col("node") == F.col("leader")) | F.col("linked").isNotNull()).alias("tied")),
-                        "line-state")
-        open_ = state.groupBy("key", "c").agg(F.sum((~F.col("tied")).cast("bigint")).alias("o")).where("o > 0")
-        open_ = open_.join(large.select("key", "left"), "key")
-        # nothing to split any more: what a group's lines do not share is as short as their threshold
-        final = (F.col("o") <= listed) | (F.col("left") <= max(e for _, e in bands))
-        open_ = written(open_.select("key", final.alias("final")), "line-open")
-        more = _left_over(state, open_.where("final"))
-        found.append(written(_verified(more.distinct(), texts, bands), "line-links"))
-        split = open_.where("NOT final").select("key")
+        led = written(_led(large, texts, bands), "line-led")
+        found.append(led.where("tied").select(*_pair("node", "leader")))
+        state = large.select("key", "c", "left", "node", "index", "leader").join(_together(led, m), ["node", "leader"], "left")
+        # the leader itself is tied, and leaves itself nowhere
+        state = state.select("key", "c", "left", "node", "index", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in
+                                                                  (("tied", True), ("lost", False), ("lost_end", False), ("b", WINDOWS), ("sb", WINDOWS))])
+        state = _together(written(state, "line-state"), m)
+        held = state.groupBy("key", F.col("lost").alias("with_lost"), F.col("b").alias("at")).agg(F.count(F.lit(1)).alias("held"))
+        open_ = _cells(state).groupBy("key", "with_lost", "at", "c", "left").agg(F.count(F.lit(1)).alias("asked")).join(held, ["key", "with_lost", "at"])
+        open_ = _together(written(open_.groupBy("key", "c", "left").agg(F.sum(F.col("asked") * F.col("held")).alias("met")), "line-open"), m)
+        total = open_.agg(F.sum("met")).head()[0]
+        if total is None:
+            break
+        # listed at once: what is little for the group or for the level, and where nothing is left to split:
+        # what a group's lines do not share is as short as their threshold
+        now = F.lit(True) if total <= spare else (F.col("met") <= listed * F.col("c")) | (F.col("left") <= max(e for _, e in bands))
+        state = state.join(open_.select("key", now.alias("now")), "key")
+        found.append(written(_verified(_left_over(state.where("now")).distinct(), texts, bands), "line-links"))
+        split = _together(written(state.where("NOT now").select("key").distinct(), "line-split"), m)
         if not split.head(1):
             break
         probes = _probes(texts.select("node", "copies", "line"), bands) if rows is None else _deeper(rows, bands)
@@ -309,27 +410,32 @@ def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, liste
     out = found[0]
     for links in found[1:]:
         out = out.unionByName(links)
-    return written(out.distinct(), "line-links")
+    return out
+
+
+def _words(values: DataFrame, column: str):
+    """A membership test whose words are written once, for several queries."""
+    return in_words(written(membership_words(values, column), "line-filter"))
 
 
 def _near(lines: DataFrame, exact: DataFrame, bands: Bands, group: int, listed: int) -> tuple[DataFrame, DataFrame]:
     """(nodes ``node, h1, h2, first`` of the texts that share a key with
     another, numbered in the order of their first lines; their links)."""
     keys = _keyed(_probes(_different(lines, exact).select(F.col("h1").alias("id"), "line"), bands))
-    # a key matters if two texts hold it and one of them is in the index
-    shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("i"))
-    shared = written(shared.where("a != b AND i").select("key"), "line-shared")
-    held = keys.where(may_contain(shared, "key")(F.col("key"))).groupBy("key", "id").agg(F.max("index").alias("index"), F.max("left").alias("left"))
-    held = written(held.join(shared, "key"), "line-held")
-    wanted = written(held.select("id").distinct(), "line-wanted")
+    # a key matters if two texts hold it and one of them is in the index; the texts are different
+    # ones, so counting will do (a text that holds a key twice is seen through when groups are counted)
+    shared = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("index").alias("i")).where("c > 1 AND i").select("key"), "line-shared")
+    # tested where it is made, so that no key is made twice
+    held = _where(keys, _words(shared, "key")(F.col("key")))
+    held = written(held.join(shared, "key").groupBy("key", "id").agg(F.max("index").alias("index"), F.max("left").alias("left")), "line-held")
     order = [F.col(f"first.{c}") for c in "dtn"]
-    nodes = written(exact.join(wanted, exact["h1"] == wanted["id"], "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
+    nodes = written(exact.join(held, exact["h1"] == held["id"], "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
                     .withColumn("node", F.monotonically_increasing_id()), "line-nodes")
-    long = lines.where(F.col("line").isNotNull() & may_contain(wanted, "id")(F.col("h1"))).select("h1", "h2", "line")
-    texts = written(long.dropDuplicates(["h1", "h2"]).join(nodes.select("h1", "h2", "node", "copies"), ["h1", "h2"])
-                    .select("node", "copies", "line"), "line-texts", **TEXT)
+    long = lines.where(F.col("line").isNotNull() & _words(nodes, "h1")(F.col("h1"))).select("h1", "h2", "line")
+    texts = long.dropDuplicates(["h1", "h2"]).join(nodes.select("h1", "h2", "node", "copies"), ["h1", "h2"])
+    texts = written(texts.select("node", "copies", "line", F.char_length("line").alias("size")), "line-texts", **TEXT)
     members = held.join(nodes.select(F.col("h1").alias("id"), "node", "copies"), "id").select("key", "node", "copies", "index", "left")
-    return nodes, _links(members, texts, bands, group, listed)
+    return nodes, _links(written(members, "line-members"), texts, bands, group, listed)
 
 
 # ------------------------------------------------------- classes, what goes
@@ -338,16 +444,18 @@ def settled(links: DataFrame, orderly: int = ORDERLY) -> DataFrame:
     """``(node, stand)``: the nodes that go and the linked node that stands
     for each, from links ``(a, b)``. No two nodes that stay are linked; every
     other one is linked to one that stays. Smaller nodes stay first."""
-    now, gone, turn = written(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u != v").distinct(), "line-open"), [], 0
-    while now.head(1):
+    now = written(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u != v").distinct(), "line-open")
+    gone, turn = [], 0
+    while n := now.count():
+        now = _together(now, n)
         if turn == orderly:
             first = F.struct(F.xxhash64("u"), "u") < F.struct(F.xxhash64("v"), "v")
             now = now.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("u"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("v"))
-        stay = now.select("u").distinct().join(now.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
-        goes = written(now.join(stay, "u").groupBy(F.col("v").alias("node")).agg(F.min("u").alias("stand")), "line-goes")
+        stay = now.join(now.select(F.col("v").alias("u")), "u", "left_anti")
+        goes = _together(written(stay.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("stand")), "line-goes"), n)
         gone.append(goes)
-        ends = goes.select(F.col("node").alias("u"))
-        now = written(now.join(ends, "u", "left_anti").join(ends.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v"), "line-open")
+        left = now.join(goes.select(F.col("node").alias("u")), "u", "left_anti").join(goes.select(F.col("node").alias("v")), "v", "left_anti")
+        now = written(left.select("u", "v"), "line-open")
         turn += 1
     out = now.select(F.col("u").alias("node"), F.col("v").alias("stand"))
     for goes in gone:
@@ -366,12 +474,13 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     if max(e for _, e in bands) > MOST_EDITS:
         raise ValueError(f"at most {MOST_EDITS} edits")
     # read several times below: texts are split and hashed once
-    lines = written(_lines(docs, doc_id, text, min_chars), "lines", **TEXT)
+    lines = written(_lines(docs, doc_id, text, min_chars), "lines")
     own = F.struct("d", "t", "n")
     exact = written(lines.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.max(own).alias("last"), F.count(F.lit(1)).alias("copies")), "line-exact")
     nodes, links = _near(lines, exact, bands, group, listed)
     place = nodes.select("node", "first")
-    linked = components(links).join(settled(links), "node", "left")
+    links = written(links, "line-links")
+    linked = components(links, together=TOGETHER).join(settled(links), "node", "left")
     linked = linked.join(place.toDF("root", "rep"), "root").join(place.toDF("stand", "by"), "stand", "left")
     linked = linked.join(nodes.select("node", "h1", "h2"), "node").select("h1", "h2", "rep", "by")
     classes = exact.join(linked, ["h1", "h2"], "left").where("first != last OR rep IS NOT NULL")
