@@ -15,8 +15,10 @@ document; its last, partial epoch takes whole blocks in order while they fit,
 then documents of the next block while those fit. Only one row a block is
 summed along a source, and only the documents of one block in order, so a
 source with a third of all rows is no single task's work. What a document gets
-follows from a few numbers a source, joined back by broadcast: a table with
-one row a source, whose size is checked (``MAX_SOURCES``).
+follows from a few numbers a source, a table with one row a source. Up to
+``MAX_SOURCES`` of them it is planned on the driver and broadcast; where there
+are more, the same numbers come from aggregates of the table (the exponent
+from its sums at several candidates a pass) and it is joined like any table.
 
 Defined results: a NULL source is a source of its own; a document without a
 word has no tokens and goes with every whole epoch, and with the partial one
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from amity.llm.tables import col_ref, free_name, read_table, written
 
 SEED = 2024
-MAX_SOURCES = 100_000  # sources whose weights may be planned and broadcast
+MAX_SOURCES = 100_000  # sources whose weights are planned on the driver and broadcast
+CANDIDATES = 32        # parts the interval of exponents is cut into by one pass over more sources
 BLOCK_ROWS = 4096      # expected documents of a block
 KEY_BITS = 60          # of the permutation key, which is a positive bigint
 ENTROPY_GAIN = 0.5     # default target: this far from the corpus' entropy to the largest
@@ -115,21 +118,17 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
                              n["place"]: permutation_key(F.col(col_ref(doc_id)), seed),
                              n["id"]: F.coalesce(F.col(col_ref(doc_id)).cast("string"), F.lit(""))})
     narrow = written(rows.select(*[at[c].alias(c) for c in ("source", "id", "tokens", "place")]), "mix-documents")
-    totals = narrow.groupBy("source").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("c")).head(MAX_SOURCES + 1)
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    totals = sorted(totals, key=lambda r: (r.source is None, r.source or ""))
-    alpha = find_alpha([r.t for r in totals], target_entropy, max_epochs)
-    share, quota = quotas([r.t for r in totals], alpha, budget)
-    plan = []
-    for r, w, q in zip(totals, share, quota, strict=True):
-        whole, rest = divmod(q, r.t) if r.t else (1, 0)
-        bits = max(0, math.ceil(math.log2(max(1, r.c / block_rows))))
-        plan.append((r.source, w, whole, rest, 1 << (KEY_BITS - bits)))
-    # at most MAX_SOURCES short rows, as one JSON text
-    table = F.from_json(F.lit(json.dumps([dict(zip(PLAN, p, strict=True)) for p in plan])), f"array<struct<{PLAN_TYPES}>>")
-    sources = spark.range(1).select(F.inline(table))
-    blocked = _with_plan(narrow, sources, "source").select(
+    totals = written(narrow.groupBy("source").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("c")), "mix-totals")
+    few = totals.head(MAX_SOURCES + 1)
+    if len(few) <= MAX_SOURCES:
+        sources = _planned_here(spark, few, target_entropy, max_epochs, budget, block_rows)
+        hint = F.broadcast
+    else:
+        sources = written(_planned_there(totals, target_entropy, max_epochs, budget, block_rows), "mix-plan")
+
+        def hint(df: DataFrame) -> DataFrame:
+            return df
+    blocked = _with_plan(narrow, sources, "source", hint).select(
         "source", "id", "tokens", "place", "rest", F.floor(F.col("place") / F.col("width")).alias("block"))
     # whole blocks that fit, in the order of the permutation: one row a block
     sums = written(blocked.groupBy("source", "block", "rest").agg(F.sum("tokens").alias("t")), "mix-blocks")
@@ -139,18 +138,18 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
                                      F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("used"))
     cut = written(cut, "mix-cuts")  # one row a source
     # in the block that does not fit as a whole, documents while they fit
-    edge = blocked.join(F.broadcast(cut.withColumnRenamed("block", "b")),
+    edge = blocked.join(hint(cut.withColumnRenamed("block", "b")),
                         blocked["source"].eqNullSafe(cut["source"]) & (F.col("block") == F.col("b"))) \
         .select(blocked["source"], "place", "id", "tokens", (F.col("rest") - F.coalesce("used", F.lit(0))).alias("room"))
     run = Window.partitionBy("source").orderBy("place", "id", "tokens")
     edge = edge.groupBy("source", "place", "id", "tokens", "room").agg(F.sum("tokens").alias("t")) \
         .withColumn("upto", F.sum("t").over(run))
     last = edge.where("upto <= room").groupBy("source").agg(F.max(F.struct("place", "id", "tokens")).alias("last"))
-    limits = written(_with_plan(sources, cut.select("source", F.col("block").alias("cut")), "source", "left")
+    limits = written(_with_plan(sources, cut.select("source", F.col("block").alias("cut")), "source", hint, "left")
                      .join(last.withColumnRenamed("source", "ls"), F.expr("source <=> ls"), "left").drop("ls"), "mix-limits")
     own = {c: free_name(rows, f"_m_of_{c}") for c in limits.columns}  # no input column's names
     of = {c: F.col(v) for c, v in own.items()}
-    rows = rows.join(F.broadcast(limits.select(*[F.col(c).alias(v) for c, v in own.items()])),
+    rows = rows.join(hint(limits.select(*[F.col(c).alias(v) for c, v in own.items()])),
                      at["source"].eqNullSafe(of["source"]))
     block = F.floor(at["place"] / of["width"])
     here = F.struct(at["place"].alias("place"), at["id"].alias("id"), at["tokens"].alias("tokens"))
@@ -161,10 +160,80 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
                        (of["whole"] + partial.cast("bigint")).alias("copies"), block.alias("block"), at["place"].alias("place"))
 
 
-def _with_plan(df: DataFrame, plan: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def _planned_here(spark: SparkSession, totals: list, target_entropy: float | None, max_epochs: float | None,
+                  budget: int | None, block_rows: int) -> DataFrame:
+    """``PLAN`` of at most ``MAX_SOURCES`` sources, as short rows of one JSON text."""
+    totals = sorted(totals, key=lambda r: (r.source is None, r.source or ""))
+    alpha = find_alpha([r.t for r in totals], target_entropy, max_epochs)
+    share, quota = quotas([r.t for r in totals], alpha, budget)
+    plan = []
+    for r, w, q in zip(totals, share, quota, strict=True):
+        whole, rest = divmod(q, r.t) if r.t else (1, 0)
+        bits = max(0, math.ceil(math.log2(max(1, r.c / block_rows))))
+        plan.append((r.source, w, whole, rest, 1 << (KEY_BITS - bits)))
+    table = F.from_json(F.lit(json.dumps([dict(zip(PLAN, p, strict=True)) for p in plan])), f"array<struct<{PLAN_TYPES}>>")
+    return spark.range(1).select(F.inline(table))
+
+
+def _alpha_of(totals: DataFrame, target_entropy: float | None, max_epochs: float | None) -> float:
+    """``find_alpha`` over a table of any size: each pass sums the powers at
+    the inner ends of ``CANDIDATES`` parts of the interval, which settles as
+    many bisections as their number has bits."""
+    some = totals.where("t > 0").select(F.col("t").cast("double").alias("t"))
+    n, least, most = some.agg(F.count(F.lit(1)), F.min("t"), F.max("t")).head()
+    if n < 2:
+        return 1.0
+
+    def entropies(alphas: list[float]) -> list[float]:
+        power = [F.pow("t", F.lit(a)) for a in alphas]
+        row = some.agg(*[F.sum(p) for p in power], *[F.sum(p * F.log(p)) for p in power]).head()
+        return [math.log(x) - y / x for x, y in zip(row[:len(alphas)], row[len(alphas):], strict=True)]
+
+    if target_entropy is None:
+        own = entropies([1.0])[0]
+        target_entropy = own + ENTROPY_GAIN * (math.log(n) - own)
+
+    def first_fit(alphas: list[float]) -> int:
+        """Index of the first exponent that fits; past the end if none does."""
+        for k, (a, h) in enumerate(zip(alphas, entropies(alphas), strict=True)):
+            if h <= target_entropy and (max_epochs is None or (most / least) ** (1 - a) <= max_epochs):
+                return k
+        return len(alphas)
+
+    lo, hi = 0.0, 1.0
+    if first_fit([lo]) == 0:
+        return lo
+    for _ in range(STEPS // (CANDIDATES.bit_length() - 1)):
+        ends = [lo + (hi - lo) * k / CANDIDATES for k in range(1, CANDIDATES)]
+        k = first_fit(ends)
+        lo, hi = ends[k - 1] if k else lo, ends[k] if k < len(ends) else hi
+    return hi
+
+
+def _planned_there(totals: DataFrame, target_entropy: float | None, max_epochs: float | None, budget: int | None,
+                   block_rows: int) -> DataFrame:
+    """``PLAN`` of any number of sources, as a table."""
+    alpha = _alpha_of(totals, target_entropy, max_epochs)
+    t = F.col("t")
+    power = F.when(t > 0, F.pow(t.cast("double"), F.lit(alpha))).otherwise(0.0)
+    total = totals.agg(F.sum(power)).head()[0] or 0.0
+    rows = totals.withColumn("weight", power / F.lit(total) if total else F.lit(0.0))
+    if budget is None:
+        once = rows.where("t > 0").agg(F.max(t / F.col("weight"))).head()[0] or 0.0
+        quota = F.greatest(t, F.bround(F.col("weight") * F.lit(once), 0).cast("bigint"))
+    else:
+        quota = F.floor(F.col("weight") * F.lit(budget)).cast("bigint")
+    rows = rows.withColumn("quota", quota)
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("c") / F.lit(block_rows)))).cast("int"))
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(KEY_BITS) - bits)
+    return rows.select("source", "weight", F.when(t > 0, F.floor(F.col("quota") / t)).otherwise(1).cast("bigint").alias("whole"),
+                       F.when(t > 0, F.col("quota") % t).otherwise(0).cast("bigint").alias("rest"), width.alias("width"))
+
+
+def _with_plan(df: DataFrame, plan: DataFrame, key: str, hint, how: str = "inner") -> DataFrame:
     """``df`` with the columns of the per-source table ``plan``."""
     other = free_name(df, "_m_key")
-    return df.join(F.broadcast(plan.withColumnRenamed(key, other)), F.col(key).eqNullSafe(F.col(other)), how).drop(other)
+    return df.join(hint(plan.withColumnRenamed(key, other)), F.col(key).eqNullSafe(F.col(other)), how).drop(other)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

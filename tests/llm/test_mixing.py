@@ -60,6 +60,28 @@ def test_mix(spark, budget, block):
             assert all(r.copies >= 1 for r in own)
 
 
+@pytest.mark.parametrize("budget", [None, 9000])
+def test_more_sources_than_the_driver_plans(spark, monkeypatch, budget):
+    df = spark.createDataFrame(documents(), KIND).repartition(4)
+
+    def mixed(**options):
+        out = M.mix_sources(df, budget=budget, block_rows=16, **options).collect()
+        return sorted((str(r.doc_id), str(r.source), r.tokens, round(r.weight, 9), r.copies, r.block) for r in out)
+
+    options = [{}, {"target_entropy": 1.2, "max_epochs": 4.0}, {"target_entropy": 99.0, "max_epochs": None}, {"target_entropy": 0.0}]
+    want = [mixed(**o) for o in options]
+    monkeypatch.setattr(M, "MAX_SOURCES", 2)
+    assert [mixed(**o) for o in options] == want
+    assert M.mix_sources(df.where("source = 'a'")).count() > 0
+
+
+def test_very_many_sources(spark):
+    n = M.MAX_SOURCES + 20_000
+    df = spark.range(2 * n).selectExpr("id AS doc_id", "repeat('w ', CAST(1 + id % 5 AS INT)) AS text", f"concat('host', id % {n}) AS source")
+    out = M.mix_sources(df).agg(F.count("*").alias("n"), F.min("copies").alias("least"), F.max("copies").alias("most")).head()
+    assert out.n == 2 * n and out.least >= 1 and out.most <= 3
+
+
 def test_stage_and_empty(spark):
     df = spark.createDataFrame(documents(), KIND)
     out = M.stage_mixing(spark, df, "")
