@@ -2,8 +2,8 @@
 
 A rule rejects a document by a Boolean expression over *features* (word
 count, repeated windows, ...). ``plan_cascade`` times every rule on a sample
-and counts what it rejects there, and orders the rules by rejections per
-second. ``quality_cascade`` then evaluates them in that order: a feature is
+spread over the whole input and counts what it rejects there, and orders the
+rules by rejections per second. ``quality_cascade`` then evaluates them in that order: a feature is
 computed right before the first rule that needs it and only for documents no
 earlier rule has rejected, so the costly rules see few rows. The order
 changes the cost only; the verdict is the same for every order.
@@ -29,7 +29,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amity.llm.tables import col_ref, free_name, read_table
+from amity.llm.tables import col_ref, free_name, read_table, written
 
 # Fixed values of the contract: the six ASCII white-space characters that part
 # words, and the characters counted as symbols.
@@ -37,7 +37,7 @@ SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 3
-SAMPLE_ROWS = 512  # rows each rule is timed on; bounds what planning reads
+SAMPLE_ROWS = 2048  # rows, about, that each rule is timed on
 
 
 def _without(c: Column, chars: str) -> Column:
@@ -174,25 +174,33 @@ def add_features(df: DataFrame, features: tuple[str, ...], text: str = "text") -
     return w.df.select(*keep, *[F.col(col_ref(w.names[n])).alias(n) for n in features])
 
 
+def spread_sample(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` by a hash of their place, so from all of
+    its partitions, written once."""
+    n = df.count()
+    place = free_name(df, "_q_place")
+    spread = df.withColumn(place, F.monotonically_increasing_id())
+    return written(spread.where(F.pmod(F.xxhash64(place), F.lit(max(1, n // max(1, rows)))) == 0).drop(place), "quality-sample")
+
+
 def plan_cascade(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
                  sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """``rules`` by rejections per second on a sample, the best first.
 
-    The sample is what ``head(sample_rows)`` reads: Spark scans partitions
-    only until it has that many rows, and just one Boolean a row reaches the
-    driver. A rule's cost is its time less that of a rule that does nothing,
-    the better of two runs each."""
+    Only the number of rejected rows reaches the driver. A rule's cost is its
+    time less that of a rule that does nothing, the better of two runs each."""
+    sample = spread_sample(df.select(text), sample_rows)
 
     def run(rule: Rule | None) -> tuple[float, int]:
         best, hits = float("inf"), 0
         for _ in range(2):
-            w = _Work(df.select(text), text)
+            w = _Work(sample, text)
             if rule is not None:
                 w.add(rule.needs, None)
             out = rule.rejects(w.cols()) if rule is not None else F.length(w.cols()["text"]) < 0
             t0 = time.perf_counter()
-            rows = w.df.select(out.alias("r")).head(sample_rows)
-            best, hits = min(best, time.perf_counter() - t0), sum(bool(r[0]) for r in rows)
+            hits = w.df.select(out.alias("r")).agg(F.count_if("r")).head()[0]
+            best = min(best, time.perf_counter() - t0)
         return best, hits
 
     nothing = run(None)[0]
@@ -205,13 +213,17 @@ def plan_cascade(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
 
 def quality_cascade(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
                     sample_rows: int = SAMPLE_ROWS, ordered: bool = False,
-                    kept: str = "kept", reason: str | None = None) -> DataFrame:
+                    kept: str = "kept", reason: str | None = None, first: tuple[Rule, ...] = (),
+                    features: tuple[str, ...] = ()) -> DataFrame:
     """``df`` plus a Boolean ``kept`` (and, if ``reason`` is given, the name of
     the rule that rejected the row first in cascade order, else NULL).
 
-    ``ordered=True`` takes ``rules`` in the given order without a sample."""
-    plan = list(rules) if ordered else plan_cascade(df, rules, text, sample_rows)
+    ``ordered=True`` takes ``rules`` in the given order without a sample.
+    ``first`` are rules that decide before all others, in the given order;
+    ``features`` are put out for every row, kept or not."""
+    plan = [*first, *(rules if ordered else plan_cascade(df, rules, text, sample_rows))]
     w = _Work(df, text)
+    w.add(features, None)
     failed = free_name(w.df, "_q_failed")
     w.df = w.df.withColumn(failed, F.lit(None).cast("string"))
     for rule in plan:
@@ -222,9 +234,10 @@ def quality_cascade(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
     # a filter on the verdict must not be pushed below the projections: there
     # it would be inlined and the features computed once per mention
     stay = F.spark_partition_id() >= 0
-    outputs = [(F.col(col_ref(failed)).isNull() & stay).alias(kept)]
+    outputs = [F.col(col_ref(w.names[n])).alias(n) for n in features]
+    outputs += [(F.col(col_ref(failed)).isNull() & stay).alias(kept)]
     outputs += [F.col(col_ref(failed)).alias(reason)] if reason else []
-    names = {kept.lower(), (reason or kept).lower()}
+    names = {kept.lower(), (reason or kept).lower(), *features}
     return w.df.select(*[F.col(col_ref(c)) for c in w.input if c.lower() not in names], *outputs)
 
 
@@ -236,17 +249,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     it. The base rules decide first, as the contract has it; the others
     follow in sampled order, on documents that passed the base."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    extra = plan_cascade(docs, RULES[len(BASE_RULES):])
-    w = _Work(docs, "text")
-    w.add(METRICS, None)
-    base_failed = BASE_RULES[0].rejects(w.cols()) | BASE_RULES[1].rejects(w.cols())
-    w.df = w.df.withColumn("_failed", F.when(base_failed, F.lit("base")))
-    for rule in extra:
-        w.add(rule.needs, F.col("_failed").isNull())
-        w.df = w.df.withColumn("_failed", F.coalesce(F.col("_failed"), F.when(rule.rejects(w.cols()), F.lit(rule.name))))
-    return w.df.select("doc_id", *[F.col(w.names[m]).alias(m) for m in METRICS],
-                       (F.col("_failed") == "base").alias("_base"), F.col("_failed").isNull().alias("kept")) \
-        .select("doc_id", *METRICS, F.coalesce("_base", F.lit(False)).alias("base_failed"), "kept")
+    found = quality_cascade(docs, RULES[len(BASE_RULES):], reason="_reason", first=BASE_RULES, features=METRICS)
+    base = F.coalesce(F.col("_reason").isin(*[r.name for r in BASE_RULES]), F.lit(False))
+    return found.select("doc_id", *METRICS, base.alias("base_failed"), "kept")
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,6 +66,24 @@ def test_plan_orders_by_rejections_per_cost(spark):
     assert [r.name for r in Q.plan_cascade(df, (never, always))] == ["always", "never"]
 
 
+def test_sample_is_spread_over_the_input(spark):
+    df = spark.range(20_000, numPartitions=8).selectExpr("id", "concat('text ', id % 3) AS text")
+    got = [r.id for r in Q.spread_sample(df, 400).collect()]
+    assert 300 < len(got) < 520 and min(sum(k // 2500 == p for k in got) for p in range(8)) >= 20
+    assert Q.spread_sample(df.limit(0), 400).count() == 0 and Q.spread_sample(df.limit(10), 400).count() == 10
+
+
+def test_first_rules_and_features(spark):
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in enumerate(texts())], KIND)
+    first = (Q.RULES[3],)
+    out = Q.quality_cascade(df, Q.RULES[:3] + Q.RULES[4:], ordered=True, reason="why", first=first, features=("n_words", "n_upper"))
+    assert out.columns == ["doc_id", "text", "_q_text", "n_words", "n_upper", "kept", "why"]
+    for r in out.collect():
+        words = (r.text or "").split()
+        shouting = 2 * sum("A" <= c <= "Z" for c in r.text or "") > plain(r.text)[1]
+        assert r.kept == plain(r.text)[-1] and (r.why == "shouting") == shouting and r.n_words == plain(r.text)[0] <= len(words)
+
+
 def test_rejected_rows_cost_no_later_feature(spark):
     """A feature behind a rule that rejected the row is not computed for it."""
     def boom(f):
