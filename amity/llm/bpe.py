@@ -285,19 +285,24 @@ def decode_ids(df: DataFrame, tokenizer: str | None = None, ids: str = "token_id
 def round_trip(df: DataFrame, tokenizer: str | None = None, text: str = "text", with_ids: bool = False) -> DataFrame:
     """``df`` less its texts, plus ``n_tokens`` and the SHA-256 of the ids and
     of what they decode to (and the ids themselves): encoding and decoding in
-    one pass, so neither ids nor texts travel back only to be hashed."""
+    one pass, so neither ids nor texts travel back only to be hashed. Copies of
+    a document that follow each other are encoded once."""
     spec = _spec(df.sparkSession, tokenizer or default_tokenizer())
     kind = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids binary" * with_ids
 
     @F.pandas_udf(kind)
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = tables(spec.value)
+        bpe, last, found = tables(spec.value), None, None
         for texts in batches:
-            ids = [bpe.encode(t or "") for t in texts]
-            out = {"n_tokens": np.array([len(b) // 4 for b in ids], np.int64),
-                   "ids_sha256": [hashlib.sha256(b).hexdigest() for b in ids],
-                   "decoded_sha256": [hashlib.sha256(bpe.decode(b)).hexdigest() for b in ids]}
-            yield pd.DataFrame(out | ({"token_ids": ids} if with_ids else {}))
+            rows = []
+            for t in texts:
+                if found is None or t != last:
+                    last, ids = t, bpe.encode(t or "")
+                    found = ids, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
+                rows.append(found)
+            out = {"n_tokens": np.array([len(r[0]) // 4 for r in rows], np.int64),
+                   "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows]}
+            yield pd.DataFrame(out | ({"token_ids": [r[0] for r in rows]} if with_ids else {}))
 
     made = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids
     rest = [F.col(col_ref(c)) for c in df.columns if c.lower() not in [text.lower(), *made]]
