@@ -67,6 +67,7 @@ TOGETHER = 200_000    # rows of a table of links or group members that one task
 BLOCK = 4096          # lines of a group that meet those left over in one task
 ORDERLY = 12          # rounds in which the earlier line goes first
 MOST_EDITS = 4        # an automaton of more does not fit a machine word
+LONGEST = 1 << 30     # no line has as many characters
 LAST = (1 << 63) - 1  # stands for a NULL doc_id in the order
 SPACE = " \t\n\x0b\f\r"
 TEXT = {"compression": "zstd"}  # of written tables that hold texts
@@ -306,10 +307,10 @@ def _few(groups: DataFrame) -> DataFrame:
 
 def _led(large: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
     """Every line of a large group against its leader: ``(node, leader, tied,
-    lost, lost_end, b, sb)``. ``tied``: within the threshold. ``lost``: the
-    first characters that differ cannot be read along the leader within the
-    line's own threshold, from place ``b`` (in windows longer than what is
-    read); ``lost_end`` and ``sb``: the same from the end."""
+    lost, lost_end, p, s, b)``. ``tied``: within the threshold. ``lost``: the
+    characters from where they differ, after ``p``, cannot be read along the
+    leader within the line's own threshold; ``b``: that place in windows no
+    shorter than what is read. ``lost_end`` and ``s``: the same from the end."""
     side, e = texts.select("node", "line", "size"), F.col("e")
     pairs = large.where("node != leader").select("node", "leader").distinct()
     both = pairs.join(side.toDF("node", "x", "nx"), "node").join(side.toDF("leader", "y", "ny"), "leader")
@@ -327,39 +328,45 @@ def _led(large: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
     lost = [_by_edits(e, bands, lambda k, i=i: _automaton(F.col(f"{i}x"), F.col(f"{i}y"), k) == 0) for i in "ht"]
     window = F.greatest(F.lit(HEAD + MOST_EDITS), F.ceil(F.col("ny") / WINDOWS).cast("int"))
     seen = read.select("node", "leader", "x", "y", "nx", "ny", "p", "s", lost[0].alias("lost"), lost[1].alias("lost_end"),
-                       F.floor(F.col("p") / window).cast("int").alias("b"), F.floor(F.col("s") / window).cast("int").alias("sb"))
+                       F.floor(F.col("p") / window).cast("int").alias("b"))
     alive, cut = ~F.col("lost") & ~F.col("lost_end"), F.least("s", F.col("nx") - F.col("p"), F.col("ny") - F.col("p"))
     rest = [F.when(alive, _letters(_chars(text, F.col("p") + 1, n - F.col("p") - cut))).alias(f"r{c}") for c, (text, n) in at.items()]
-    rest = seen.select("node", "leader", "lost", "lost_end", "b", "sb", _edits(F.least(*sizes), bands).alias("e"), *rest)
+    rest = seen.select("node", "leader", "lost", "lost_end", "p", "s", "b", _edits(F.least(*sizes), bands).alias("e"), *rest)
     tied = _by_edits(e, bands, lambda k: within_edits(F.col("rx"), F.col("ry"), k))
-    return rest.select("node", "leader", "lost", "lost_end", "b", "sb", F.coalesce(F.col("rx").isNotNull() & tied, F.lit(False)).alias("tied"))
+    return rest.select("node", "leader", "lost", "lost_end", "p", "s", "b", F.coalesce(F.col("rx").isNotNull() & tied, F.lit(False)).alias("tied"))
 
 
-def _cells(state: DataFrame) -> DataFrame:
-    """Each line that is left over with the cells ``(with_lost, at)`` a near
-    copy of it can be in. If a line is lost against the leader, whoever
-    follows the leader past that place is as far from the line; so a near copy
-    leaves the leader no later than a window after it, and a lost near copy no
-    earlier than a window before."""
-    b, last = F.col("b"), F.when(F.col("lost"), F.col("b") + 1).otherwise(WINDOWS + 2)
+def _cell() -> Column:
+    """The cell a line of a large group is found in: the window it leaves its
+    leader in, if it is lost there; all others share one."""
+    return F.when(F.col("lost"), F.col("b")).otherwise(-1).alias("at")
 
-    def cells(lost: bool, first: Column) -> Column:
-        return F.transform(F.sequence(F.least(first, last), last), lambda i: F.struct(F.lit(lost).alias("with_lost"), i.alias("at")))
 
-    both = F.concat(cells(True, F.greatest(b - 1, F.lit(0))), cells(False, F.lit(0)))
-    return state.where("NOT tied").withColumn("cell", F.explode(both)).select("*", "cell.*").drop("cell")
+def _cells(state: DataFrame) -> DataFrame:
+    """Each line that is left over with the cells a near copy of it can be in.
+    If a line is lost against the leader, whoever follows the leader past that
+    place is as far from the line; so a near copy leaves the leader no later
+    than a window after it, and a lost near copy no earlier than a window
+    before."""
+    b, first = F.col("b"), F.greatest(F.col("b") - 1, F.lit(0))
+    last = F.when(F.col("lost"), b + 1).otherwise(F.greatest(first, F.lit(WINDOWS + 2)))
+    return state.where("NOT tied").withColumn("at", F.explode(F.concat(F.array(F.lit(-1)), F.sequence(first, last))))
 
 
 def _left_over(state: DataFrame) -> DataFrame:
     """The pairs of lines that a group's leader does not join: of each line
     left over, those in its cells, in blocks."""
     p = F.ceil(F.col("c") / BLOCK).cast("int")
-    whole = state.select("key", "node", "index", "tied", "lost_end", "sb", F.col("lost").alias("with_lost"), F.col("b").alias("at"),
+    whole = state.select("key", "node", "index", "tied", "lost_end", "p", "s", F.col("lost").alias("with_lost"), _cell(),
                          F.pmod(F.xxhash64("node"), p).cast("int").alias("block"))
-    few = _cells(state).select("key", "with_lost", "at", F.col("node").alias("other"), F.col("index").alias("indexed"),
-                               F.col("lost_end").alias("other_lost"), F.col("sb").alias("other_sb"), F.explode(F.sequence(F.lit(0), p - 1)).alias("block"))
-    met = whole.join(few, ["key", "with_lost", "at", "block"]).where(
-        "node != other AND (index OR indexed) AND (tied OR node < other) AND (NOT lost_end OR other_sb <= sb + 1) AND (NOT other_lost OR sb <= other_sb + 1)")
+    names = {"node": "other", "index": "indexed", "lost": "other_lost", "lost_end": "other_lost_end", "p": "other_p", "s": "other_s"}
+    few = _cells(state).select("key", "at", *[F.col(k).alias(v) for k, v in names.items()],
+                               F.explode(F.sequence(F.lit(0), p - 1)).alias("block"))
+    # the cells' condition to the character, and the same from the end
+    near = [f"(NOT {lost} OR {other} < {own} + {HEAD + MOST_EDITS})" for lost, own, other in
+            (("with_lost", "p", "other_p"), ("other_lost", "other_p", "p"), ("lost_end", "s", "other_s"), ("other_lost_end", "other_s", "s"))]
+    met = whole.join(few, ["key", "at", "block"]) \
+        .where(" AND ".join(["node != other", "(index OR indexed)", "(tied OR node < other)", *near]))
     return met.select(*_pair("node", "other"))
 
 
@@ -387,10 +394,10 @@ def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, liste
         state = large.select("key", "c", "left", "node", "index", "leader").join(_together(led, m), ["node", "leader"], "left")
         # the leader itself is tied, and leaves itself nowhere
         state = state.select("key", "c", "left", "node", "index", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in
-                                                                  (("tied", True), ("lost", False), ("lost_end", False), ("b", WINDOWS), ("sb", WINDOWS))])
+                                                                  (("tied", True), ("lost", False), ("lost_end", False), ("p", LONGEST), ("s", LONGEST), ("b", WINDOWS))])
         state = _together(written(state, "line-state"), m)
-        held = state.groupBy("key", F.col("lost").alias("with_lost"), F.col("b").alias("at")).agg(F.count(F.lit(1)).alias("held"))
-        open_ = _cells(state).groupBy("key", "with_lost", "at", "c", "left").agg(F.count(F.lit(1)).alias("asked")).join(held, ["key", "with_lost", "at"])
+        held = state.groupBy("key", _cell()).agg(F.count(F.lit(1)).alias("held"))
+        open_ = _cells(state).groupBy("key", "at", "c", "left").agg(F.count(F.lit(1)).alias("asked")).join(held, ["key", "at"])
         open_ = _together(written(open_.groupBy("key", "c", "left").agg(F.sum(F.col("asked") * F.col("held")).alias("met")), "line-open"), m)
         total = open_.agg(F.sum("met")).head()[0]
         if total is None:

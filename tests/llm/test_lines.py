@@ -221,9 +221,9 @@ def test_threshold_grows_with_the_length(spark, monkeypatch, group, listed):
         monkeypatch.setattr(L, name, value)
     rnd = random.Random(7)
     letters = "abcdefghijklmnop "
-    base = ["".join(rnd.choices(letters, k=k)) for k in range(21, 90, 2)]
+    base = ["".join(rnd.choices(letters, k=k)) for k in range(21, 90, 2 if listed else 9)]
     # one start for many lines: large groups that are not near copies
-    base += ["the same opening words of " + "".join(rnd.choices(letters, k=k)) for k in rnd.choices(range(12, 15), k=25)]
+    base += ["the same opening words of " + "".join(rnd.choices(letters, k=k)) for k in rnd.choices(range(12, 15), k=25 if listed else 8)]
     seen = sorted({edited(rnd, s, rnd.randint(0, 5)) for s in base for _ in range(4)} | {s for s in base})
     rows = [(i, s, "x", 1) for i, s in enumerate(seen)]
     df = spark.createDataFrame(rows, KIND).repartition(3)

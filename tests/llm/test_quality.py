@@ -79,9 +79,8 @@ def test_first_rules_and_features(spark):
     out = Q.quality_cascade(df, Q.RULES[:3] + Q.RULES[4:], ordered=True, reason="why", first=first, features=("n_words", "n_upper"))
     assert out.columns == ["doc_id", "text", "_q_text", "n_words", "n_upper", "kept", "why"]
     for r in out.collect():
-        words = (r.text or "").split()
         shouting = 2 * sum("A" <= c <= "Z" for c in r.text or "") > plain(r.text)[1]
-        assert r.kept == plain(r.text)[-1] and (r.why == "shouting") == shouting and r.n_words == plain(r.text)[0] <= len(words)
+        assert r.kept == plain(r.text)[-1] and (r.why == "shouting") == shouting and r.n_words == plain(r.text)[0]
 
 
 def test_rejected_rows_cost_no_later_feature(spark):
