@@ -256,8 +256,6 @@ def top_mutual_pairs(edges: DataFrame | FriendIndex, k: int = 10, rows: DataFram
 
 def _few(rows: DataFrame, k: int) -> DataFrame:
     """The rows of a top-k for a join: broadcast where ``k`` bounds their size."""
-    if k < 0:
-        raise ValueError("k must not be negative")
     return F.broadcast(rows) if k <= MAX_TOP_K else rows
 
 
@@ -382,6 +380,8 @@ def oldest_friend_top(edges: DataFrame | FriendIndex, profiles: DataFrame,
     ``early`` joins only the oldest profiles to the edges, as far down as k
     users need: for stored edges, which it scans several times and shuffles
     little of. The result is the same."""
+    if k < 0:
+        raise ValueError("k must not be negative")
     order = [F.col("max_friend_age").desc(), F.col("user_id").asc()]
     if early:
         listed = _proper(edges if isinstance(edges, DataFrame) else edges.edges())
