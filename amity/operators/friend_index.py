@@ -112,14 +112,18 @@ class FriendIndex:
         dy, args = F.col("dy"), (self.n_users, self.whole)
         both = _dense(F.col("degree"), *args) & _dense(dy, *args)
         zero = F.when(F.col("part") == 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-        zipped = F.arrays_zip("ids", "ranks")
-        hit = F.transform(zipped, lambda e: _part_of(e["ids"], e["ranks"], dy, *args))
-        need = F.when(dy <= self.whole, F.array(F.lit(0))).when(both, F.array("part")).otherwise(F.array_union(zero, hit))
+        into = F.zip_with("ids", "ranks", lambda i, r: _part_of(i, r, dy, *args))  # the part of y's list each id falls in
+        need = F.when(dy <= self.whole, F.array(F.lit(0))).when(both, F.array("part")).otherwise(F.array_union(zero, into))
         pieces = F.ceil(dy / F.lit(HOT)).cast("int")
         rows = rows.select("x", "y", "dy", "degree", "ids", "ranks", "words", F.col("part").alias("px"), F.explode(need).alias("part"))
-        here = F.when((dy <= self.whole) | both, zipped).otherwise(
-            F.filter(zipped, lambda e: _part_of(e["ids"], e["ranks"], dy, *args) == F.col("part")))
-        rows = rows.select("x", "y", "px", "part", (dy > self.whole).alias("parted"), here.alias("own"), F.when(both, F.col("words")).alias("words"),
+
+        def here(listed: str) -> Column:
+            in_part = F.filter(F.zip_with(listed, into, lambda v, p: F.when(p == F.col("part"), v)), lambda v: v.isNotNull())
+            return F.when((dy <= self.whole) | both, F.col(listed)).otherwise(in_part)
+
+        # every row carries its user's list: ranks go only where a bitmap is asked for them
+        rows = rows.select("x", "y", "px", "part", (dy > self.whole).alias("parted"), here("ids").alias("own"),
+                           F.when(_dense(dy, *args), here("ranks")).alias("own_ranks"), F.when(both, F.col("words")).alias("words"),
                            F.pmod(F.xxhash64("x"), pieces).cast("int").alias("piece"))
         spread = F.sequence(F.lit(0), F.ceil(F.col("degree") / F.lit(HOT)).cast("int") - 1)
         others = others.select(F.col("owner").alias("y"), "part", F.col("ids").alias("ids_y"), F.col("words").alias("words_y"), F.explode(spread).alias("piece"))
@@ -129,8 +133,8 @@ class FriendIndex:
         """The common friends of a meeting."""
         if not self.cut:
             return F.array_intersect("ids", "ids_y")
-        set_ = F.filter("own", lambda e: self._bit(e["ranks"]))
-        return F.when(F.col("words_y").isNull(), F.array_intersect("own.ids", "ids_y")).otherwise(F.transform(set_, lambda e: e["ids"]))
+        set_ = F.filter(F.zip_with("own", "own_ranks", lambda i, r: F.when(self._bit(r), i)), lambda i: i.isNotNull())
+        return F.when(F.col("words_y").isNull(), F.array_intersect("own", "ids_y")).otherwise(set_)
 
     @staticmethod
     def _bit(rank: Column) -> Column:
@@ -142,9 +146,9 @@ class FriendIndex:
         if not self.cut:
             return F.size(self._found())
         anded = F.zip_with("words", "words_y", lambda a, b: F.bit_count(a.bitwiseAND(b)))
-        return (F.when(F.col("words_y").isNull(), F.size(F.array_intersect("own.ids", "ids_y")))
+        return (F.when(F.col("words_y").isNull(), F.size(F.array_intersect("own", "ids_y")))
                 .when(F.col("words").isNotNull(), F.aggregate(anded, F.lit(0), lambda s, n: s + n))
-                .otherwise(F.size(F.filter("own", lambda e: self._bit(e["ranks"])))))
+                .otherwise(F.size(F.filter("own_ranks", self._bit))))
 
     # ------------------------------------------------------------- questions
     def friend_rows(self) -> DataFrame:

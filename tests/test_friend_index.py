@@ -119,3 +119,15 @@ def test_named_pairs_profiles_and_ages(spark, friends_path, profiles_path):
     assert sorted(map(str, max_friend_age(index, profiles, "2020-06-15").collect())) == \
         sorted(map(str, max_friend_age(edges, profiles, "2020-06-15").collect()))
     assert len(mutual_friend_lists(mutual_friends(index)).collect()) == len(E1)
+
+
+def test_a_meeting_carries_ranks_only_to_bitmaps(spark, monkeypatch):
+    for name, value in (("PART", 2), ("SPAN", 64), ("DENSE", 2), ("OWNED", 3), ("HOT", 7)):
+        monkeypatch.setattr(X, name, value)
+    edge_set = graph(6)
+    index = index_of(spark, spark.createDataFrame(sorted(edge_set), "src long, dst long"), whole=4)
+    met = index.meetings()
+    assert met.schema["own"].dataType.simpleString() == "array<bigint>"
+    rows = met.select("own", "own_ranks", F.col("words_y").isNotNull().alias("bits")).collect()
+    assert {r.bits for r in rows} == {True, False}
+    assert all((r.own_ranks is not None) == r.bits and (not r.bits or len(r.own_ranks) == len(r.own)) for r in rows)
