@@ -156,12 +156,15 @@ def _corners(both: DataFrame, counted: bool) -> DataFrame:
 
     Of a triangle's corners, w is a friend of x and y if both list it, y one
     of x and w if x lists it and w does, and x one of y and w likewise."""
-    def ids(k: str) -> Column:
-        return F.coalesce(f"{k[0]}{k[1]}", f"n{k[1]}")
+    common = F.array_intersect("nx", "ny")
+    both = both.where(F.size(common) > 0).withColumn("w", common)  # the w of x and y: whoever is listed is among them
 
-    of_xy = F.array_intersect(ids("ax"), ids("ay"))
-    of_xw = F.when(F.col("xy"), F.array_intersect(F.col("nx"), ids("by")))
-    of_yw = F.when(F.col("yx"), F.array_intersect(ids("bx"), F.col("ny")))
+    def listed(found: Column, k: str) -> Column:
+        return F.when(F.col(k).isNull(), found).otherwise(F.array_intersect(found, k))
+
+    of_xy = listed(listed(F.col("w"), "ax"), "ay")
+    of_xw = F.when(F.col("xy"), listed(F.col("w"), "by"))
+    of_yw = F.when(F.col("yx"), listed(F.col("w"), "bx"))
     one = F.array(F.lit(None).cast("bigint"))
     kinds = [F.struct(F.lit(0).alias("k"), (one if counted else of_xy).alias("w"),
                       (F.size(of_xy) if counted else F.lit(1)).alias("n")),

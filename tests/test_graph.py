@@ -181,3 +181,15 @@ def test_raw_edges_with_nulls_and_self_edges(spark):
                                 "src long, dst long")
     got = {(r.u, r.v): r.n_mutual for r in mutual_friend_counts(raw).collect()}
     assert got == {(1, 2): 1, (1, 3): 1, (2, 3): 1}
+
+
+def test_a_meetings_lists_are_intersected_once(spark):
+    """Whoever is a corner is on both lists: rows without any are not unfolded,
+    and the lists by direction meet what was found."""
+    from amity.operators.graph import _corners
+    ids = "array<bigint>"
+    both = spark.createDataFrame([(1, 2, True, True, [2, 3, 4], None, [3], [3, 4, 5], [4], None), (1, 3, True, True, [2], None, None, [5], None, None)],
+                                 "x long, y long, xy boolean, yx boolean, " + ", ".join(f"{k}{e} {ids}" for e in "xy" for k in "nab"))
+    assert sorted(tuple(r) for r in _corners(both, counted=False).collect()) == [(1, 2, 4), (1, 3, 2), (1, 4, 2), (2, 3, 1)]
+    plan = _corners(both, counted=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect(nx" in plan and "array_intersect(coalesce" not in plan
