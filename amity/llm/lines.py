@@ -25,6 +25,10 @@ shares ever more text. What is listed is linear in a group's size at each
 step, and a group whose lines share all but a few characters needs no further
 one.
 
+*Marks.* Of each line two words tell which characters, and which neighbouring
+two, it has an odd number of. An edit changes few of their bits, so lines that
+differ in more are not listed as a pair: that loses no link.
+
 *Verification.* Common ends are cut off the two texts, and a banded
 bit-parallel automaton reads the rest: one bit a diagonal, one lane an error
 count, all lanes in one machine word.
@@ -70,6 +74,7 @@ MOST_EDITS = 4        # an automaton of more does not fit a machine word
 LONGEST = 1 << 30     # no line has as many characters
 LAST = (1 << 63) - 1  # stands for a NULL doc_id in the order
 SPACE = " \t\n\x0b\f\r"
+MARKS = ("odd", "odd_twos")
 TEXT = {"compression": "zstd"}  # of written tables that hold texts
 Bands = tuple[tuple[int, int], ...]
 
@@ -266,16 +271,41 @@ def _where(df: DataFrame, condition: Column) -> DataFrame:
     return df.select("*", (condition & (F.spark_partition_id() >= 0)).alias("_holds")).where("_holds").drop("_holds")
 
 
+def _marked(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``odd`` and ``odd_twos``: the characters, and the
+    neighbouring two, that a line has an odd number of, as bits of their
+    hashes. An edit changes two bits of the one at most and four of the other."""
+    one = F.lit(1).cast("bigint")
+
+    def odd(codes: Column) -> Column:
+        return F.aggregate(codes, F.lit(0).cast("bigint"), lambda s, c: s.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(c, F.lit(64)))))
+
+    codes = F.col("codes")
+    after = F.slice(codes, F.lit(2), F.size(codes))
+    # the last character has none after it: 0
+    twos = F.zip_with(codes, after, lambda a, b: a * 31 + F.coalesce(b, F.lit(0)) * 17)
+    return texts.withColumn("codes", F.transform(_letters(F.col("line")), F.ascii)).select(*texts.columns, odd(codes).alias("odd"), odd(twos).alias("odd_twos"))
+
+
+def _alike(one: tuple[str, str, str], other: tuple[str, str, str], bands: Bands) -> Column:
+    """False for lines that cannot be within their threshold, by the names of
+    their ``size`` and ``MARKS``."""
+    e = _edits(F.least(one[0], other[0]), bands)
+    changed = [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(one[1:], other[1:], strict=True)]
+    return (F.abs(F.col(one[0]) - F.col(other[0])) <= e) & (changed[0] <= 2 * e) & (changed[1] <= 4 * e)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
     """The pairs ``(a, b)`` of nodes that are within their threshold. Most
-    others fail in the first characters that differ, and are read no further."""
-    side = texts.select("node", "line", "size")
-    both = pairs.join(side.toDF("a", "x", "nx"), "a").join(side.toDF("b", "y", "ny"), "b")
+    others are told by their marks or fail in the first characters that
+    differ, and are read no further."""
+    side = texts.select("node", "line", "size", *MARKS)
+    both = pairs.join(side.toDF("a", "x", "nx", "ox", "tx"), "a").join(side.toDF("b", "y", "ny", "oy", "ty"), "b")
     e = F.col("e")
     sizes = (F.col("nx"), F.col("ny"))
 
-    pre = both.withColumn("e", _edits(F.least(*sizes), bands)).where(F.abs(sizes[0] - sizes[1]) <= e) \
-        .withColumn("p", _common(F.col("x"), F.col("y"), sizes, False))
+    pre = both.where(_alike(("nx", "ox", "tx"), ("ny", "oy", "ty"), bands)).drop("ox", "tx", "oy", "ty") \
+        .withColumn("e", _edits(F.least(*sizes), bands)).withColumn("p", _common(F.col("x"), F.col("y"), sizes, False))
     heads = pre.withColumns({"hx": _letters(_chars(F.col("x"), F.col("p") + 1, F.lit(HEAD))),
                              "hy": _letters(_chars(F.col("y"), F.col("p") + 1, F.lit(HEAD + MOST_EDITS)))})
     alive = _where(heads, _by_edits(e, bands, lambda k: _automaton(F.col("hx"), F.col("hy"), k) != 0))
@@ -307,13 +337,15 @@ def _few(groups: DataFrame) -> DataFrame:
 
 def _led(large: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
     """Every line of a large group against its leader: ``(node, leader, tied,
-    lost, lost_end, p, s, b)``. ``tied``: within the threshold. ``lost``: the
-    characters from where they differ, after ``p``, cannot be read along the
-    leader within the line's own threshold; ``b``: that place in windows no
-    shorter than what is read. ``lost_end`` and ``s``: the same from the end."""
+    lost, lost_end, p, s, b)`` and the line's ``size`` and marks.
+    ``tied``: within the threshold. ``lost``: the characters from where they
+    differ, after ``p``, cannot be read along the leader within the line's own
+    threshold; ``b``: that place in windows no shorter than what is read.
+    ``lost_end`` and ``s``: the same from the end."""
     side, e = texts.select("node", "line", "size"), F.col("e")
     pairs = large.where("node != leader").select("node", "leader").distinct()
-    both = pairs.join(side.toDF("node", "x", "nx"), "node").join(side.toDF("leader", "y", "ny"), "leader")
+    both = pairs.join(texts.select("node", F.col("line").alias("x"), F.col("size").alias("nx"), *MARKS), "node") \
+        .join(side.toDF("leader", "y", "ny"), "leader")
     sizes, at = (F.col("nx"), F.col("ny")), {c: (F.col(c), F.col(f"n{c}")) for c in "xy"}
     ends = both.select("*", _common(F.col("x"), F.col("y"), sizes, False).alias("p"), _common(F.col("x"), F.col("y"), sizes, True).alias("s"),
                        _edits(F.col("nx"), bands).alias("e"))
@@ -327,13 +359,14 @@ def _led(large: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
                              "hy": _letters(_chars(F.col("y"), F.col("p") + 1, F.lit(HEAD + MOST_EDITS))), "ty": tail("y", HEAD + MOST_EDITS)})
     lost = [_by_edits(e, bands, lambda k, i=i: _automaton(F.col(f"{i}x"), F.col(f"{i}y"), k) == 0) for i in "ht"]
     window = F.greatest(F.lit(HEAD + MOST_EDITS), F.ceil(F.col("ny") / WINDOWS).cast("int"))
-    seen = read.select("node", "leader", "x", "y", "nx", "ny", "p", "s", lost[0].alias("lost"), lost[1].alias("lost_end"),
+    seen = read.select("node", "leader", "x", "y", "nx", "ny", *MARKS, "p", "s", lost[0].alias("lost"), lost[1].alias("lost_end"),
                        F.floor(F.col("p") / window).cast("int").alias("b"))
     alive, cut = ~F.col("lost") & ~F.col("lost_end"), F.least("s", F.col("nx") - F.col("p"), F.col("ny") - F.col("p"))
     rest = [F.when(alive, _letters(_chars(text, F.col("p") + 1, n - F.col("p") - cut))).alias(f"r{c}") for c, (text, n) in at.items()]
-    rest = seen.select("node", "leader", "lost", "lost_end", "p", "s", "b", _edits(F.least(*sizes), bands).alias("e"), *rest)
+    own = ["node", "leader", "lost", "lost_end", "p", "s", "b", F.col("nx").alias("size"), *MARKS]
+    rest = seen.select(*own, _edits(F.least(*sizes), bands).alias("e"), *rest)
     tied = _by_edits(e, bands, lambda k: within_edits(F.col("rx"), F.col("ry"), k))
-    return rest.select("node", "leader", "lost", "lost_end", "p", "s", "b", F.coalesce(F.col("rx").isNotNull() & tied, F.lit(False)).alias("tied"))
+    return rest.select("node", "leader", "lost", "lost_end", "p", "s", "b", "size", *MARKS, F.coalesce(F.col("rx").isNotNull() & tied, F.lit(False)).alias("tied"))
 
 
 def _cell() -> Column:
@@ -353,20 +386,23 @@ def _cells(state: DataFrame) -> DataFrame:
     return state.where("NOT tied").withColumn("at", F.explode(F.concat(F.array(F.lit(-1)), F.sequence(first, last))))
 
 
-def _left_over(state: DataFrame) -> DataFrame:
+def _left_over(state: DataFrame, bands: Bands) -> DataFrame:
     """The pairs of lines that a group's leader does not join: of each line
-    left over, those in its cells, in blocks."""
+    left over, those in its cells, in blocks, that it may be near by their
+    marks. The leader itself is near none of them."""
     p = F.ceil(F.col("c") / BLOCK).cast("int")
-    whole = state.select("key", "node", "index", "tied", "lost_end", "p", "s", F.col("lost").alias("with_lost"), _cell(),
+    whole = state.where("node != leader").select("key", "node", "index", "tied", "lost_end", "p", "s", "size", *MARKS, F.col("lost").alias("with_lost"), _cell(),
                          F.pmod(F.xxhash64("node"), p).cast("int").alias("block"))
-    names = {"node": "other", "index": "indexed", "lost": "other_lost", "lost_end": "other_lost_end", "p": "other_p", "s": "other_s"}
+    names = {"node": "other", "index": "indexed", "lost": "other_lost", "lost_end": "other_lost_end", "p": "other_p", "s": "other_s",
+             **{c: f"other_{c}" for c in ("size", *MARKS)}}
     few = _cells(state).select("key", "at", *[F.col(k).alias(v) for k, v in names.items()],
                                F.explode(F.sequence(F.lit(0), p - 1)).alias("block"))
     # the cells' condition to the character, and the same from the end
     near = [f"(NOT {lost} OR {other} < {own} + {HEAD + MOST_EDITS})" for lost, own, other in
             (("with_lost", "p", "other_p"), ("other_lost", "other_p", "p"), ("lost_end", "s", "other_s"), ("other_lost_end", "other_s", "s"))]
     met = whole.join(few, ["key", "at", "block"]) \
-        .where(" AND ".join(["node != other", "(index OR indexed)", "(tied OR node < other)", *near]))
+        .where(" AND ".join(["node != other", "(index OR indexed)", "(tied OR node < other)", *near])) \
+        .where(_alike(("size", *MARKS), ("other_size", *[f"other_{c}" for c in MARKS]), bands))
     return met.select(*_pair("node", "other"))
 
 
@@ -393,7 +429,7 @@ def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, liste
         found.append(led.where("tied").select(*_pair("node", "leader")))
         state = large.select("key", "c", "left", "node", "index", "leader").join(_together(led, m), ["node", "leader"], "left")
         # the leader itself is tied, and leaves itself nowhere
-        state = state.select("key", "c", "left", "node", "index", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in
+        state = state.select("key", "c", "left", "node", "index", "leader", "size", *MARKS, *[F.coalesce(c, F.lit(v)).alias(c) for c, v in
                                                                   (("tied", True), ("lost", False), ("lost_end", False), ("p", LONGEST), ("s", LONGEST), ("b", WINDOWS))])
         state = _together(written(state, "line-state"), m)
         held = state.groupBy("key", _cell()).agg(F.count(F.lit(1)).alias("held"))
@@ -406,7 +442,7 @@ def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, liste
         # what a group's lines do not share is as short as their threshold
         now = F.lit(True) if total <= spare else (F.col("met") <= listed * F.col("c")) | (F.col("left") <= max(e for _, e in bands))
         state = state.join(open_.select("key", now.alias("now")), "key")
-        found.append(written(_verified(_left_over(state.where("now")).distinct(), texts, bands), "line-links"))
+        found.append(written(_verified(_left_over(state.where("now"), bands).distinct(), texts, bands), "line-links"))
         split = _together(written(state.where("NOT now").select("key").distinct(), "line-split"), m)
         if not split.head(1):
             break
@@ -440,7 +476,7 @@ def _near(lines: DataFrame, exact: DataFrame, bands: Bands, group: int, listed:
                     .withColumn("node", F.monotonically_increasing_id()), "line-nodes")
     long = lines.where(F.col("line").isNotNull() & _words(nodes, "h1")(F.col("h1"))).select("h1", "h2", "line")
     texts = long.dropDuplicates(["h1", "h2"]).join(nodes.select("h1", "h2", "node", "copies"), ["h1", "h2"])
-    texts = written(texts.select("node", "copies", "line", F.char_length("line").alias("size")), "line-texts", **TEXT)
+    texts = written(_marked(texts.select("node", "copies", "line", F.char_length("line").alias("size"))), "line-texts", **TEXT)
     members = held.join(nodes.select(F.col("h1").alias("id"), "node", "copies"), "id").select("key", "node", "copies", "index", "left")
     return nodes, _links(written(members, "line-members"), texts, bands, group, listed)
 

@@ -247,3 +247,30 @@ def test_more_edits_than_a_word_holds(spark):
 def test_empty(spark):
     assert L.line_classes(spark.createDataFrame([], KIND)).count() == 0
     assert L.drop_repeated_lines(spark.createDataFrame([], KIND)).count() == 0
+
+
+def test_marks_tell_lines_apart_but_no_near_ones(spark):
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyzäß日", k=rnd.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(rnd.choices(words, k=rnd.choice([5, 20, 70, 200]))) for _ in range(12)]
+    near = [(t, edited(rnd, t, threshold(t[4:], t[4:], L.BANDS))) for t in texts for _ in range(8)]
+    near = [(a, b) for a, b in near if distance(a, b) <= threshold(a, b, L.BANDS)]
+    changed = []
+    for _ in range(60):  # variants of one text, four words apart each
+        mine = texts[0].split() + words[:60]
+        for at in rnd.sample(range(len(mine)), 4):
+            mine[at] = rnd.choice(words)
+        changed.append(" ".join(mine))
+    far = list(zip(changed[::2], changed[1::2], strict=True))
+
+    def alike(pairs):
+        seen = sorted({t for p in pairs for t in p})
+        marked = L._marked(spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(seen)], "node long, line string, size int"))
+        by = spark.createDataFrame([(seen.index(a), seen.index(b)) for a, b in pairs], "node long, other long")
+        names = ("size", *L.MARKS)
+        other = marked.select(F.col("node").alias("other"), *[F.col(c).alias(f"other_{c}") for c in names])
+        met = by.join(marked, "node").join(other, "other")
+        return [r[0] for r in met.select(L._alike(names, tuple(f"other_{c}" for c in names), L.BANDS)).collect()]
+
+    assert len(near) >= 40 and all(alike(near))
+    assert sum(alike(far)) <= len(far) // 5
