@@ -53,7 +53,7 @@ one document, so they keep the same lines; an empty table gives none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from amity.functions.membership import in_words, may_contain, membership_words
@@ -376,32 +376,55 @@ def _cell() -> Column:
 
 
 def _cells(state: DataFrame) -> DataFrame:
-    """Each line that is left over with the cells a near copy of it can be in.
+    """Each line that is left over with the cells, three at most, that it asks.
     If a line is lost against the leader, whoever follows the leader past that
-    place is as far from the line; so a near copy leaves the leader no later
-    than a window after it, and a lost near copy no earlier than a window
-    before."""
-    b, first = F.col("b"), F.greatest(F.col("b") - 1, F.lit(0))
-    last = F.when(F.col("lost"), b + 1).otherwise(F.greatest(first, F.lit(WINDOWS + 2)))
-    return state.where("NOT tied").withColumn("at", F.explode(F.concat(F.array(F.lit(-1)), F.sequence(first, last))))
-
-
-def _left_over(state: DataFrame, bands: Bands) -> DataFrame:
+    place is as far from the line; so a near copy that is lost as well leaves
+    the leader at most a window before or after it. Of two lines in different
+    cells one asks: the lost one whoever is not lost, the one that leaves
+    first the one that leaves a window later. ``own``: the line's own cell,
+    where both ask."""
+    b = F.col("b")
+    asked = F.when(F.col("lost"), F.array(F.lit(-1), b, b + 1)).otherwise(F.array(F.lit(-1)))
+    return state.where("NOT tied").withColumn("own_at", _cell()).withColumn("at", F.explode(asked)) \
+        .withColumn("own", F.col("at") == F.col("own_at")).drop("own_at")
+
+
+def _counted(state: DataFrame) -> DataFrame:
+    """``(key, c, left, lost, b, held, asked)``: the lines of each group by the
+    window they leave their leader in, and those of them that are left over."""
+    return state.groupBy("key", "c", "left", "lost", "b").agg(F.count(F.lit(1)).alias("held"), F.count_if(~F.col("tied")).alias("asked"))
+
+
+def _met(counted: DataFrame) -> DataFrame:
+    """``(key, c, left, met)`` of the groups with lines left over: how many
+    lines may be near each of these by their windows, in all (two that are
+    left over count from either side)."""
+    whole = Window.partitionBy("key")
+    at = whole.orderBy("b")
+    gone = F.when(F.col("lost"), F.col("held")).otherwise(0)
+    # a lost line's near copies that are lost are a window off at most, those of others no more than one before
+    near = F.when(F.col("lost"), F.sum(gone).over(at.rangeBetween(-1, 1))).otherwise(F.sum(gone).over(at.rangeBetween(-1, Window.unboundedFollowing)))
+    seen = counted.withColumn("near", near + F.sum(F.col("held") - gone).over(whole))
+    return seen.groupBy("key", "c", "left").agg(F.sum(F.col("asked") * F.col("near")).alias("met")).where("met > 0")
+
+
+def _left_over(state: DataFrame, counted: DataFrame, bands: Bands) -> DataFrame:
     """The pairs of lines that a group's leader does not join: of each line
     left over, those in its cells, in blocks, that it may be near by their
     marks. The leader itself is near none of them."""
-    p = F.ceil(F.col("c") / BLOCK).cast("int")
-    whole = state.where("node != leader").select("key", "node", "index", "tied", "lost_end", "p", "s", "size", *MARKS, F.col("lost").alias("with_lost"), _cell(),
-                         F.pmod(F.xxhash64("node"), p).cast("int").alias("block"))
+    # as many blocks as the cell's lines fill: a group's other cells add none
+    blocks = counted.groupBy("key", _cell()).agg(F.ceil(F.sum("held") / BLOCK).cast("int").alias("blocks"))
+    whole = state.where("node != leader").select("key", "node", "index", "tied", "lost_end", "p", "s", "size", *MARKS, F.col("lost").alias("with_lost"), _cell())
+    whole = whole.join(blocks, ["key", "at"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("blocks")
     names = {"node": "other", "index": "indexed", "lost": "other_lost", "lost_end": "other_lost_end", "p": "other_p", "s": "other_s",
              **{c: f"other_{c}" for c in ("size", *MARKS)}}
-    few = _cells(state).select("key", "at", *[F.col(k).alias(v) for k, v in names.items()],
-                               F.explode(F.sequence(F.lit(0), p - 1)).alias("block"))
+    few = _cells(state).join(blocks, ["key", "at"]) \
+        .select("key", "at", "own", *[F.col(k).alias(v) for k, v in names.items()], F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     # the cells' condition to the character, and the same from the end
     near = [f"(NOT {lost} OR {other} < {own} + {HEAD + MOST_EDITS})" for lost, own, other in
             (("with_lost", "p", "other_p"), ("other_lost", "other_p", "p"), ("lost_end", "s", "other_s"), ("other_lost_end", "other_s", "s"))]
     met = whole.join(few, ["key", "at", "block"]) \
-        .where(" AND ".join(["node != other", "(index OR indexed)", "(tied OR node < other)", *near])) \
+        .where(" AND ".join(["node != other", "(index OR indexed)", "(tied OR NOT own OR node < other)", *near])) \
         .where(_alike(("size", *MARKS), ("other_size", *[f"other_{c}" for c in MARKS]), bands))
     return met.select(*_pair("node", "other"))
 
@@ -432,9 +455,8 @@ def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, liste
         state = state.select("key", "c", "left", "node", "index", "leader", "size", *MARKS, *[F.coalesce(c, F.lit(v)).alias(c) for c, v in
                                                                   (("tied", True), ("lost", False), ("lost_end", False), ("p", LONGEST), ("s", LONGEST), ("b", WINDOWS))])
         state = _together(written(state, "line-state"), m)
-        held = state.groupBy("key", _cell()).agg(F.count(F.lit(1)).alias("held"))
-        open_ = _cells(state).groupBy("key", "at", "c", "left").agg(F.count(F.lit(1)).alias("asked")).join(held, ["key", "at"])
-        open_ = _together(written(open_.groupBy("key", "c", "left").agg(F.sum(F.col("asked") * F.col("held")).alias("met")), "line-open"), m)
+        counted = _together(written(_counted(state), "line-windows"), m)
+        open_ = _together(written(_met(counted), "line-met"), m)
         total = open_.agg(F.sum("met")).head()[0]
         if total is None:
             break
@@ -442,7 +464,7 @@ def _links(members: DataFrame, texts: DataFrame, bands: Bands, group: int, liste
         # what a group's lines do not share is as short as their threshold
         now = F.lit(True) if total <= spare else (F.col("met") <= listed * F.col("c")) | (F.col("left") <= max(e for _, e in bands))
         state = state.join(open_.select("key", now.alias("now")), "key")
-        found.append(written(_verified(_left_over(state.where("now"), bands).distinct(), texts, bands), "line-links"))
+        found.append(written(_verified(_left_over(state.where("now"), counted, bands).distinct(), texts, bands), "line-links"))
         split = _together(written(state.where("NOT now").select("key").distinct(), "line-split"), m)
         if not split.head(1):
             break

@@ -274,3 +274,38 @@ def test_marks_tell_lines_apart_but_no_near_ones(spark):
 
     assert len(near) >= 40 and all(alike(near))
     assert sum(alike(far)) <= len(far) // 5
+
+
+def test_a_line_left_over_asks_three_cells_at_most_and_misses_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK", 7)  # several blocks a cell
+    rnd, reach, rows = random.Random(5), L.HEAD + L.MOST_EDITS, []
+    for key, c in ((1, 90), (2, 60), (3, 20)):
+        for node in range(c):
+            kind = "tied" if not node or rnd.random() < 0.2 or key == 3 else rnd.choice(["lost", "lost", "stays"])
+            p, s = rnd.randrange(600), rnd.randrange(600)
+            rows.append((key, c, 50, node, rnd.random() < 0.7, 0, 1200, 0, 0, kind == "tied", kind == "lost", kind != "tied" and rnd.random() < 0.5,
+                         p if node else L.LONGEST, s if node else L.LONGEST, p // 40 if node else L.WINDOWS))
+    state = spark.createDataFrame(rows, "key long, c long, left int, node long, index boolean, leader long, size int, odd long, odd_twos long, "
+                                        "tied boolean, lost boolean, lost_end boolean, p int, s int, b int")
+    by = {(r.key, r.node): r for r in state.collect()}
+    left = [r for r in by.values() if not r.tied]
+    assert len(left) < L._cells(state).count() <= 3 * len(left)
+
+    def near(x, y):
+        follows = all(not a.lost or b.p < a.p + reach for a, b in ((x, y), (y, x)))
+        return follows and all(not a.lost_end or b.s < a.s + reach for a, b in ((x, y), (y, x))) and (x["index"] or y["index"])
+
+    want = sorted((k, x.node, y.node) for (k, _), x in by.items() for y in (by.get((k, n)) for n in range(x.node + 1, x.c))
+                  if x.node and not (x.tied and y.tied) and near(x, y))
+    counted = L._counted(state)
+    got = []
+    for key in (1, 2, 3):  # the pairs are of nodes only
+        own = state.where(F.col("key") == key)
+        got += [(key, r.a, r.b) for r in L._left_over(own, counted, L.BANDS).collect()]
+    assert len(want) > 500 and sorted(got) == want  # each once
+
+    def windows(x, y):
+        return not y.lost or y.b >= x.b - 1 and (not x.lost or y.b <= x.b + 1)
+
+    met = {k: sum(windows(x, y) for x in left if x.key == k for y in by.values() if y.key == k) for k in (1, 2)}
+    assert {r.key: r.met for r in L._met(counted).collect()} == met  # 3: all tied
